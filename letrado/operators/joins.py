@@ -1,0 +1,18 @@
+"""Broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` when it has at most ``max_rows`` rows, else leave the
+    join strategy to Catalyst/AQE (sort-merge, or a runtime broadcast when the
+    shuffled side turns out small).
+
+    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
+    the answer is "too big".
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
