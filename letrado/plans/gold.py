@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from letrado.functions.scalar import round2, status_meta
+from letrado.plans.lazy import LazyTables
 
 INDICADOR_MUNICIPIO_COLS = [
     "id_municipio", "nome", "sigla_uf", "id_uf", "nome_uf", "ano", "indicador_alfabetizacao",
@@ -125,11 +126,14 @@ def status_counts(indicador_municipio: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_municipios")))
 
 
-def build_gold(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    ind, mun, ufs = silver["indicador_alfabetizacao"], silver["municipios"], silver["ufs"]
-    return {
-        "indicador_municipio": build_indicador_municipio(
-            ind, mun, ufs, silver["meta_municipio"], silver["meta_brasil"]),
-        "evolucao_uf": build_evolucao_uf(ind, mun, ufs, silver["meta_uf"]),
-        "painel_nacional": build_painel_nacional(ind, silver["meta_brasil"]),
-    }
+def build_gold(silver) -> LazyTables:
+    """The gold tables over a silver mapping; each is built on first use."""
+    return LazyTables({
+        "indicador_municipio": lambda: build_indicador_municipio(
+            silver["indicador_alfabetizacao"], silver["municipios"], silver["ufs"],
+            silver["meta_municipio"], silver["meta_brasil"]),
+        "evolucao_uf": lambda: build_evolucao_uf(
+            silver["indicador_alfabetizacao"], silver["municipios"], silver["ufs"], silver["meta_uf"]),
+        "painel_nacional": lambda: build_painel_nacional(
+            silver["indicador_alfabetizacao"], silver["meta_brasil"]),
+    })

@@ -19,6 +19,7 @@ from letrado.functions.scalar import (
 from letrado.operators.dedup import keep_latest
 from letrado.operators.integrity import referential_filter
 from letrado.operators.reshape import unpivot_years, year_columns
+from letrado.plans.lazy import LazyTables
 
 # Ordering columns a bronze row may carry (audit timestamp, then source sequence).
 ORDER_COLS = ("_ingestion_timestamp", "_record_id")
@@ -203,20 +204,21 @@ def transform_meta_municipio(bronze: DataFrame, municipios: DataFrame) -> DataFr
     return df.select("id_municipio", "ano", "meta_municipio")
 
 
-def build_silver(bronze: dict[str, DataFrame], stream: DataFrame | None = None,
-                 keep_lineage: bool = False) -> dict[str, DataFrame]:
-    """All silver entities, in dependency order (dims first)."""
-    ufs = transform_ufs(bronze["ufs"])
-    mun = transform_municipios(bronze["municipios"], ufs)
-    out = {
-        "ufs": ufs,
-        "municipios": mun,
-        "indicador_alfabetizacao": transform_indicador(
-            bronze["indicador_alfabetizacao"], mun, stream, keep_lineage=keep_lineage),
-        "meta_brasil": transform_meta_brasil(bronze["meta_brasil"]),
-        "meta_uf": transform_meta_uf(bronze["meta_uf"], ufs),
-        "meta_municipio": transform_meta_municipio(bronze["meta_municipio"], mun),
-    }
-    if "alunos" in bronze:
-        out["alunos"] = transform_alunos(bronze["alunos"], mun)
+def build_silver(bronze, stream: DataFrame | None = None, keep_lineage: bool = False) -> LazyTables:
+    """All silver entities, dims first; each is built on first use."""
+    out: LazyTables
+
+    def ind():
+        return transform_indicador(bronze["indicador_alfabetizacao"], out["municipios"], stream,
+                                   keep_lineage=keep_lineage)
+
+    out = LazyTables({
+        "ufs": lambda: transform_ufs(bronze["ufs"]),
+        "municipios": lambda: transform_municipios(bronze["municipios"], out["ufs"]),
+        "indicador_alfabetizacao": ind,
+        "alunos": lambda: transform_alunos(bronze["alunos"], out["municipios"]),
+        "meta_brasil": lambda: transform_meta_brasil(bronze["meta_brasil"]),
+        "meta_uf": lambda: transform_meta_uf(bronze["meta_uf"], out["ufs"]),
+        "meta_municipio": lambda: transform_meta_municipio(bronze["meta_municipio"], out["municipios"]),
+    })
     return out

@@ -17,6 +17,7 @@ from letrado.operators.integrity import orphans, referential_filter
 from letrado.operators.reshape import unpivot_years
 from letrado.plans import features, gold, silver
 from letrado.sources import mapping
+from letrado.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -173,3 +174,219 @@ def q_ml_features(spark, d):
 @query("ml_features_target")
 def q_ml_features_target(spark, d):
     return features.build_ml_features(gold_tables(spark, d)["indicador_municipio"], with_target=True)
+
+
+# -- step 5: sources and sinks -------------------------------------------------
+
+ROUNDTRIP_YEAR = 1998        # year partition read back in partition_roundtrip
+RUN_DATE = "2024-01-31"      # run date of the registered queries (fixed for reproducibility)
+AS_OF = "2024-01-31 00:00:00"
+
+
+@query("partition_roundtrip")
+def q_partition_roundtrip(spark, d):
+    """Write gold indicador_municipio partitioned by (gold_date, ano) and
+    clustered, then read one year back through partition pruning."""
+    from letrado.session import scratch_path
+    from letrado.sources import io
+
+    root = scratch_path(spark, "roundtrip")
+    io.write_layer(gold_tables(spark, d)["indicador_municipio"], root, "gold", "indicador_municipio", RUN_DATE)
+    back = io.read_layer(spark, root, "gold", "indicador_municipio", RUN_DATE)
+    return back.where(F.col("ano") == ROUNDTRIP_YEAR)
+
+
+@query("dual_format_export")
+def q_dual_format_export(spark, d):
+    """Export the national panel as Parquet and CSV; read the CSV back with
+    the Parquet copy's schema (no inference)."""
+    from letrado.session import scratch_path
+    from letrado.sources import io
+
+    base = scratch_path(spark, "export/painel_nacional")
+    io.export_dual(q_painel_nacional(spark, d), [base])
+    schema = spark.read.parquet(f"{base}/parquet").schema
+    return spark.read.schema(schema).option("header", True).csv(f"{base}/csv")
+
+
+# -- step 6: quality -----------------------------------------------------------
+
+def _quality_sources(spark, d):
+    s = silver_tables(spark, d)
+    g = gold.build_gold(s)
+    return {
+        ("silver", "ufs"): lambda: s["ufs"],
+        ("silver", "municipios"): lambda: s["municipios"],
+        ("silver", "indicador_alfabetizacao"): lambda: s["indicador_alfabetizacao"],
+        ("gold", "indicador_municipio"): lambda: g["indicador_municipio"],
+        ("gold", "painel_nacional"): lambda: g["painel_nacional"],
+    }
+
+
+@query("quality_report")
+def q_quality_report(spark, d):
+    from letrado.plans import quality
+    return quality.quality_report(_quality_sources(spark, d), spark=spark)
+
+
+@query("quality_summary")
+def q_quality_summary(spark, d):
+    from letrado.plans import quality
+    return quality.quality_summary(quality.quality_report(_quality_sources(spark, d), spark=spark))
+
+
+@query("gold_silver_consistency")
+def q_gold_silver_consistency(spark, d):
+    from letrado.plans import quality
+    s = silver_tables(spark, d)
+    g = gold.build_gold(s)
+    return quality.gold_silver_consistency(g["indicador_municipio"], s["indicador_alfabetizacao"])
+
+
+# -- step 7: streaming (batch form over the whole events table) -----------------
+
+def _messages(spark, d):
+    return mapping.stream_messages(read_table(spark, d, "events"))
+
+
+def _events(spark, d):
+    from letrado.streaming.events import prepare_events
+    return prepare_events(_messages(spark, d))
+
+
+@query("stream_decode")
+def q_stream_decode(spark, d):
+    """Push-delivery form: base64 message data -> JSON -> flat event."""
+    from letrado.streaming.events import FLAT_COLS, decode_base64, flatten_events, parse_messages
+    b64 = _messages(spark, d).select(F.base64(F.encode("value", "UTF-8")).alias("data"))
+    decoded = b64.select(decode_base64("data").alias("value"))
+    return flatten_events(parse_messages(decoded)).select(*FLAT_COLS)
+
+
+@query("stream_validate")
+def q_stream_validate(spark, d):
+    return _events(spark, d).select("event_id", "is_valid", "reject_reason")
+
+
+@query("stream_quarantine")
+def q_stream_quarantine(spark, d):
+    return (_events(spark, d).where(~F.col("is_valid"))
+            .select("event_id", "reject_reason", "id_municipio", "ano", "indicador_alfabetizacao"))
+
+
+@query("stream_flatten")
+def q_stream_flatten(spark, d):
+    """silver.streaming_events: valid, enriched events (run date left out)."""
+    from letrado.streaming.events import FLAT_COLS, enrich_events
+    valid = _events(spark, d).where(F.col("is_valid")).select(*FLAT_COLS)
+    return enrich_events(valid).drop("_processing_date")
+
+
+@query("stream_upsert")
+def q_stream_upsert(spark, d):
+    """Silver indicador with the stream merged in: per (id_municipio, ano) a
+    valid event beats the batch row, the newest event beats older ones."""
+    b = bronze(spark, d)
+    s = silver.build_silver(b)
+    valid = _events(spark, d).where(F.col("is_valid"))
+    return silver.transform_indicador(b["indicador_alfabetizacao"], s["municipios"], stream=valid)
+
+
+# -- step 8: observability -----------------------------------------------------
+
+@query("freshness")
+def q_freshness(spark, d):
+    from letrado.plans import observability as obs
+    b = bronze(spark, d)
+    ev = read_table(spark, d, "events").select(F.col("ts").alias("_ingestion_timestamp"))
+    return obs.freshness({"indicador_alfabetizacao": b["indicador_alfabetizacao"],
+                          "alunos": b["alunos"], "streaming": ev}, AS_OF)
+
+
+@query("gold_completeness")
+def q_gold_completeness(spark, d):
+    from letrado.plans import observability as obs
+    return obs.gold_completeness(spark, gold_tables(spark, d))
+
+
+@query("alert_windows")
+def q_alert_windows(spark, d):
+    from letrado.plans import observability as obs
+    return obs.alert_windows(_events(spark, d))
+
+
+@query("ingestion_metrics")
+def q_ingestion_metrics(spark, d):
+    from letrado.plans import observability as obs
+    b = bronze(spark, d)
+    return obs.ingestion_metrics(b, silver.build_silver(b))
+
+
+def _run_events(spark, d) -> DataFrame:
+    """The run-event log one pipeline run writes: one row per stage entity."""
+    from letrado.plans import observability as obs
+    from letrado.plans import quality
+    b = bronze(spark, d)
+    s = silver.build_silver(b)
+    g = gold.build_gold(s)
+    m = obs.ingestion_metrics(b, s)
+    run = F.lit("run_" + RUN_DATE.replace("-", ""))
+    bronze_ev = m.select(run.alias("run_id"), F.lit("bronze").alias("stage"), "entity",
+                         F.when(F.col("bronze_rows") > 0, F.lit("SUCCESS")).otherwise(F.lit("FAILED"))
+                          .alias("status"))
+    silver_ev = m.select(run.alias("run_id"), F.lit("silver").alias("stage"), "entity", "status")
+    gold_ev = obs.table_row_counts(g).select(
+        run.alias("run_id"), F.lit("gold").alias("stage"), F.col("table_name").alias("entity"),
+        F.when(F.col("row_count") > 0, F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("status"))
+    summ = quality.quality_summary(quality.quality_report(_quality_sources(spark, d), spark=spark))
+    quality_ev = summ.select(
+        run.alias("run_id"), F.lit("quality").alias("stage"), F.lit("validation").alias("entity"),
+        F.when(F.col("total") == 0, F.lit("FAILED_NO_CHECKS")).when(F.col("failed") > 0, F.lit("WARNINGS"))
+         .otherwise(F.lit("SUCCESS")).alias("status"))
+    return bronze_ev.unionByName(silver_ev).unionByName(gold_ev).unionByName(quality_ev)
+
+
+@query("run_status")
+def q_run_status(spark, d):
+    """Stage statuses and the overall status of a run, from its event log."""
+    from letrado.plans import observability as obs
+    ev = _run_events(spark, d)
+    stages = obs.stage_status(ev)
+    overall = obs.run_status(ev).select("run_id", F.lit("overall").alias("stage"),
+                                        F.col("overall_status").alias("status"))
+    return stages.unionByName(overall)
+
+
+# -- step 9: machine learning --------------------------------------------------
+
+def _features(spark, d):
+    return features.build_ml_features(gold_tables(spark, d)["indicador_municipio"])
+
+
+@query("ml_class_weights")
+def q_ml_class_weights(spark, d):
+    from letrado.functions.scalar import round2
+    from letrado.plans import ml
+    w = ml.class_weights(_features(spark, d))
+    return w.select(ml.LABEL, "n_class", "n", round2("weight").alias("weight"))
+
+
+@query("ml_predict")
+def q_ml_predict(spark, d):
+    from letrado.plans import ml
+    f = _features(spark, d)
+    model, _ = ml.train(f)
+    return ml.predict(model, f)
+
+
+@query("ml_evaluate")
+def q_ml_evaluate(spark, d):
+    from letrado.plans import ml
+    model, test = ml.train(_features(spark, d))
+    return ml.evaluate(model, test)
+
+
+@query("uf_convergence")
+def q_uf_convergence(spark, d):
+    from letrado.plans import ml
+    return ml.uf_convergence(gold_tables(spark, d)["evolucao_uf"])

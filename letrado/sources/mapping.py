@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from letrado.functions.scalar import round2
 from letrado.operators.reshape import GOAL_PREFIX
+from letrado.plans.lazy import LazyTables
 from letrado.sources.tables import read_table
 
 # Goal years of the test mapping (the order years of the driver data).
@@ -160,16 +161,21 @@ def stream_messages(events: DataFrame) -> DataFrame:
                     .alias("value"))
 
 
-def bronze_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Entity catalogue: the seven batch extracts plus the event messages."""
-    t = lambda n: read_table(spark, sf_dir, n)
-    nation, customer = t("nation"), t("customer")
-    return {
-        "ufs": bronze_ufs(nation),
-        "municipios": bronze_municipios(customer, nation),
-        "indicador_alfabetizacao": bronze_indicador(t("orders")),
-        "alunos": bronze_alunos(t("lineitem")),
-        "meta_brasil": bronze_meta_brasil(customer),
-        "meta_uf": bronze_meta_uf(nation),
-        "meta_municipio": bronze_meta_municipio(customer),
-    }
+def bronze_entities(spark: SparkSession, sf_dir: str) -> LazyTables:
+    """Entity catalogue: the seven batch extracts (built on first use)."""
+    reads: dict[str, DataFrame] = {}
+
+    def t(name: str) -> DataFrame:  # one scan definition per table and query
+        if name not in reads:
+            reads[name] = read_table(spark, sf_dir, name)
+        return reads[name]
+
+    return LazyTables({
+        "ufs": lambda: bronze_ufs(t("nation")),
+        "municipios": lambda: bronze_municipios(t("customer"), t("nation")),
+        "indicador_alfabetizacao": lambda: bronze_indicador(t("orders")),
+        "alunos": lambda: bronze_alunos(t("lineitem")),
+        "meta_brasil": lambda: bronze_meta_brasil(t("customer")),
+        "meta_uf": lambda: bronze_meta_uf(t("nation")),
+        "meta_municipio": lambda: bronze_meta_municipio(t("customer")),
+    })
