@@ -55,7 +55,10 @@ def parse_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     parsed = F.from_json(F.col(value_col), EVENT_SCHEMA,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     rest = [c for c in df.columns if c != value_col]
-    return df.select(*rest, parsed.alias("evt")).select(*rest, "evt.*")
+    # Expanding the struct through a generator keeps later filters on parsed
+    # fields above the parse: pushed below a plain projection they would
+    # re-evaluate from_json for every row a second time.
+    return df.select(*rest, F.inline(F.array(parsed)))
 
 
 def flatten_events(parsed: DataFrame) -> DataFrame:
