@@ -16,6 +16,8 @@ from letrado.functions.scalar import norm_text, safe_double, safe_long
 from letrado.operators.integrity import orphans, referential_filter
 from letrado.operators.reshape import unpivot_years
 from letrado.plans import features, gold, silver
+from letrado.plans.lazy import LazyTables
+from letrado.session import materialize
 from letrado.sources import mapping
 from letrado.sources.tables import read_table
 
@@ -42,6 +44,15 @@ def gold_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return gold.build_gold(silver_tables(spark, d))
 
 
+def _checkpointed(tables) -> LazyTables:
+    """Each entity is materialised once on first use (a Parquet table under
+    ``spark.checkpoint.dir``), as the job does by writing a layer and reading
+    it back; for queries that consume silver/gold several times."""
+    return LazyTables({k: (lambda k=k: materialize(tables[k], k)) for k in tables})
+
+
+
+
 # -- step 0: scalar helpers over whole tables ---------------------------------
 
 @query("norm_text")
@@ -211,9 +222,11 @@ def q_dual_format_export(spark, d):
 
 # -- step 6: quality -----------------------------------------------------------
 
-def _quality_sources(spark, d):
-    s = silver_tables(spark, d)
-    g = gold.build_gold(s)
+def _quality_sources(spark, d, layers=None):
+    if layers is None:
+        s = silver_tables(spark, d)
+        layers = (s, gold.build_gold(s))
+    s, g = layers
     return {
         ("silver", "ufs"): lambda: s["ufs"],
         ("silver", "municipios"): lambda: s["municipios"],
@@ -327,8 +340,8 @@ def _run_events(spark, d) -> DataFrame:
     from letrado.plans import observability as obs
     from letrado.plans import quality
     b = bronze(spark, d)
-    s = silver.build_silver(b)
-    g = gold.build_gold(s)
+    s = _checkpointed(silver.build_silver(b))
+    g = _checkpointed(gold.build_gold(s))
     m = obs.ingestion_metrics(b, s)
     run = F.lit("run_" + RUN_DATE.replace("-", ""))
     bronze_ev = m.select(run.alias("run_id"), F.lit("bronze").alias("stage"), "entity",
@@ -338,7 +351,7 @@ def _run_events(spark, d) -> DataFrame:
     gold_ev = obs.table_row_counts(g).select(
         run.alias("run_id"), F.lit("gold").alias("stage"), F.col("table_name").alias("entity"),
         F.when(F.col("row_count") > 0, F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("status"))
-    summ = quality.quality_summary(quality.quality_report(_quality_sources(spark, d), spark=spark))
+    summ = quality.quality_summary(quality.quality_report(_quality_sources(spark, d, (s, g)), spark=spark))
     quality_ev = summ.select(
         run.alias("run_id"), F.lit("quality").alias("stage"), F.lit("validation").alias("entity"),
         F.when(F.col("total") == 0, F.lit("FAILED_NO_CHECKS")).when(F.col("failed") > 0, F.lit("WARNINGS"))
@@ -363,6 +376,11 @@ def _features(spark, d):
     return features.build_ml_features(gold_tables(spark, d)["indicador_municipio"])
 
 
+def _features_materialized(spark, d):
+    # model fitting passes over its input many times: materialise it once
+    return materialize(_features(spark, d), "ml_features")
+
+
 @query("ml_class_weights")
 def q_ml_class_weights(spark, d):
     from letrado.functions.scalar import round2
@@ -374,7 +392,7 @@ def q_ml_class_weights(spark, d):
 @query("ml_predict")
 def q_ml_predict(spark, d):
     from letrado.plans import ml
-    f = _features(spark, d)
+    f = _features_materialized(spark, d)
     model, _ = ml.train(f)
     return ml.predict(model, f)
 
@@ -382,7 +400,7 @@ def q_ml_predict(spark, d):
 @query("ml_evaluate")
 def q_ml_evaluate(spark, d):
     from letrado.plans import ml
-    model, test = ml.train(_features(spark, d))
+    model, test = ml.train(_features_materialized(spark, d))
     return ml.evaluate(model, test)
 
 

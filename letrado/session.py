@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +17,8 @@ PIPELINE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
+    # checkpoint files of unreachable DataFrames are removed by the cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -62,3 +65,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/letrado/{name}-{os.getpid()}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as a Parquet table under the shared
+    checkpoint folder and reading it back.
+
+    One computation (an eager RDD checkpoint computes twice unless cached), the
+    files survive executor loss, and the read-back relation carries real file
+    sizes, so Catalyst/AQE keep making size-checked join decisions.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark).rstrip('/')}/letrado/mat/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
