@@ -74,12 +74,29 @@ def _fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return "".join(src), "".join(dst), tuple(multi)
 
 
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def norm_text_sql(col_sql: str) -> str:
+    """SQL text of :func:`norm_text` over a SQL expression."""
+    src, dst, multi = _fold_tables()
+    e = f"upper(regexp_replace({col_sql}, {_sql_str(r'(?U)^\s+|\s+$')}, ''))"
+    for a, b in multi:
+        e = f"replace({e}, {_sql_str(a)}, {_sql_str(b)})"
+    e = f"translate({e}, {_sql_str(src)}, {_sql_str(dst)})"
+    return f"regexp_replace({e}, {_sql_str(r'[^\x00-\x7F]')}, '')"
+
+
 def norm_text(c) -> Column:
     """strip -> upper -> accent folding -> drop remaining non-ASCII.
 
     'São João d'Água' -> "SAO JOAO D'AGUA".  Covers Latin-1 and Latin
-    Extended-A/B, which is what Portuguese place names use.
+    Extended-A/B, which is what Portuguese place names use.  Built as one SQL
+    expression (a single round trip to the JVM) for a column name.
     """
+    if isinstance(c, str):
+        return F.expr(norm_text_sql(f"`{c}`"))
     src, dst, multi = _fold_tables()
     e = F.upper(strip_ws(c))
     for a, b in multi:

@@ -106,20 +106,17 @@ def _goal_col(y: int) -> str:
 
 
 def bronze_meta_municipio(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    cols = []
-    for y in GOAL_YEARS:
-        v = (F.lit(40) + k % 20 + F.lit(y - FIRST_GOAL_YEAR)).cast("double")
-        empty = (k % 3 == 0) if y != GOAL_YEARS[-1] else ((k % 3 == 0) | (k % 2 == 0))
-        cols.append(F.when(empty, F.lit(None).cast("double")).otherwise(v).alias(_goal_col(y)))
-    return customer.select(k.cast("string").alias("id_municipio"), *cols)
+    def goal(y: int) -> str:
+        empty = "c_custkey % 3 = 0" + (" OR c_custkey % 2 = 0" if y == GOAL_YEARS[-1] else "")
+        return (f"CASE WHEN {empty} THEN CAST(NULL AS DOUBLE) "
+                f"ELSE CAST(40 + c_custkey % 20 + {y - FIRST_GOAL_YEAR} AS DOUBLE) END AS {_goal_col(y)}")
+    return customer.selectExpr("CAST(c_custkey AS STRING) AS id_municipio", *[goal(y) for y in GOAL_YEARS])
 
 
 def bronze_meta_uf(nation: DataFrame) -> DataFrame:
-    k = F.col("n_nationkey")
-    return nation.select(
-        F.concat(F.lit(" "), F.lower("n_name")).alias("sigla_uf"),
-        *[(F.lit(30) + k + F.lit(2 * (y - FIRST_GOAL_YEAR))).cast("double").alias(_goal_col(y))
+    return nation.selectExpr(
+        "concat(' ', lower(n_name)) AS sigla_uf",
+        *[f"CAST(30 + n_nationkey + {2 * (y - FIRST_GOAL_YEAR)} AS DOUBLE) AS {_goal_col(y)}"
           for y in GOAL_YEARS])
 
 
