@@ -121,8 +121,14 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_date: str,
                  for e in ("indicador_alfabetizacao", "municipios")}, run_ts)
             comp = observability.gold_completeness(
                 spark, {t: io.read_layer(spark, root, "gold", t, run_date) for t in observability.REQUIRED_GOLD})
-            fresh.write.mode("overwrite").parquet(f"{root}/monitoring/health_checks/date={run_date}/freshness")
-            comp.write.mode("overwrite").parquet(f"{root}/monitoring/health_checks/date={run_date}/completeness")
+            base = f"{root}/monitoring/health_checks/date={run_date}"
+            fresh.write.mode("overwrite").parquet(f"{base}/freshness")
+            comp.write.mode("overwrite").parquet(f"{base}/completeness")
+            checks = (spark.read.parquet(f"{base}/freshness")
+                      .select(F.concat(F.lit("fresh_"), "entity").alias("check"), (F.col("status") == "healthy").alias("ok"))
+                      .unionByName(spark.read.parquet(f"{base}/completeness")
+                                   .select(F.lit("gold_complete").alias("check"), (F.col("status") == "healthy").alias("ok"))))
+            observability.health(checks).write.mode("overwrite").parquet(f"{base}/overall")
         _timed(log, "health", "checks", health)
 
     events = log.frame(spark)

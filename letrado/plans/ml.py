@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -96,3 +97,28 @@ def uf_convergence(evolucao_uf: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_ufs"),
         round2(F.stddev_samp("indicador_medio")).alias("desvio_entre_ufs"),
         round2(F.max("indicador_medio") - F.min("indicador_medio")).alias("amplitude_entre_ufs"))
+
+
+CLUSTER_FEATURES = ["indicador_lag1", "tendencia_historica", "gap_historico_vs_meta_municipio",
+                    "gap_historico_vs_meta_nacional"]
+
+
+def vulnerability_clusters(features: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
+    """Group municipality-years by their historical gaps and trend (k-means on
+    standardised features); clusters are numbered by mean lag-1 indicator, 0 = lowest."""
+    from pyspark.ml.feature import StandardScaler
+
+    imputed = [f"{c}_imp" for c in CLUSTER_FEATURES]
+    model = Pipeline(stages=[
+        Imputer(inputCols=CLUSTER_FEATURES, outputCols=imputed, strategy="mean"),
+        VectorAssembler(inputCols=imputed, outputCol="raw"),
+        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
+        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster"),
+    ]).fit(features)
+    # The k centres are part of the fitted model (already on the driver).
+    # Standardising keeps each feature's order, so ordering centres by their
+    # first coordinate orders clusters by mean lag-1 indicator.
+    centers = model.stages[-1].clusterCenters()
+    ranked = sorted(range(len(centers)), key=lambda i: (float(centers[i][0]), i))
+    rank = F.create_map(*[x for r, i in enumerate(ranked) for x in (F.lit(i), F.lit(r))])
+    return model.transform(features).select("id_municipio", "ano", rank[F.col("cluster")].alias("cluster"))

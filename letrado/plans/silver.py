@@ -181,9 +181,14 @@ def transform_meta_brasil(bronze: DataFrame) -> DataFrame:
     return keep_latest(df, ["ano"], order_by=["meta_nacional"], tie_breakers=[])
 
 
+def prepare_meta_uf(bronze: DataFrame) -> DataFrame:
+    """Long form with the normalised state code; before the state lookup."""
+    return _long_goals(bronze, ["sigla_uf"], "meta_uf").withColumn("sigla_uf", norm_text("sigla_uf"))
+
+
 def transform_meta_uf(bronze: DataFrame, ufs: DataFrame) -> DataFrame:
     if "sigla_uf" in bronze.columns:
-        df = _long_goals(bronze, ["sigla_uf"], "meta_uf").withColumn("sigla_uf", norm_text("sigla_uf"))
+        df = prepare_meta_uf(bronze)
         # look the state id up by its normalised code; unknown codes drop out
         df = df.join(ufs.select("id_uf", "sigla_uf"), "sigla_uf", "inner")
     else:

@@ -136,6 +136,7 @@ def q_ri_orphans(spark, d):
         ("alunos", "id_municipio", orphans(silver.prepare_alunos(b["alunos"]), mun, "id_municipio")),
         ("meta_municipio", "id_municipio",
          orphans(silver.prepare_meta_municipio(b["meta_municipio"]), mun, "id_municipio")),
+        ("meta_uf", "sigla_uf", orphans(silver.prepare_meta_uf(b["meta_uf"]), ufs, "sigla_uf")),
     ]
     parts = [df.agg(F.count(F.lit(1)).alias("orphan_rows"))
                .select(F.lit(e).alias("entity"), F.lit(k).alias("key"), "orphan_rows")
@@ -408,3 +409,9 @@ def q_ml_evaluate(spark, d):
 def q_uf_convergence(spark, d):
     from letrado.plans import ml
     return ml.uf_convergence(gold_tables(spark, d)["evolucao_uf"])
+
+
+@query("ml_clusters")
+def q_ml_clusters(spark, d):
+    from letrado.plans import ml
+    return ml.vulnerability_clusters(_features_materialized(spark, d))

@@ -46,3 +46,12 @@ def start_event_stream(spark: SparkSession, source: str, indicador_path: str, mu
                .option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=FLUSH_INTERVAL)
     return w.start()
+
+
+def run_stream_for(query: StreamingQuery, seconds: float = 300.0) -> bool:
+    """Let a started stream run for ``seconds`` (the consumer's default run
+    time), then stop it; committed offsets make the next run resume."""
+    finished = query.awaitTermination(seconds)
+    if not finished:
+        query.stop()
+    return bool(finished)

@@ -14,7 +14,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from letrado.session import build_session
     s = build_session("local[4]", 4, app_name="letrado-tests",
-                      extra={"spark.ui.showConsoleProgress": "false"})
+                      extra={"spark.ui.showConsoleProgress": "false",
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="letrado-test-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="letrado-test-ckpt-"))
