@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from letrado.plans import features, gold, observability, quality, silver
 from letrado.plans.lazy import LazyTables
+from letrado.session import materialize
 from letrado.sources import io, mapping
 from letrado.streaming.events import FLAT_COLS, enrich_events, prepare_events
 from letrado.streaming.upsert import QUARANTINE_COLS
@@ -76,7 +77,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_date: str,
         stream = None
         if "stream" in stages:
             events = prepare_events(io.read_events(spark, root, dt.date.today().isoformat()))
-            events = events.checkpoint()  # cut lineage: three outputs read it
+            events = materialize(events, "events")  # parsed once; three outputs read it
             _timed(log, "silver", "quarantine", lambda: events.where(~F.col("is_valid")).select(*QUARANTINE_COLS)
                    .write.mode("overwrite").parquet(f"{root}/monitoring/quarantine/date={run_date}"))
             stream = events.where(F.col("is_valid")).select(*FLAT_COLS)

@@ -112,6 +112,13 @@ def stream_measurements(events: DataFrame, event_types=None, skip_null: bool = T
 INDICADOR_COLS = ["id_municipio", "ano", "indicador_alfabetizacao", "quantidade_matriculas",
                   "meta_atingida"]
 LINEAGE_COLS = ["_priority", "_order_ts", "_seq", "_event_id"]
+# Stored silver indicador is partitioned by (ano, _bucket): an upsert rewrites
+# only the hash buckets its events touch, not whole years.
+UPSERT_BUCKETS = 64
+
+
+def bucket_of(col: str = "id_municipio", buckets: int = UPSERT_BUCKETS):
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
 
 
 def rank_measurements(rows: DataFrame) -> DataFrame:
@@ -136,7 +143,9 @@ def finish_indicador(ranked: DataFrame, municipios: DataFrame, keep_lineage: boo
     df = ranked.where(F.col("indicador_alfabetizacao").isNotNull())
     df = referential_filter(df, municipios, "id_municipio")
     df = df.withColumn("meta_atingida", target_flag("indicador_alfabetizacao"))
-    return df.select(*INDICADOR_COLS, *(LINEAGE_COLS if keep_lineage else []))
+    if not keep_lineage:
+        return df.select(*INDICADOR_COLS)
+    return df.select(*INDICADOR_COLS, *LINEAGE_COLS, bucket_of().alias("_bucket"))
 
 
 def transform_indicador(bronze: DataFrame, municipios: DataFrame, stream: DataFrame | None = None,

@@ -23,10 +23,10 @@ LAYER_DATE_COL = {"bronze": "ingestion_date", "silver": "processed_date", "gold"
 
 # Fixed write layout per table: extra partition column and clustering columns.
 LAYOUT = {
-    ("silver", "indicador_alfabetizacao"): {"partition": ["ano"], "cluster": ["id_municipio"]},
+    ("silver", "indicador_alfabetizacao"): {"partition": ["ano", "_bucket"], "cluster": ["id_municipio"]},
     ("gold", "indicador_municipio"): {"partition": ["ano"], "cluster": ["sigla_uf", "id_municipio"]},
-    ("gold", "evolucao_uf"): {"partition": [], "cluster": ["id_uf", "ano"]},
-    ("gold", "ml_features"): {"partition": [], "cluster": ["sigla_uf", "ano"]},
+    ("gold", "evolucao_uf"): {"partition": [], "cluster": ["id_uf", "ano"]},   # one row per state-year
+    ("gold", "ml_features"): {"partition": [], "cluster": ["sigla_uf", "ano", "id_municipio"]},
 }
 
 
@@ -50,10 +50,15 @@ def add_audit_columns(df: DataFrame, layer: str, run_ts: str, source: str | None
 def clustered(df: DataFrame, partition: Sequence[str], cluster: Sequence[str]) -> DataFrame:
     """Range-partition on (partition..., cluster...) and sort inside each task:
     files get tight min/max statistics on the cluster columns and a large
-    partition value is spread over many writers instead of one."""
-    keys = list(partition) + list(cluster)
-    if not keys:
+    partition value is spread over many writers instead of one.
+
+    Without cluster columns nothing is reshuffled: range bounds over
+    low-cardinality partition values alone (a run date, a year) would put a
+    whole value into one task.  The cluster list always ends in a
+    high-cardinality key for that reason."""
+    if not cluster:
         return df
+    keys = list(partition) + list(cluster)
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
@@ -61,7 +66,8 @@ def write_layer(df: DataFrame, root: str, layer: str, entity: str, run_date: str
     date_col = LAYER_DATE_COL[layer]
     spec = LAYOUT.get((layer, entity), {"partition": [], "cluster": []})
     parts = [date_col] + list(spec["partition"])
-    out = clustered(df.withColumn(date_col, F.lit(run_date).cast("date")), parts, spec["cluster"])
+    # the run date is one constant value: it is a folder level, never a range key
+    out = clustered(df, spec["partition"], spec["cluster"]).withColumn(date_col, F.lit(run_date).cast("date"))
     path = layer_path(root, layer, entity)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts).parquet(path))
@@ -110,9 +116,12 @@ def export_dual(df: DataFrame, paths: Sequence[str]) -> list[str]:
     """The same table as Parquet and as CSV with header under each path."""
     written = []
     for base in paths:
-        df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/parquet")
-        df.write.mode("overwrite").option("header", True).csv(f"{base.rstrip('/')}/csv")
-        written += [f"{base}/parquet", f"{base}/csv"]
+        pq = f"{base.rstrip('/')}/parquet"
+        df.write.mode("overwrite").parquet(pq)
+        # the CSV copy is written from the Parquet files: the table is computed once
+        df.sparkSession.read.parquet(pq).write.mode("overwrite").option("header", True).csv(
+            f"{base.rstrip('/')}/csv")
+        written += [pq, f"{base}/csv"]
     return written
 
 

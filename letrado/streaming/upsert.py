@@ -7,10 +7,11 @@ batch loses against a newer one already stored.  Per micro-batch:
 1. invalid / corrupt events -> ``quarantine/batch_id=<id>`` (overwrite: a
    replayed batch rewrites the same folder);
 2. valid events -> ``streaming_events/batch_id=<id>`` (same rule);
-3. the years touched by the batch are read back from silver (partition
-   pruning), unioned with the batch, ranked to one row per key, checkpointed
-   (so the write no longer reads its own target) and written with dynamic
-   partition overwrite.  Re-running a batch gives the same silver table.
+3. the (year, hash bucket) partitions touched by the batch are read back from
+   silver (partition pruning), unioned with the batch, ranked to one row per
+   key, materialised under ``spark.checkpoint.dir`` (so the write no longer
+   reads its own target) and written with dynamic partition overwrite.
+   Re-running a batch gives the same silver table.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from letrado.plans import silver
+from letrado.session import materialize
 from letrado.streaming.events import FLAT_COLS, enrich_events
 
 QUARANTINE_COLS = ["event_id", "reject_reason", "id_municipio", "ano", "_indicador_raw", "_corrupt_record"]
@@ -52,9 +54,11 @@ class IndicadorUpsert:
                                   f"{self.quarantine_root}/batch_id={batch_id}")
             valid = batch.where(F.col("is_valid")).select(*FLAT_COLS)
             self._write_partition(enrich_events(valid), f"{self.events_root}/batch_id={batch_id}")
-            years = [r[0] for r in valid.select("ano").distinct().collect()]  # bounded: one per year
-            if years:
-                self.merge(spark, valid, years)
+            # bounded: at most (years x UPSERT_BUCKETS) pairs
+            touched = [(r[0], r[1]) for r in
+                       valid.select("ano", silver.bucket_of().alias("_bucket")).distinct().collect()]
+            if touched:
+                self.merge(spark, valid, touched)
         finally:
             batch.unpersist()
 
@@ -62,18 +66,22 @@ class IndicadorUpsert:
     def _write_partition(df: DataFrame, path: str) -> None:
         df.write.mode("overwrite").parquet(path)
 
-    def merge(self, spark: SparkSession, valid_events: DataFrame, years: list[int]) -> None:
+    def merge(self, spark: SparkSession, valid_events: DataFrame, touched: list[tuple[int, int]]) -> None:
         stream_rows = silver.stream_measurements(valid_events, self.event_types, self.skip_null)
         rows = stream_rows
         if _exists(spark, self.silver_path):
-            stored = (spark.read.parquet(self.silver_path)
-                      .where(F.col("ano").isin(years))
-                      .select(*stream_rows.columns))
+            # a predicate on partition columns only: Spark lists just these folders
+            only = None
+            for ano, bucket in touched:
+                one = (F.col("ano") == ano) & (F.col("_bucket") == bucket)
+                only = one if only is None else (only | one)
+            stored = spark.read.parquet(self.silver_path).where(only).select(*stream_rows.columns)
             rows = stored.unionByName(stream_rows)
         municipios = spark.read.parquet(self.municipios_path)
         merged = silver.finish_indicador(silver.rank_measurements(rows), municipios, keep_lineage=True)
-        merged = merged.checkpoint()  # reliable checkpoint under spark.checkpoint.dir
-        # range partitioning splits a large year over many writers
-        (merged.repartitionByRange("ano", "id_municipio").write.mode("overwrite")
+        # written under spark.checkpoint.dir and read back, so the overwrite
+        # below no longer reads the folders it replaces
+        merged = materialize(merged, "upsert")
+        (merged.repartitionByRange("ano", "_bucket", "id_municipio").write.mode("overwrite")
                .option("partitionOverwriteMode", "dynamic")
-               .partitionBy("ano").parquet(self.silver_path))
+               .partitionBy("ano", "_bucket").parquet(self.silver_path))

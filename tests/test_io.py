@@ -13,10 +13,10 @@ def test_namespaces_and_warehouse_table(spark, tmp_root):
 def test_layer_write_is_idempotent_per_date(spark, tmp_root):
     df = spark.createDataFrame([("1", 2023)], "id_municipio string, ano int")
     for _ in range(2):
-        io.write_layer(df, tmp_root, "silver", "indicador_alfabetizacao", "2024-01-31")
-    io.write_layer(df, tmp_root, "silver", "indicador_alfabetizacao", "2024-02-01")
-    assert io.read_layer(spark, tmp_root, "silver", "indicador_alfabetizacao", "2024-01-31").count() == 1
-    assert io.read_layer(spark, tmp_root, "silver", "indicador_alfabetizacao").count() == 2
+        io.write_layer(df, tmp_root, "silver", "ufs", "2024-01-31")
+    io.write_layer(df, tmp_root, "silver", "ufs", "2024-02-01")
+    assert io.read_layer(spark, tmp_root, "silver", "ufs", "2024-01-31").count() == 1
+    assert io.read_layer(spark, tmp_root, "silver", "ufs").count() == 2
 
 
 def test_events_fall_back_to_all_days(spark, tmp_root):

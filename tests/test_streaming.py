@@ -58,7 +58,7 @@ def _base_silver(spark, root):
     b = bronze(spark, SF_SMALL)
     s = silver.build_silver(b, keep_lineage=True)
     s["municipios"].write.mode("overwrite").parquet(f"{root}/silver/municipios")
-    s["indicador_alfabetizacao"].write.mode("overwrite").partitionBy("ano").parquet(f"{root}/silver/ind")
+    s["indicador_alfabetizacao"].write.mode("overwrite").partitionBy("ano", "_bucket").parquet(f"{root}/silver/ind")
     return b, s
 
 
