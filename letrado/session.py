@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,8 +62,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint root (unique per call)."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/letrado/{name}-{os.getpid()}"
+    return f"{root}/letrado/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df, name: str):
