@@ -32,13 +32,18 @@ def labelled(features: DataFrame) -> DataFrame:
 
 
 def class_weights(features: DataFrame) -> DataFrame:
-    """weight(class) = n / (2 * n_class): both classes weigh the same in total."""
+    """weight(class) = n / (2 * n_class): both classes weigh the same in total.
+
+    One aggregate gives n and both class counts; ``inline`` turns it into one
+    row per class present (no join)."""
     lab = features.where(F.col(LABEL).isNotNull())
-    per = lab.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n_class"))
-    tot = lab.agg(F.count(F.lit(1)).alias("n"))
-    # the total is a one-row aggregate; joining on a constant key keeps it an equi-join
-    return (per.withColumn("_k", F.lit(1)).join(tot.withColumn("_k", F.lit(1)), "_k")
-               .select(LABEL, "n_class", "n", (F.col("n") / (F.lit(2) * F.col("n_class"))).alias("weight")))
+    a = lab.agg(F.count(F.lit(1)).alias("n"),
+                F.count_if(F.col(LABEL)).alias("n_true"),
+                F.count_if(~F.col(LABEL)).alias("n_false"))
+    rows = F.array(F.struct(F.lit(True).alias(LABEL), F.col("n_true").alias("n_class"), F.col("n").alias("n")),
+                   F.struct(F.lit(False).alias(LABEL), F.col("n_false").alias("n_class"), F.col("n").alias("n")))
+    per = a.select(F.inline(rows)).where(F.col("n_class") > 0)
+    return per.select(LABEL, "n_class", "n", (F.col("n") / (F.lit(2) * F.col("n_class"))).alias("weight"))
 
 
 def with_weights(df: DataFrame) -> DataFrame:
