@@ -18,6 +18,17 @@ PIPELINE_CONF = {
     "spark.ui.enabled": "false",
     # checkpoint files of unreachable DataFrames are removed by the cleaner
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # scan splits and post-shuffle partitions sized for executor memory
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+}
+
+# On a cluster (no explicit partition count): start every shuffle wide and let
+# AQE coalesce to the advisory size, so a 10 TB shuffle gets ~40 000 reducers of
+# ~256 MB instead of 200 reducers of 50 GB; small shuffles coalesce to a few.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
 
 
@@ -29,6 +40,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(PIPELINE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    else:
+        conf.update(CLUSTER_CONF)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
