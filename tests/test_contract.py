@@ -66,3 +66,27 @@ def test_partition_filter_reaches_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(gold_date" in plan or "PartitionFilters: [" in plan
     assert "ano" in plan
+
+
+def _final_plan(df):
+    df.write.format("noop").mode("overwrite").save()   # AQE's final plan
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dimension_joins_are_broadcast(spark):
+    plan = _final_plan(E.queries()["indicador_municipio"](spark, SF_SMALL))
+    assert plan.count("BroadcastHashJoin") >= 3          # states, national goals, codes
+
+
+def test_group_aggregates_are_partial_before_the_exchange(spark):
+    plan = E.queries()["painel_nacional"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_avg" in plan and "partial_count" in plan
+
+
+def test_checked_broadcast_respects_its_bound(spark):
+    from letrado.operators.joins import checked_broadcast
+    def hinted(side):
+        plan = spark.range(50).join(side, "id")._jdf.queryExecution().analyzed().toString()
+        return "ResolvedHint (strategy=broadcast)" in plan
+    assert hinted(checked_broadcast(spark.range(5), 10))
+    assert not hinted(checked_broadcast(spark.range(50), 10))
