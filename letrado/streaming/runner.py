@@ -23,18 +23,20 @@ def event_source(spark: SparkSession, source: str, fmt: str = "text", max_files_
         r = spark.readStream.format("kafka")
         for k, v in (options or {}).items():
             r = r.option(k, v)
-        return r.load().select(F.col("value").cast("string").alias("value"))
+        msg_id = F.concat_ws("/", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+        return r.load().select(F.col("value").cast("string").alias("value"), msg_id.alias("_message_id"))
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(source).select("value")
+    return r.load(source).select("value", F.col("_metadata.file_path").alias("_message_id"))
 
 
 def start_event_stream(spark: SparkSession, source: str, indicador_path: str, municipios_path: str,
                        quarantine_root: str, events_root: str, checkpoint: str | None = None, available_now: bool = False,
                        fmt: str = "text", max_files_per_trigger: int | None = None,
                        options: dict | None = None) -> StreamingQuery:
-    events = prepare_events(event_source(spark, source, fmt, max_files_per_trigger, options))
+    events = prepare_events(event_source(spark, source, fmt, max_files_per_trigger, options)) \
+        .withColumn("_received_at", F.current_timestamp())
     # at-least-once delivery: drop redelivered event ids within the horizon
     wm_ts = F.coalesce(F.col("event_timestamp").cast("timestamp"), F.current_timestamp())
     key = F.coalesce(F.col("event_id"), F.sha2(F.coalesce(F.col("_corrupt_record"), F.lit("")), 256))

@@ -26,6 +26,10 @@ from letrado.streaming.events import FLAT_COLS, enrich_events
 QUARANTINE_COLS = ["event_id", "reject_reason", "id_municipio", "ano", "_indicador_raw", "_corrupt_record"]
 
 
+def _quarantine_cols(df: DataFrame) -> list[str]:
+    return QUARANTINE_COLS + [c for c in ("_message_id", "_received_at") if c in df.columns]
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # noqa: B018
@@ -50,9 +54,10 @@ class IndicadorUpsert:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
-            self._write_partition(batch.where(~F.col("is_valid")).select(*QUARANTINE_COLS),
+            self._write_partition(batch.where(~F.col("is_valid")).select(*_quarantine_cols(batch)),
                                   f"{self.quarantine_root}/batch_id={batch_id}")
-            valid = batch.where(F.col("is_valid")).select(*FLAT_COLS)
+            meta = [c for c in ("_message_id", "_received_at") if c in batch.columns]
+            valid = batch.where(F.col("is_valid")).select(*FLAT_COLS, *meta)
             self._write_partition(enrich_events(valid), f"{self.events_root}/batch_id={batch_id}")
             # bounded: at most (years x UPSERT_BUCKETS) pairs
             touched = [(r[0], r[1]) for r in

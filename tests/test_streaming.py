@@ -88,6 +88,8 @@ def test_stream_upsert_matches_batch_form_and_replays(spark, tmp_root):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
     q = spark.read.parquet(f"{tmp_root}/quarantine")
+    assert q.where("_message_id LIKE '%b.json' AND _received_at IS NOT NULL").count() >= 2
+    assert spark.read.parquet(f"{tmp_root}/events").where("_message_id IS NULL").count() == 0
     reasons = {r[0] for r in q.select("reject_reason").distinct().collect()}
     assert {"registro_corrompido", "indicador_invalido", "sem_id_municipio"} <= reasons
 
