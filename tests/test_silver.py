@@ -106,3 +106,29 @@ def test_meta_long_form_accepted(spark):
     b = spark.createDataFrame([(2021, 55.0), (2021, 56.0), (2022, 60.0)], "ano int, meta double")
     assert sorted(rows(silver.transform_meta_brasil(b))) == [(2021, 56.0), (2022, 60.0)]
     assert F is not None
+
+
+def _events(spark, rows):
+    return spark.createDataFrame(rows, "event_id string, event_type string, event_timestamp timestamp_ntz, "
+                                       "id_municipio string, ano int, indicador_alfabetizacao double, "
+                                       "quantidade_matriculas bigint")
+
+
+def test_stream_overrides_batch_with_options(spark):
+    import datetime as dt
+    b = spark.createDataFrame(IND, "id_municipio string, ano int, indicador_alfabetizacao double, "
+                                   "quantidade_matriculas bigint")
+    t = dt.datetime(2024, 1, 1)
+    ev = _events(spark, [("e1", "INDICADOR_ATUALIZADO", t, "3550308", 2022, 10.0, 1),
+                         ("e2", "META_REVISADA", t + dt.timedelta(hours=1), "3550308", 2022, 20.0, 2),
+                         ("e3", "INDICADOR_ATUALIZADO", t, "3304557", 2022, None, 3)])
+    m = mun(spark)
+
+    def value(**kw):
+        out = silver.transform_indicador(b, m, stream=ev, **kw)
+        return {r["id_municipio"]: r["indicador_alfabetizacao"] for r in out.where("ano = 2022").collect()}
+
+    assert value()["3550308"] == 20.0                       # newest event wins
+    assert value(event_types=["INDICADOR_ATUALIZADO"])["3550308"] == 10.0
+    assert value()["3304557"] == 68.1                       # a NULL event value does not override
+    assert "3304557" not in value(skip_null=False)          # ...unless asked: the key then drops (D11)
