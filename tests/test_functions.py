@@ -1,5 +1,3 @@
-import math
-
 from pyspark.sql import functions as F
 
 from letrado.functions.scalar import clean_double, norm_text, round2, status_meta, strip_ws
@@ -41,4 +39,3 @@ def test_status_meta_three_ways(spark):
     df = spark.createDataFrame([(75.0, 70.0), (65.0, 70.0), (70.0, None), (None, 70.0)], "i double, m double")
     got = [r[0] for r in df.select(status_meta("i", "m")).collect()]
     assert got == ["ATINGIDA", "NAO_ATINGIDA", "SEM_META", "SEM_META"]
-    assert not math.isnan(1.0)

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from conftest import rows
 from letrado.operators.dedup import keep_latest
 from letrado.operators.integrity import orphans, referential_filter
@@ -105,7 +103,6 @@ def test_meta_uf_looks_up_state_id(spark):
 def test_meta_long_form_accepted(spark):
     b = spark.createDataFrame([(2021, 55.0), (2021, 56.0), (2022, 60.0)], "ano int, meta double")
     assert sorted(rows(silver.transform_meta_brasil(b))) == [(2021, 56.0), (2022, 60.0)]
-    assert F is not None
 
 
 def _events(spark, rows):
