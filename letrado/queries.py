@@ -32,15 +32,15 @@ def query(name: str):
     return deco
 
 
-def bronze(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def bronze(spark: SparkSession, d: str) -> LazyTables:
     return mapping.bronze_entities(spark, d)
 
 
-def silver_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def silver_tables(spark: SparkSession, d: str) -> LazyTables:
     return silver.build_silver(bronze(spark, d))
 
 
-def gold_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def gold_tables(spark: SparkSession, d: str) -> LazyTables:
     return gold.build_gold(silver_tables(spark, d))
 
 
@@ -51,8 +51,6 @@ def _checkpointed(tables) -> LazyTables:
     return LazyTables({k: (lambda k=k: materialize(tables[k], k)) for k in tables})
 
 
-
-
 # -- step 0: scalar helpers over whole tables ---------------------------------
 
 @query("norm_text")
