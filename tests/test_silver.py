@@ -129,3 +129,26 @@ def test_stream_overrides_batch_with_options(spark):
     assert value(event_types=["INDICADOR_ATUALIZADO"])["3550308"] == 10.0
     assert value()["3304557"] == 68.1                       # a NULL event value does not override
     assert "3304557" not in value(skip_null=False)          # ...unless asked: the key then drops (D11)
+
+
+def test_hot_key_with_a_third_of_the_rows(spark):
+    import datetime as dt
+    import random
+    rnd = random.Random(7)
+    rows = []
+    base = dt.datetime(2022, 1, 1)
+    for i in range(3000):
+        hot = i % 3 == 0                       # one key carries a third of all rows
+        key = "3550308" if hot else rnd.choice(["3304557", "3106200"])
+        rows.append((key, 2022, float(rnd.randint(0, 9999)) / 100, i, base + dt.timedelta(minutes=rnd.randint(0, 500)), i))
+    b = spark.createDataFrame(rows, "id_municipio string, ano int, indicador_alfabetizacao double, "
+                                    "quantidade_matriculas bigint, _ingestion_timestamp timestamp_ntz, "
+                                    "_record_id bigint").repartition(6)
+    out = silver.transform_indicador(b, mun(spark))
+    assert "Partial" in out._jdf.queryExecution().executedPlan().toString()
+    want = {}
+    for key, _, v, _, ts, rid in rows:             # brute force: latest time, then highest record id
+        if key not in want or (ts, rid) > want[key][0]:
+            want[key] = ((ts, rid), v)
+    got = {r["id_municipio"]: r["indicador_alfabetizacao"] for r in out.collect()}
+    assert got == {k: v for k, (_, v) in want.items()}
