@@ -37,13 +37,21 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", int(cpus), app_name="letrado-bench",
                           extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
-    out = {}
+    out, errors = {}, {}
     for n in names:
-        run_once(spark, n, sf_dir)  # warm-up: JIT, file listing, metadata caches
-        out[n] = round(statistics.median(run_once(spark, n, sf_dir) for _ in range(reps)), 3)
+        try:
+            run_once(spark, n, sf_dir)  # warm-up: JIT, file listing, metadata caches
+            out[n] = round(statistics.median(run_once(spark, n, sf_dir) for _ in range(reps)), 3)
+        except Exception as e:  # noqa: BLE001 - one failing query must not hide the others
+            out[n] = None
+            errors[n] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "median_query_seconds_total", "value": round(sum(out.values()), 3),
-                      "unit": "sec", "queries": out, "sf": float(sf) if sf.replace(".", "").isdigit() else sf}))
+    line = {"metric": "median_query_seconds_total",
+            "value": round(sum(v for v in out.values() if v is not None), 3),
+            "unit": "sec", "queries": out, "sf": float(sf) if sf.replace(".", "").isdigit() else sf}
+    if errors:
+        line["errors"] = errors
+    print(json.dumps(line))
 
 
 if __name__ == "__main__":
