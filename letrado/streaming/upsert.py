@@ -74,7 +74,9 @@ class IndicadorUpsert:
     def merge(self, spark: SparkSession, valid_events: DataFrame, touched: list[tuple[int, int]]) -> None:
         stream_rows = silver.stream_measurements(valid_events, self.event_types, self.skip_null)
         rows = stream_rows
+        stored_schema = None
         if _exists(spark, self.silver_path):
+            stored_schema = spark.read.parquet(self.silver_path).schema
             # a predicate on partition columns only: Spark lists just these folders
             only = None
             for ano, bucket in touched:
@@ -84,6 +86,13 @@ class IndicadorUpsert:
             rows = stored.unionByName(stream_rows)
         municipios = spark.read.parquet(self.municipios_path)
         merged = silver.finish_indicador(silver.rank_measurements(rows), municipios, keep_lineage=True)
+        if stored_schema is not None:
+            # rewritten partitions keep the table's columns: the silver write
+            # time is refreshed, any other extra column is carried as NULL
+            for f in stored_schema.fields:
+                if f.name not in merged.columns:
+                    value = F.current_timestamp() if f.name == "_silver_timestamp" else F.lit(None)
+                    merged = merged.withColumn(f.name, value.cast(f.dataType))
         # written under spark.checkpoint.dir and read back, so the overwrite
         # below no longer reads the folders it replaces
         merged = materialize(merged, "upsert")

@@ -108,3 +108,17 @@ def test_late_older_event_loses(spark, tmp_root):
     _run(spark, tmp_root, src, f"{tmp_root}/ckpt")
     r = spark.read.parquet(f"{tmp_root}/silver/ind").where("id_municipio = '1' AND ano = 1996").collect()
     assert len(r) == 1 and r[0]["indicador_alfabetizacao"] == 90.0
+
+
+def test_upsert_keeps_the_stored_columns(spark, tmp_root):
+    b = bronze(spark, SF_SMALL)
+    s = silver.build_silver(b, keep_lineage=True)
+    s["municipios"].write.mode("overwrite").parquet(f"{tmp_root}/silver/municipios")
+    (s["indicador_alfabetizacao"].withColumn("_silver_timestamp", F.lit("2024-01-31 00:00:00").cast("timestamp"))
+     .write.mode("overwrite").partitionBy("ano", "_bucket").parquet(f"{tmp_root}/silver/ind"))
+    src = f"{tmp_root}/src"
+    _write_lines(f"{src}/1.json", [msg("n", "1", 1996, 90.0)])
+    _run(spark, tmp_root, src, f"{tmp_root}/ckpt")
+    ind = spark.read.option("mergeSchema", "true").parquet(f"{tmp_root}/silver/ind")
+    assert ind.where("_silver_timestamp IS NULL").count() == 0
+    assert ind.where("id_municipio = '1' AND ano = 1996").first()["indicador_alfabetizacao"] == 90.0
