@@ -16,7 +16,8 @@ def test_entry_runs(spark):
 
 def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert len(E.oracle_sql()) >= len(E.queries()) - 3
+    own = set(E.QUERIES)
+    assert len(own & set(E.oracle_sql())) >= len(own) - 3
 
 
 @pytest.fixture(scope="module")
@@ -49,7 +50,8 @@ def _plan(df):
 
 
 def test_no_python_udfs_in_any_query(spark):
-    for name, fn in E.queries().items():
+    for name in E.QUERIES:
+        fn = E.queries()[name]
         if name in ("ml_predict", "ml_evaluate", "partition_roundtrip", "dual_format_export"):
             continue
         plan = _plan(fn(spark, SF_SMALL))
