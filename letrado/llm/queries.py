@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letrado.llm import bpe, token_counts
-from letrado.llm.common import documents
+from letrado.llm import bpe, html_extract, quality_rules, rule_ensemble, simhash, token_counts
+from letrado.llm.common import documents, fold_remainder, small_batches
+from letrado.sources.tables import read_table
 
 JSON_VOCABULARY = "byte_bpe_50k.json"
 RANK_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 SEQUENCE = 1024
+QUALITY_CUT = 0.3
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +24,25 @@ def query(fn):
     return fn
 
 
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.apply_quality_rules(documents(spark, sf_dir), out_col="rules")
+    return judged.select("doc_id", *[F.col("rules")[c].alias(c) for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+
+
+ORACLE["op1_quality_rules"] = quality_rules.ORACLE_SQL
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = rule_ensemble.fit_rules(docs, read_table(spark, sf_dir, "labels"))
+    scored = rule_ensemble.score_quality(docs, model)
+    return scored.select("doc_id", (fold_remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
+
+
 @query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
@@ -38,3 +59,17 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_extract.extract_text(pages, html_extract.fit_page_model(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
+    return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
