@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,13 +12,21 @@ from letrado.sources.tables import read_table
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound what one Arrow batch holds: long texts come in few rows a batch."""
+PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def prepare(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Python workers import this package, and bound what one Arrow batch
+    holds: long texts come in few rows a batch."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if PACKAGE_ROOT not in paths:
+        env["PYTHONPATH"] = ":".join([PACKAGE_ROOT, *paths])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     return read_table(spark, sf_dir, "documents").select(*(cols or ("doc_id", "text")))
 
 

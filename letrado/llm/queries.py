@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letrado.llm import bpe, html_extract, quality_rules, rule_ensemble, simhash, token_counts
-from letrado.llm.common import documents, fold_remainder, small_batches
+from letrado.llm import bpe, html_extract, packing, quality_rules, rule_ensemble, simhash, token_counts
+from letrado.llm.common import documents, fold_remainder, prepare
 from letrado.sources.tables import read_table
 
 JSON_VOCABULARY = "byte_bpe_50k.json"
@@ -34,6 +34,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op1_quality_rules"] = quality_rules.ORACLE_SQL
 
 
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path(JSON_VOCABULARY), max_length=SEQUENCE)
+
+
 @query
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
@@ -63,7 +68,7 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = html_extract.extract_text(pages, html_extract.fit_page_model(pages))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

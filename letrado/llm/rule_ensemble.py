@@ -137,13 +137,14 @@ def fit_rules(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, trees:
             return RuleModel(math.log((ones + 1) / (n - ones + 1)))
         forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, minInstancesPerNode=5,
                                         featureSubsetStrategy="0.6", subsamplingRate=0.7).fit(sample)
-        rules = sorted(set().union(*(tree_rules(t.toDebugString, STATISTICS) for t in forest.trees)),
-                       key=lambda r: r.terms)
+        # a bound's two sides are each other's complement: one of them is enough
+        rules = sorted((r for r in set().union(*(tree_rules(t.toDebugString, STATISTICS) for t in forest.trees))
+                        if len(r.terms) > 1 or r.terms[0][1] == "<="), key=lambda r: r.terms)
         if not rules:
             return RuleModel(math.log((ones + 1) / (n - ones + 1)))
         holds = F.array(*[F.when(r.column(F.col("stats")), 1.0).otherwise(0.0) for r in rules])
         held = sample.select("label", array_to_vector(holds).alias("features"))
-        linear = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=60, tol=1e-6).fit(held)
+        linear = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=40, tol=1e-5).fit(held)
         weights = linear.coefficients.toArray().tolist()
         return RuleModel(linear.intercept, tuple((r, w) for r, w in zip(rules, weights) if w))
     finally:
