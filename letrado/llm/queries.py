@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letrado.llm import bpe, html_extract, packing, quality_rules, rule_ensemble, simhash, token_counts
+from letrado.llm import bpe, html_extract, packing, pii, quality_rules, rule_ensemble, simhash, token_counts, vptree
 from letrado.llm.common import documents, fold_remainder, prepare
 from letrado.sources.tables import read_table
 
@@ -56,6 +56,27 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "n_tokens", (F.col("n_tokens") > SEQUENCE).alias("over_limit"))
 
 
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan_documents(documents(spark, sf_dir))
+    spans = F.col("spans")
+    kinds = F.transform(spans, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+              for kind in pii.KINDS[:4]]
+    return found.select("doc_id", *counts, F.sha2(pii.joined_spans(spans, True).cast("binary"), 256).alias("base_sha256"),
+                        pii.joined_spans(spans).alias("spans"))
+
+
+@query
+def op7_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vptree.nearest(vectors, F.col("vec_id") % 100 == 0, k=10, factor=1.0)
+
+
+ORACLE["op7_vantage_point_search"] = vptree.ORACLE_SQL
+
+
 @query
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANK_VOCABULARY)
