@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letrado.llm import bpe, html_extract, packing, pii, quality_rules, rule_ensemble, simhash, token_counts, vptree
+from letrado.llm import bpe, html_extract, ngram_lm, packing, pii, quality_rules, rule_ensemble, simhash, token_counts, vptree
 from letrado.llm.common import documents, fold_remainder, prepare
 from letrado.sources.tables import read_table
 
@@ -56,6 +56,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "n_tokens", (F.col("n_tokens") > SEQUENCE).alias("over_limit"))
 
 
+@query
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold_remainder(F.col("doc_id"), 7) == 2
+    scores, _ = ngram_lm.score_documents(documents(spark, sf_dir), ~held_out)
+    return scores.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 @query
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.scan_documents(documents(spark, sf_dir))
