@@ -282,11 +282,11 @@ def scan_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def sanitise(df: DataFrame, text_col: str = "text", rule: Disclosure = Disclosure()) -> DataFrame:
     """``df`` with personal data and disclosing terms generalised in ``text_col``; all rows and columns stay."""
-    row, spans = free_name(df, "row_number"), free_name(df, "spans")
+    row, spans, clean = (free_name(df, c) for c in ("row_number", "spans", "clean_text"))
     found = materialize(add_base_spans(df, text_col, spans).withColumn(row, F.monotonically_increasing_id()), "pii-rows")
     holders = found.where(F.size(spans) > 0)
     done = sanitise_rows(holders.select(F.col(row).alias("row"), F.col(text_col).alias("text"), F.col(spans).alias("spans")),
-                         found, text_col, rule).select(F.col("row").alias(row), F.col("clean_text").alias("__clean_text"))
-    changed = holders.join(done, row).select(*[F.col("__clean_text").alias(c) if c == text_col else F.col(c)
+                         found, text_col, rule).select(F.col("row").alias(row), F.col("clean_text").alias(clean))
+    changed = holders.join(done, row).select(*[F.col(clean).alias(c) if c == text_col else F.col(c)
                                                for c in df.columns])
     return changed.unionByName(found.where(F.size(spans) == 0).select(*df.columns))
