@@ -137,15 +137,16 @@ class Page:
         return " ".join("".join(" " if t is None else t for n, t in self.runs if t is None or wanted[n]).split())
 
     def features(self) -> list[tuple]:
-        """(name, value) pairs of each node; every value comes from a small fixed set."""
+        """(name, value) pairs of each node, every value from a small fixed set; a node without text of
+        its own has its tag alone."""
         marks = [0] * len(self.tag)
         for n, t in self.runs:
             if t:
                 marks[n] += len(SENTENCE.findall(t))
         out = []
         for tag, size, links, m in zip(self.tag, self.chars, self.link_chars, marks):
-            out.append((("tag", tag), ("size", min(size, 4000).bit_length()),
-                        ("links", 0 if not size else 1 + (4 * links) // size), ("marks", min(m, 3))))
+            out.append((("tag", tag), ("size", min(size, 4000).bit_length()), ("links", (4 * links) // size),
+                        ("marks", min(m, 3))) if size else (("tag", tag),))
         return out
 
     def labels(self) -> list[int] | None:
@@ -173,10 +174,10 @@ def role_of(tag: str, attrs: str) -> str:
 # Imagined observations that stand beside the counts, so that a role not seen in
 # the labelled pages still has its meaning: (parent label, parent role, role, label) -> count.
 ROLES = ("boilerplate", "content", "neutral")
-PRIOR_EDGES = ({(y, above, "boilerplate", 0): 1000 for y in (0, 1) for above in ROLES}
-               | {(y, above, "content", 1): 20 for y in (0, 1) for above in ("content", "neutral")}
-               | {(0, "boilerplate", role, 0): 2000 for role in ("content", "neutral")}
-               | {(0, "neutral", "neutral", 0): 20, (1, "neutral", "neutral", 1): 20, (1, "content", "neutral", 1): 20})
+PRIOR_EDGES = ({(y, above, "boilerplate", 0): 100_000 for y in (0, 1) for above in ROLES}
+               | {(y, above, "content", 1): 200 for y in (0, 1) for above in ("content", "neutral")}
+               | {(0, "boilerplate", "content", 0): 2000, (0, "content", "neutral", 0): 2000, (0, "neutral", "neutral", 0): 20}
+               | {(1, above, "neutral", 1): 2000 for above in ("content", "neutral")})
 LARGEST_RATIO = 10.0                                          # of one feature's potentials
 
 
