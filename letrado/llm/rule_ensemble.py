@@ -25,34 +25,35 @@ STATISTICS = ("n_words", "mean_word", "symbols_per_word", "bars_per_word", "excl
               "commas_per_word", "upper_share", "digit_share", "distinct_share", "repeated_line_share")
 
 
-def with_statistics(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
-    """``df`` with the struct ``out_col`` of STATISTICS; null counts as empty, where all but the
-    distinct share (1) are 0."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    parts = free_name(df, "text_parts")
+def with_statistics(df: DataFrame, text_col: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with a column per statistic, and their names; null counts as empty, where all but the
+    distinct share (1) are 0.
 
-    def chars(which: str) -> Column:
-        return F.length(text) - F.length(F.translate(text, which, ""))
+    Words and lines are cut once, in a projection of their own, and every
+    statistic is a column rather than a field: Catalyst inlines the fields of a
+    struct into each rule, and would then compute them once per rule.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    words, lines, size = (free_name(df, c) for c in ("text_words", "text_lines", "text_size"))
+    names = {s: free_name(df, s) for s in STATISTICS}
 
-    def matched(pattern: str) -> Column:
-        return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
+    def chars(pattern: str) -> Column:
+        return F.regexp_count(text, F.lit(pattern))
 
-    df = df.withColumn(parts, F.struct(
-        F.array_remove(F.split(text, WORD_GAP), "").alias("words"), F.split(text, "\n").alias("lines"),
-        F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).alias("size")))
-    p = F.col(parts)
-    n = F.greatest(F.size(p["words"]), F.lit(1)).cast("double")
-    size = F.greatest(p["size"], F.lit(1)).cast("double")
-    lines = F.size(p["lines"]).cast("double")
+    cut = df.select("*", F.array_remove(F.split(text, WORD_GAP), "").alias(words), F.split(text, "\n").alias(lines))
+    cut = cut.select("*", F.length(F.array_join(words, "")).alias(size))
+    n = F.greatest(F.size(words), F.lit(1)).cast("double")
+    some = F.greatest(F.col(size), F.lit(1)).cast("double")
     stats = {
-        "n_words": F.size(p["words"]).cast("double"), "mean_word": p["size"] / n,
-        "symbols_per_word": chars("#*$%&|<>") / n, "bars_per_word": chars("|") / n,
-        "exclaims_per_word": chars("!") / n, "stops_per_word": chars(".?") / n, "commas_per_word": chars(",;:") / n,
-        "upper_share": matched(r"\p{Lu}+") / size, "digit_share": chars("0123456789") / size,
-        "distinct_share": F.when(F.size(p["words"]) == 0, 1.0).otherwise(F.size(F.array_distinct(p["words"])) / n),
-        "repeated_line_share": (lines - F.size(F.array_distinct(p["lines"]))) / lines,
+        "n_words": F.size(words), "mean_word": F.col(size) / n,
+        "symbols_per_word": chars("[#*$%&|<>]") / n, "bars_per_word": chars("[|]") / n,
+        "exclaims_per_word": chars("!") / n, "stops_per_word": chars("[.?]") / n, "commas_per_word": chars("[,;:]") / n,
+        "upper_share": chars(r"\p{Lu}") / some, "digit_share": chars("[0-9]") / some,
+        "distinct_share": F.when(F.size(words) == 0, 1.0).otherwise(F.size(F.array_distinct(words)) / n),
+        "repeated_line_share": (F.size(lines) - F.size(F.array_distinct(lines))) / F.size(lines),
     }
-    return df.withColumn(out_col, F.struct(*[stats[s].cast("double").alias(s) for s in STATISTICS])).drop(parts)
+    found = cut.select(*df.columns, *[stats[s].cast("double").alias(names[s]) for s in STATISTICS])
+    return found, names
 
 
 @dataclass(frozen=True)
@@ -61,7 +62,8 @@ class Rule:
 
     terms: tuple[tuple[str, str, float], ...]
 
-    def column(self, stats: Column) -> Column:
+    def column(self, names: dict[str, str]) -> Column:
+        stats = {s: F.col(names[s]) for s, _, _ in self.terms}
         return reduce(lambda a, b: a & b, [stats[s] <= t if op == "<=" else stats[s] > t for s, op, t in self.terms])
 
 
@@ -72,8 +74,8 @@ class RuleModel:
     intercept: float
     rules: tuple[tuple[Rule, float], ...] = ()
 
-    def score(self, stats: Column) -> Column:
-        total = reduce(lambda a, b: a + b, [F.when(r.column(stats), w).otherwise(0.0) for r, w in self.rules],
+    def score(self, names: dict[str, str]) -> Column:
+        total = reduce(lambda a, b: a + b, [F.when(r.column(names), w).otherwise(0.0) for r, w in self.rules],
                        F.lit(self.intercept))
         return 1.0 / (1.0 + F.exp(-total))
 
@@ -103,7 +105,7 @@ def _simplest(terms: tuple) -> Rule:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str = "doc_id",
                     text_col: str = "text", label_col: str = "quality", folds: int = 5) -> DataFrame:
-    """(statistics, label) of at most ``max_rows`` labelled documents outside fold 0.
+    """(STATISTICS, label) of at most ``max_rows`` labelled documents outside fold 0.
 
     Null ids and labels other than 0 and 1 are left out.  An id labelled more
     than once counts once, as 1 if any label says so; of repeated documents the
@@ -116,8 +118,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: s
            .groupBy("id").agg(F.max("label").alias("label"))
            .orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_rows))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = with_statistics(texts.join(F.broadcast(ids), "id"), "text", "stats")   # at most max_rows ids
-    return found.groupBy("id").agg(F.min("stats").alias("stats"), F.max("label").alias("label")).drop("id")
+    found, names = with_statistics(texts.join(F.broadcast(ids), "id"), "text")     # at most max_rows ids
+    least = F.min(F.struct(*[F.col(names[s]).alias(s) for s in STATISTICS])).alias("stats")
+    return found.groupBy("id").agg(least, F.max("label").alias("label")).select("stats.*", "label")
 
 
 def fit_rules(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, trees: int = 20, depth: int = 3,
@@ -129,8 +132,9 @@ def fit_rules(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, trees:
     imagined row of either label.
     """
     sample = labelled_sample(docs, labels, max_rows, **columns)
-    sample = sample.select("stats", "label", array_to_vector(F.array(*[F.col("stats")[s] for s in STATISTICS]))
-                           .alias("features")).repartition(1).sortWithinPartitions("stats", "label").persist()
+    sample = (sample.withColumn("features", array_to_vector(F.array(*STATISTICS)))
+              .repartition(1).sortWithinPartitions(*STATISTICS, "label").persist())      # at most max_rows rows
+    names = {s: s for s in STATISTICS}
     try:
         n, ones = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
         if ones in (0, n):
@@ -142,7 +146,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, trees:
                         if len(r.terms) > 1 or r.terms[0][1] == "<="), key=lambda r: r.terms)
         if not rules:
             return RuleModel(math.log((ones + 1) / (n - ones + 1)))
-        holds = F.array(*[F.when(r.column(F.col("stats")), 1.0).otherwise(0.0) for r in rules])
+        holds = F.array(*[F.when(r.column(names), 1.0).otherwise(0.0) for r in rules])
         held = sample.select("label", array_to_vector(holds).alias("features"))
         linear = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=40, tol=1e-5).fit(held)
         weights = linear.coefficients.toArray().tolist()
@@ -156,6 +160,6 @@ def score_quality(df: DataFrame, model: RuleModel, text_col: str = "text", out_c
 
     Null and empty texts are scored by their statistics like any other text.
     """
-    stats = free_name(df, "text_statistics")
-    scored = with_statistics(df, text_col, stats)
-    return scored.withColumn(out_col, model.score(F.col(stats))).drop(stats)
+    found, names = with_statistics(df, text_col)
+    kept = [c for c in df.columns if c != out_col]
+    return found.select(*kept, model.score(names).alias(out_col))
