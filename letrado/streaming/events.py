@@ -27,15 +27,21 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 # Fixed values of the event contract.
-EVENT_TYPES = ("INDICADOR_ATUALIZADO", "NOVA_MEDICAO", "META_REVISADA")
 DEFAULT_YEAR = 2024            # payload without "ano"
 STREAM_SOURCE = "streaming_pubsub"
 STREAM_LAYER = "bronze_streaming"
 INDICATOR_BOUNDS = (0.0, 100.0)
+# Plausible event times: from this day on, and at most this long after the
+# message was received (clocks may differ; only checked where the time of
+# receipt is known).  Anything else is quarantined, never dropped.
+EARLIEST_EVENT = "2000-01-01 00:00:00"
+LARGEST_LEAD = "1 day"
 
 # Reject reasons, in the order they are tested.
 REJECT_CORRUPT = "registro_corrompido"
 REJECT_NO_ID = "sem_id_municipio"
+REJECT_NO_TIME = "sem_timestamp"
+REJECT_BAD_TIME = "timestamp_implausivel"
 REJECT_BAD_VALUE = "indicador_invalido"
 REJECT_OUT_OF_RANGE = "indicador_fora_do_intervalo"
 
@@ -84,8 +90,14 @@ def flatten_events(parsed: DataFrame) -> DataFrame:
 def reject_reason(flat: DataFrame) -> Column:
     v = F.col("indicador_alfabetizacao")
     lo, hi = INDICATOR_BOUNDS
+    at = F.col("event_timestamp")
+    implausible = at < F.lit(EARLIEST_EVENT).cast("timestamp_ntz")
+    if "_received_at" in flat.columns:
+        implausible = implausible | (at > F.col("_received_at").cast("timestamp_ntz") + F.expr(f"INTERVAL {LARGEST_LEAD}"))
     return (F.when(F.col("_corrupt_record").isNotNull(), F.lit(REJECT_CORRUPT))
             .when(F.length(F.col("id_municipio")) == 0, F.lit(REJECT_NO_ID))
+            .when(at.isNull(), F.lit(REJECT_NO_TIME))
+            .when(implausible, F.lit(REJECT_BAD_TIME))
             .when(F.col("_indicador_raw").isNotNull() & v.isNull(), F.lit(REJECT_BAD_VALUE))
             .when(v.isNotNull() & ((v < lo) | (v > hi)), F.lit(REJECT_OUT_OF_RANGE))
             .otherwise(F.lit(None).cast("string")))
@@ -108,5 +120,6 @@ def enrich_events(valid: DataFrame, processing_date: Column | None = None) -> Da
 
 
 def prepare_events(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """messages (JSON text) -> flat, validated events."""
-    return validate_events(flatten_events(parse_messages(messages, value_col)))
+    """messages (JSON text) -> flat, validated events with the hash of their message."""
+    hashed = messages.withColumn("_message_hash", F.sha2(F.coalesce(F.col(value_col), F.lit("")), 256))
+    return validate_events(flatten_events(parse_messages(hashed, value_col)))
