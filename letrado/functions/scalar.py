@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -28,10 +29,14 @@ def _c(c) -> Column:
 def round2(c, scale: int = 2) -> Column:
     """Half-away-from-zero rounding on the decimal value, as the SQL engines do.
 
-    Going through decimal(18,6) makes Spark and DuckDB agree on ties such as
-    50.015 (binary doubles otherwise round differently in the two engines).
+    Going through decimal(38,12) makes Spark and DuckDB agree on ties such as
+    50.015 (binary doubles otherwise round differently in the two engines)
+    without rounding twice.  A value outside that decimal has no fraction left
+    in a double, so it is rounded as a double.
     """
-    return F.round(_c(c).cast("decimal(18,6)"), scale).cast("double")
+    col = _c(c)
+    exact = F.round(col.try_cast("decimal(38,12)"), scale).cast("double")
+    return F.coalesce(exact, F.round(col.cast("double"), scale))
 
 
 def clean_double(c) -> Column:
@@ -55,15 +60,16 @@ def strip_ws(c) -> Column:
 
 @lru_cache(maxsize=1)
 def _fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Accent folding tables for U+0080..U+024F, derived from Unicode NFKD.
+    """Accent folding tables for all of Unicode, derived from NFKD.
 
     A code point whose compatibility decomposition keeps exactly one ASCII
     character goes into a 1:1 ``translate`` table; one that keeps several
-    (ligatures such as IJ, fractions) becomes a ``replace`` pair; one that keeps
-    none is removed by the final non-ASCII filter.
+    (ligatures, fractions, units) into a map that only texts holding such a
+    character are put through; one that keeps none is removed by the final
+    non-ASCII filter.
     """
     src, dst, multi = [], [], []
-    for cp in range(0x80, 0x250):
+    for cp in [*range(0x80, 0xD800), *range(0xE000, sys.maxunicode + 1)]:
         ch = chr(cp)
         folded = "".join(x for x in unicodedata.normalize("NFKD", ch) if ord(x) < 128)
         if len(folded) == 1:
@@ -78,31 +84,20 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def norm_text_sql(col_sql: str) -> str:
-    """SQL text of :func:`norm_text` over a SQL expression."""
-    src, dst, multi = _fold_tables()
-    e = f"upper(regexp_replace({col_sql}, {_sql_str(r'(?U)^\s+|\s+$')}, ''))"
-    for a, b in multi:
-        e = f"replace({e}, {_sql_str(a)}, {_sql_str(b)})"
-    e = f"translate({e}, {_sql_str(src)}, {_sql_str(dst)})"
-    return f"regexp_replace({e}, {_sql_str(r'[^\x00-\x7F]')}, '')"
-
-
 def norm_text(c) -> Column:
     """strip -> upper -> accent folding -> drop remaining non-ASCII.
 
-    'São João d'Água' -> "SAO JOAO D'AGUA".  Covers Latin-1 and Latin
-    Extended-A/B, which is what Portuguese place names use.  Built as one SQL
-    expression (a single round trip to the JVM) for a column name.
+    'São João d'Água' -> "SAO JOAO D'AGUA".  Folds every code point whose
+    decomposition holds ASCII.
     """
-    if isinstance(c, str):
-        return F.expr(norm_text_sql(f"`{c}`"))
     src, dst, multi = _fold_tables()
-    e = F.upper(strip_ws(c))
-    for a, b in multi:
-        e = F.replace(e, F.lit(a), F.lit(b))
-    e = F.translate(e, src, dst)
-    return F.regexp_replace(e, r"[^\x00-\x7F]", "")
+    one = F.translate(F.upper(strip_ws(c)), src, dst)
+    pairs = F.expr("map(" + ", ".join(f"{_sql_str(a)}, {_sql_str(b)}" for a, b in multi) + ")")
+    # cut between code points: an empty-pattern split would part surrogate pairs
+    letters = F.regexp_extract_all(one, F.lit(r"(?s)."), F.lit(0))
+    many = F.array_join(F.transform(letters, lambda x: F.coalesce(F.try_element_at(pairs, x), x)), "")
+    folded = F.when(one.rlike("[" + "".join(a for a, _ in multi) + "]"), many).otherwise(one)
+    return F.regexp_replace(folded, r"[^\x00-\x7F]", "")
 
 
 def literate_flag(proficiency) -> Column:

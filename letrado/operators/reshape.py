@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from letrado.functions.scalar import safe_double
+
 # Fixed prefix of the wide yearly goal columns (meta_alfabetizacao_YYYY).
 GOAL_PREFIX = "meta_alfabetizacao_"
 _YEAR_COL = re.compile(r"^" + GOAL_PREFIX + r"\d{4}$")
@@ -20,13 +22,14 @@ def year_columns(df: DataFrame) -> list[str]:
 def unpivot_years(df: DataFrame, ids: Sequence[str], value_name: str) -> DataFrame:
     """``meta_alfabetizacao_YYYY`` columns -> rows (ids..., ano, value).
 
-    The year is the last four characters of the column name; NULL values are
-    dropped (as SQL ``UNPIVOT`` does; ``DataFrame.unpivot`` keeps them).
+    The year is the last four characters of the column name; values that are
+    NULL, no number or NaN are dropped (as SQL ``UNPIVOT`` does with NULL;
+    ``DataFrame.unpivot`` keeps it).
     """
     cols = year_columns(df)
     if not cols:
         raise ValueError("no meta_alfabetizacao_YYYY columns to unpivot")
-    long = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+    long = df.select(*ids, *[safe_double(c).alias(c) for c in cols]).unpivot(
         list(ids), cols, "ano_meta", value_name)
     return (long.where(F.col(value_name).isNotNull())
                 .select(*ids,

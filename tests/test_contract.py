@@ -84,11 +84,3 @@ def test_group_aggregates_are_partial_before_the_exchange(spark):
     plan = E.queries()["painel_nacional"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "partial_avg" in plan and "partial_count" in plan
 
-
-def test_checked_broadcast_respects_its_bound(spark):
-    from letrado.operators.joins import checked_broadcast
-    def hinted(side):
-        plan = spark.range(50).join(side, "id")._jdf.queryExecution().analyzed().toString()
-        return "ResolvedHint (strategy=broadcast)" in plan
-    assert hinted(checked_broadcast(spark.range(5), 10))
-    assert not hinted(checked_broadcast(spark.range(50), 10))

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.01"
 
 
 def r2(x: float) -> float:
-    return float(Decimal(repr(x)).quantize(Decimal("0.000001"), ROUND_HALF_UP)
+    return float(Decimal(repr(x)).quantize(Decimal("0.000000000001"), ROUND_HALF_UP)
                  .quantize(Decimal("0.01"), ROUND_HALF_UP))
 
 
