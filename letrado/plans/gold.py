@@ -3,8 +3,9 @@
 Joins to the dimensions are plain equi-joins; Catalyst broadcasts a side only
 when its estimated size is under ``autoBroadcastJoinThreshold`` and AQE
 re-checks with the real shuffle sizes, so nothing is broadcast on faith.
-Group-level aggregates use partial (map-side) aggregation: a year holding a
-third of all rows still leaves each map task with one partial row per group.
+Group-level aggregates use partial (map-side) aggregation.  Municipalities are
+counted distinct, exactly: Catalyst first aggregates by (group, municipality),
+which spreads a hot year over all of its municipalities.
 """
 
 from __future__ import annotations
@@ -54,14 +55,11 @@ def _uf_aggregate(ind: DataFrame, mun: DataFrame, ufs: DataFrame, round_extremes
             .where(F.col("id_uf").isNotNull()))
     ext = round2 if round_extremes else (lambda c: c)
     v = F.col("indicador_alfabetizacao")
-    # Silver indicador is unique on (id_municipio, ano) (de-duplicated on that
-    # key), so inside a year-level group count(id_municipio) equals
-    # count(DISTINCT id_municipio) and the aggregate stays fully partial.
     return j.groupBy("id_uf", "sigla_uf", "nome_uf", "ano").agg(
         round2(F.avg(v)).alias("indicador_medio"),
         ext(F.min(v)).alias("indicador_min"),
         ext(F.max(v)).alias("indicador_max"),
-        F.count("id_municipio").alias("total_municipios"),
+        F.count_distinct("id_municipio").alias("total_municipios"),
         F.count_if(F.col("meta_atingida")).alias("municipios_meta_atingida"),
         F.coalesce(F.sum("quantidade_matriculas"), F.lit(0).cast("bigint")).alias("matriculas_total"),
     )
@@ -99,10 +97,9 @@ def build_evolucao_uf_export(ind: DataFrame, mun: DataFrame, ufs: DataFrame) ->
 
 def _national_aggregate(ind: DataFrame) -> DataFrame:
     v = F.col("indicador_alfabetizacao")
-    # one row per (id_municipio, ano) in silver: count == count(DISTINCT id_municipio)
     return ind.groupBy("ano").agg(
         F.avg(v).alias("_media"),
-        F.count("id_municipio").alias("total_municipios"),
+        F.count_distinct("id_municipio").alias("total_municipios"),
         F.count_if(F.col("meta_atingida")).alias("municipios_meta_atingida"),
         F.coalesce(F.sum("quantidade_matriculas"), F.lit(0).cast("bigint")).alias("total_matriculas"),
     )

@@ -2,30 +2,35 @@
 
 Every stage reads what the previous stage wrote (which also cuts lineage) and
 writes one partition per run date, so re-running a date is idempotent and a
-lost executor only re-runs its tasks.  The driver only sequences stages and
-keeps a run-event list (one entry per stage entity); all data work is Spark
-jobs.
+lost executor only re-runs its tasks.  Gold, export and everything after them
+are not run on a silver that failed: what an earlier run left under that date
+must not pass for this run's.  The driver only sequences stages and keeps a
+run-event list (one entry per stage entity); all data work is Spark jobs.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letrado.plans import features, gold, observability, quality, silver
+from letrado.plans import features, gold, observability, quality, rejects, silver
 from letrado.plans.lazy import LazyTables
-from letrado.session import materialize
+from letrado.session import remove_folder, scratch_path
 from letrado.sources import io, mapping
 from letrado.streaming.events import FLAT_COLS, enrich_events, prepare_events
 from letrado.streaming.upsert import QUARANTINE_COLS
 
-STAGES = ("bronze", "stream", "silver", "gold", "quality", "health")
+STAGES = ("bronze", "stream", "silver", "gold", "export", "quality", "health")
+GOLD_TABLES = ("indicador_municipio", "evolucao_uf", "painel_nacional", "ml_features")
 RUN_EVENT_SCHEMA = ("run_id string, ts timestamp, stage string, entity string, status string, "
                     "details string, duration_s double")
+REPORT_SCHEMA = ("run_id string, run_date date, started timestamp, ended timestamp, duration_s double, "
+                 "overall_status string, n_events int")
 
 
 class RunLog:
@@ -37,7 +42,10 @@ class RunLog:
 
     def event(self, stage: str, entity: str, status: str, details: str = "", duration_s: float = 0.0):
         self.rows.append((self.run_id, dt.datetime.now(dt.timezone.utc), stage, entity, status,
-                          details[:500], float(duration_s)))
+                          details, float(duration_s)))
+
+    def failed(self, stage: str) -> bool:
+        return any(r[2] == stage and r[4] == "FAILED" for r in self.rows)
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows, RUN_EVENT_SCHEMA)
@@ -56,8 +64,10 @@ def _timed(log: RunLog, stage: str, entity: str, fn):
 
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_date: str,
                  run_ts: str | None = None, stages: Sequence[str] = STAGES) -> dict:
+    """One run for ``run_date``; a run keeps its own audit, also when the date is run again."""
     run_ts = run_ts or f"{run_date} 00:00:00"
-    run_id = "run_" + run_date.replace("-", "")
+    started = dt.datetime.now(dt.timezone.utc)
+    run_id = f"run_{run_date.replace('-', '')}_{uuid.uuid4().hex[:8]}"
     log = RunLog(run_id)
 
     if "bronze" in stages:
@@ -66,32 +76,54 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_date: str,
                 io.add_audit_columns(df, "bronze", run_ts), root, "bronze", e, run_date))
 
     if "stream" in stages:
-        # the producer side: one NDJSON line per event, partitioned by day
+        # the producer side: one NDJSON line per event, partitioned by run day
         _timed(log, "stream", "events", lambda: io.write_events(
-            mapping.stream_messages(spark.read.parquet(f"{sf_dir}/events.parquet")), root))
+            mapping.stream_messages(spark.read.parquet(f"{sf_dir}/events.parquet")), root, run_date))
 
     if "silver" in stages:
         def bronze_of(e):
             return lambda: io.read_layer(spark, root, "bronze", e, run_date).drop("_source", "_batch_date")
         b = LazyTables({e: bronze_of(e) for e in mapping.bronze_entities(spark, sf_dir)})
-        stream = None
+        stream, parsed = None, scratch_path(spark, "events")
         if "stream" in stages:
-            events = prepare_events(io.read_events(spark, root, dt.date.today().isoformat()))
-            events = materialize(events, "events")  # parsed once; three outputs read it
-            _timed(log, "silver", "quarantine", lambda: events.where(~F.col("is_valid")).select(*QUARANTINE_COLS)
-                   .write.mode("overwrite").parquet(f"{root}/monitoring/quarantine/date={run_date}"))
-            stream = events.where(F.col("is_valid")).select(*FLAT_COLS)
-            _timed(log, "silver", "streaming_events", lambda: io.write_layer(
-                enrich_events(stream, F.lit(run_date).cast("date")), root, "silver", "streaming_events", run_date))
+            def parse():  # parsed once; three outputs read it
+                prepare_events(io.read_events(spark, root, run_date)).write.parquet(parsed)
+                return spark.read.parquet(parsed)
+            events = _timed(log, "silver", "events", parse)
+            if events is not None:
+                _timed(log, "silver", "quarantine", lambda: events.where(~F.col("is_valid")).select(*QUARANTINE_COLS)
+                       .write.mode("overwrite").parquet(f"{root}/monitoring/quarantine/date={run_date}"))
+                stream = events.where(F.col("is_valid")).select(*FLAT_COLS)
+                _timed(log, "silver", "streaming_events", lambda: io.write_layer(
+                    enrich_events(stream, F.lit(run_date).cast("date")), root, "silver", "streaming_events", run_date))
         s = silver.build_silver(b, stream=stream, keep_lineage=True)
         for entity in s:
             _timed(log, "silver", entity, lambda e=entity: io.write_layer(
                 io.add_audit_columns(s[e], "silver", run_ts), root, "silver", e, run_date))
+        remove_folder(spark, parsed)
+        batch = silver.build_silver(b)          # the accounting is of the batch rows; events have their own
+
+        def account():
+            counts = f"{root}/monitoring/reject_counts/date={run_date}"
+            rejects.reject_counts(b, batch).write.mode("overwrite").parquet(counts)
+            rejects.rejected_rows(b, batch).write.mode("overwrite").parquet(f"{root}/monitoring/rejected_rows/date={run_date}")
+            took = spark.createDataFrame([(e, st, d, p) for _, _, g, e, st, p, d in log.rows if g == "silver"],
+                                         "entity string, stage_status string, duration_s double, details string")
+            (observability.ingestion_metrics(spark.read.parquet(counts)).join(F.broadcast(took), "entity", "left")
+             .select("entity", F.lit(run_date).cast("date").alias("run_date"),
+                     F.concat(F.lit(f"{root}/silver/"), "entity").alias("uri"), "bronze_rows", "silver_rows", "duplicate_rows",
+                     "rejected_rows", F.coalesce("stage_status", "status").alias("status"), "duration_s")
+             .write.mode("overwrite").parquet(f"{root}/monitoring/ingestion_metrics/date={run_date}"))
+        _timed(log, "accounting", "rejects", account)
 
     def silver_of(e):
         return io.read_layer(spark, root, "silver", e, run_date).drop("_silver_timestamp")
 
-    if "gold" in stages:
+    blocked = log.failed("silver")
+    if blocked:
+        for table in GOLD_TABLES if "gold" in stages else ():
+            log.event("gold", table, "ABORTED", "silver failed")
+    elif "gold" in stages:
         sv = LazyTables({e: (lambda e=e: silver_of(e)) for e in
                          ("ufs", "municipios", "indicador_alfabetizacao", "meta_brasil", "meta_uf", "meta_municipio")})
         g = gold.build_gold(sv)
@@ -103,8 +135,14 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_date: str,
                 io.read_layer(spark, root, "gold", "indicador_municipio", run_date).drop("_gold_timestamp")),
                 "gold", run_ts), root, "gold", "ml_features", run_date))
 
+    blocked = blocked or log.failed("gold")
+    if "export" in stages and not blocked:
+        for table in GOLD_TABLES:
+            _timed(log, "export", table, lambda t=table: io.export_dual(
+                io.read_layer(spark, root, "gold", t, run_date), [f"{root}/export/{t}"]))
+
     summary = None
-    if "quality" in stages:
+    if "quality" in stages and not blocked:
         def loader(layer, entity):
             return lambda: io.read_layer(spark, root, layer, entity, run_date)
         report = quality.quality_report({k: loader(*k) for k in quality.ENTITY_RULES}, spark=spark)
@@ -115,7 +153,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_date: str,
                   else "WARNINGS" if summary["failed"] > 0 else "SUCCESS")
         log.event("quality", "validation", status, f"pass_rate={summary['pass_rate']}")
 
-    if "health" in stages:
+    if "health" in stages and not blocked:
         def health():
             fresh = observability.freshness(
                 {e: io.read_layer(spark, root, "bronze", e, run_date)
@@ -133,8 +171,12 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_date: str,
         _timed(log, "health", "checks", health)
 
     events = log.frame(spark)
-    events.write.mode("overwrite").parquet(f"{root}/monitoring/run_events/run_id={run_id}")
-    logged = spark.read.parquet(f"{root}/monitoring/run_events/run_id={run_id}").withColumn("run_id", F.lit(run_id))
-    overall = observability.run_status(logged).first()
-    return {"run_id": run_id, "overall_status": overall["overall_status"] if overall else "FAILED",
-            "quality": summary, "events": len(log.rows)}
+    events.drop("run_id").write.mode("errorifexists").parquet(f"{root}/monitoring/run_events/run_id={run_id}")
+    overall = observability.run_status(events).first()
+    status = overall["overall_status"] if overall else "FAILED"
+    ended = dt.datetime.now(dt.timezone.utc)
+    duration = (ended - started).total_seconds()
+    spark.createDataFrame([(run_id, dt.date.fromisoformat(run_date), started, ended, duration, status, len(log.rows))],
+                          REPORT_SCHEMA).drop("run_id").write.parquet(f"{root}/monitoring/run_reports/run_id={run_id}")
+    return {"run_id": run_id, "overall_status": status, "quality": summary, "events": len(log.rows),
+            "started": started.isoformat(), "ended": ended.isoformat(), "duration_s": duration}

@@ -10,13 +10,14 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from letrado.functions.scalar import round2
+from letrado.session import materialize
 
 # Fixed model settings.
 CATEGORICAL = "sigla_uf"
@@ -53,7 +54,8 @@ def with_weights(df: DataFrame) -> DataFrame:
 
 
 def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    bucket = F.pmod(F.xxhash64(F.col("id_municipio")), F.lit(10))
+    # the first 28 bits of the id's MD5: the same split in any SQL engine
+    bucket = F.conv(F.substring(F.md5(F.col("id_municipio").cast("binary")), 1, 7), 16, 10).cast("bigint") % 10
     return df.where(bucket < TRAIN_BUCKETS), df.where(bucket >= TRAIN_BUCKETS)
 
 
@@ -70,9 +72,9 @@ def pipeline() -> Pipeline:
 
 
 def train(features: DataFrame) -> tuple[PipelineModel, DataFrame]:
-    data = with_weights(labelled(features))
-    tr, te = split(data)
-    return pipeline().fit(tr), te
+    """Fit on the training side; the weights come from that side alone."""
+    tr, te = split(labelled(features))
+    return pipeline().fit(with_weights(tr)), te
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
@@ -86,14 +88,64 @@ def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
-    """precision, recall, accuracy, f1, log loss and ROC AUC on the held-out side."""
-    p = model.transform(test)
-    spark = test.sparkSession
-    mc = lambda m: MulticlassClassificationEvaluator(metricName=m, labelCol="label").evaluate(p)
+    """Of the positive class (goal met) on the held-out side: precision, recall, accuracy, f1,
+    log loss and ROC AUC.
+
+    The scored rows are written once: one aggregate gives the four counts and the
+    log loss, one more pass the AUC.  A ratio without rows is 0.
+    """
+    probs = vector_to_array("probability")
+    p = materialize(model.transform(test).select("label", "prediction", "rawPrediction", probs[1].alias("p1")), "scored")
+    y, hat = F.col("label") == 1.0, F.col("prediction") == 1.0
+    likely = F.greatest(F.when(y, F.col("p1")).otherwise(1 - F.col("p1")), F.lit(1e-15))
+    a = p.agg(F.count_if(y & hat).alias("tp"), F.count_if(~y & hat).alias("fp"), F.count_if(y & ~hat).alias("fn"),
+              F.count_if(~y & ~hat).alias("tn"), F.coalesce(F.avg(-F.log(likely)), F.lit(0.0)).alias("log_loss"))
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+
+    def ratio(k, n):
+        return F.when(n > 0, k / n).otherwise(F.lit(0.0))
+
     auc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC").evaluate(p)
-    row = [(mc("weightedPrecision"), mc("weightedRecall"), mc("accuracy"), mc("f1"), mc("logLoss"), auc)]
-    return spark.createDataFrame(row, "precision double, recall double, accuracy double, f1_score double, "
-                                      "log_loss double, roc_auc double")
+    return a.select(ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"),
+                    ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"),
+                    ratio(2 * tp, 2 * tp + fp + fn).alias("f1_score"), "log_loss", F.lit(float(auc)).alias("roc_auc"))
+
+
+def split_counts(features: DataFrame) -> DataFrame:
+    """Labelled rows and goals met on either side of the split."""
+    tr, te = split(labelled(features))
+    both = tr.select(F.lit("train").alias("side"), "label").unionByName(te.select(F.lit("test").alias("side"), "label"))
+    return both.groupBy("side").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("label").cast("bigint").alias("n_met"))
+
+
+def prediction_checks(predictions: DataFrame) -> DataFrame:
+    """What holds for any model: every row scored once, probabilities that add up
+    to 1, the predicted class the likelier one."""
+    p = F.col("prob_atingir")
+    return predictions.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id_municipio", "ano").alias("n_keys"),
+        F.count_if(F.abs(p + F.col("prob_nao_atingir") - 1) > 1e-9).alias("n_bad_sums"),
+        F.count_if((p < 0) | (p > 1)).alias("n_bad_probs"),
+        F.count_if(F.col("predicted_meta_atingida") != (p > 0.5)).alias("n_bad_class"))
+
+
+def evaluation_checks(metrics: DataFrame, test: DataFrame) -> DataFrame:
+    """The evaluated metrics beside what they must satisfy: all within [0, 1], f1 the
+    harmonic mean of precision and recall, on all held-out rows."""
+    cols = ("precision", "recall", "accuracy", "f1_score", "roc_auc")
+    outside = F.array(*[F.when((F.col(c) < 0) | (F.col(c) > 1), 1).otherwise(0) for c in cols])
+    p, r = F.col("precision"), F.col("recall")
+    harmonic = F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
+    return metrics.select(F.aggregate(outside, F.lit(0), lambda a, x: a + x).alias("n_outside"),
+                          (F.abs(harmonic - F.col("f1_score")) < 1e-9).alias("f1_is_harmonic"),
+                          (F.col("log_loss") >= 0).alias("log_loss_positive"),
+                          F.lit(test.count()).cast("bigint").alias("n_test"))
+
+
+def cluster_totals(clusters: DataFrame) -> DataFrame:
+    return clusters.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id_municipio", "ano").alias("n_keys"),
+                        F.count_distinct("cluster").alias("n_clusters"), F.min("cluster").cast("int").alias("low"),
+                        F.max("cluster").cast("int").alias("high"))
 
 
 def uf_convergence(evolucao_uf: DataFrame) -> DataFrame:

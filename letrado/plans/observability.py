@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from letrado.functions.scalar import round2
+
 # Freshness limit, alert rules (sum of errors over 5 minutes
 # above 5; mean pass rate over 5 minutes below 80), required gold tables.
 MAX_AGE_HOURS = 25
@@ -19,9 +21,6 @@ ALERT_MAX_ERRORS = 5
 ALERT_MIN_PASS_RATE = 80.0
 REQUIRED_GOLD = ("indicador_municipio", "evolucao_uf", "painel_nacional")
 
-STAGE_STATUS = ("SUCCESS", "PARTIAL", "FAILED", "WARNINGS", "FAILED_NO_CHECKS", "ABORTED")
-
-
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
@@ -29,10 +28,6 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def _round1(c: Column) -> Column:
-    return F.round(c.cast("decimal(18,6)"), 1).cast("double")
-
-
 def freshness(entities: Mapping[str, DataFrame], as_of: str, ts_col: str = "_ingestion_timestamp",
               max_age_hours: float = MAX_AGE_HOURS) -> DataFrame:
     """Age of the newest row of each entity at ``as_of``; whole days count
@@ -42,7 +37,7 @@ def freshness(entities: Mapping[str, DataFrame], as_of: str, ts_col: str = "_ing
     for name, df in entities.items():
         a = df.agg(F.max(F.col(ts_col).cast("timestamp_ntz")).alias("last_ingestion"))
         age_us = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("last_ingestion").cast("timestamp"))
-        age_h = _round1(age_us / F.lit(3.6e9))
+        age_h = round2(age_us / F.lit(3.6e9), 1)
         parts.append(a.select(
             F.lit(name).alias("entity"), "last_ingestion", age_h.alias("age_hours"),
             F.when(F.col("last_ingestion").isNull(), F.lit("no_data"))
@@ -51,6 +46,11 @@ def freshness(entities: Mapping[str, DataFrame], as_of: str, ts_col: str = "_ing
     return _union(parts)
 
 
+def tables_with_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Names of the tables that hold a row; reads one row of each, not the table."""
+    return _union([df.limit(1).select(F.lit(n).alias("table_name")) for n, df in tables.items()])
+
+
 def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union([df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
                    for n, df in tables.items()])
@@ -59,8 +59,9 @@ def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def gold_completeness(spark: SparkSession, tables: Mapping[str, DataFrame],
                       required: Sequence[str] = REQUIRED_GOLD) -> DataFrame:
     """One row: healthy/incomplete, found and missing tables (sorted)."""
-    counts = table_row_counts({n: tables[n] for n in required if n in tables})
-    found = counts.where(F.col("row_count") > 0).select("table_name")
+    present = {n: tables[n] for n in required if n in tables}
+    found = (tables_with_rows(present) if present
+             else spark.createDataFrame([], "table_name string"))
     req = spark.createDataFrame([(n,) for n in required], "table_name string")
     missing = req.join(found, "table_name", "left_anti")
     tagged = (found.select("table_name", F.lit(True).alias("ok"))
@@ -73,38 +74,45 @@ def gold_completeness(spark: SparkSession, tables: Mapping[str, DataFrame],
         F.concat_ws(",", "f").alias("found"), F.concat_ws(",", "m").alias("missing"))
 
 
-def alert_windows(events: DataFrame, ts_col: str = "event_timestamp", valid_col: str = "is_valid",
-                  window: str = ALERT_WINDOW) -> DataFrame:
-    """Tumbling windows over validated events: error count and pass rate,
-    with the two alert rules evaluated per window."""
-    w = F.window(F.col(ts_col), window)
-    a = (events.where(F.col(ts_col).isNotNull())
-               .groupBy(w.alias("w"))
-               .agg(F.count(F.lit(1)).alias("n_events"), F.count_if(~F.col(valid_col)).alias("n_errors")))
-    rate = F.round(((F.col("n_events") - F.col("n_errors")) / F.col("n_events") * 100)
-                   .cast("decimal(18,6)"), 2).cast("double")
-    return a.select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        "n_events", "n_errors", rate.alias("pass_rate"),
-        (F.col("n_errors") > ALERT_MAX_ERRORS).alias("alert_errors"),
-        (rate < ALERT_MIN_PASS_RATE).alias("alert_quality"))
-
-
-def ingestion_metrics(bronze: Mapping[str, DataFrame], silver: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per entity in and out of silver; a stage entity with no output rows failed."""
-    parts = []
-    for name, b in bronze.items():
-        cnt_b = b.select(F.lit(1).alias("_b"), F.lit(0).alias("_s"))
-        cnt_s = (silver[name].select(F.lit(0).alias("_b"), F.lit(1).alias("_s"))
-                 if name in silver else None)
-        both = cnt_b if cnt_s is None else cnt_b.unionByName(cnt_s)
-        a = both.agg(F.sum("_b").cast("bigint").alias("bronze_rows"),
-                     F.sum("_s").cast("bigint").alias("silver_rows"))
-        parts.append(a.select(
-            F.lit(name).alias("entity"), "bronze_rows", "silver_rows",
-            (F.col("bronze_rows") - F.col("silver_rows")).alias("rejected_rows"),
-            F.when(F.col("silver_rows") > 0, F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("status")))
-    return _union(parts)
+def event_metrics(events: DataFrame, ts_col: str = "event_timestamp", valid_col: str = "is_valid") -> DataFrame:
+    """Validated events as pipeline metrics (ts, n_records, pipeline_errors, pass_rate).  An event
+    without a time counts at its receipt, and without that at no time (NULL)."""
+    ts = F.col(ts_col)
+    if "_received_at" in events.columns:
+        ts = F.coalesce(ts, F.col("_received_at").cast("timestamp_ntz"))
+    return events.select(ts.alias("ts"), F.lit(1).cast("bigint").alias("n_records"),
+                         F.when(F.col(valid_col), 0).otherwise(1).cast("bigint").alias("pipeline_errors"),
+                         F.when(F.col(valid_col), 100.0).otherwise(0.0).alias("pass_rate"))
+
+
+def alert_windows(metrics: DataFrame, window: str = ALERT_WINDOW) -> DataFrame:
+    """The two alert rules over metrics (ts, n_records, pipeline_errors, pass_rate) per tumbling
+    window: sum of errors too high, mean pass rate (weighted by records) too low.  Metrics
+    without a time stand in a row of their own, with no window."""
+    def rules(groups) -> DataFrame:
+        weight = F.sum("n_records")
+        return groups.agg(F.sum("n_records").alias("n_events"), F.sum("pipeline_errors").alias("n_errors"),
+                          round2(F.sum(F.col("pass_rate") * F.col("n_records")) / weight).alias("pass_rate"))
+
+    timed = rules(metrics.where(F.col("ts").isNotNull()).groupBy(F.window("ts", window).alias("w"))).select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n_events", "n_errors", "pass_rate")
+    none = F.lit(None).cast(timed.schema["window_start"].dataType)
+    untimed = rules(metrics.where(F.col("ts").isNull()).groupBy()).where(F.col("n_events") > 0).select(
+        none.alias("window_start"), none.alias("window_end"), "n_events", "n_errors", "pass_rate")
+    return timed.unionByName(untimed).withColumns({
+        "alert_errors": F.col("n_errors") > ALERT_MAX_ERRORS, "alert_quality": F.col("pass_rate") < ALERT_MIN_PASS_RATE})
+
+
+def ingestion_metrics(rejects: DataFrame) -> DataFrame:
+    """From reject_counts rows, per entity: rows in (cells of a wide table), kept, duplicates and
+    rejects, which add up; an entity with no kept row failed."""
+    def total(*reasons: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("reason").isin(*reasons), F.col("n_rows"))), F.lit(0)).cast("bigint")
+
+    a = rejects.groupBy("entity").agg(
+        total("entrada").alias("bronze_rows"), total("mantidas").alias("silver_rows"),
+        total("duplicada").alias("duplicate_rows"), total("sem_chave", "sem_valor", "orfa").alias("rejected_rows"))
+    return a.withColumn("status", F.when(F.col("silver_rows") > 0, F.lit("SUCCESS")).otherwise(F.lit("FAILED")))
 
 
 def stage_status(events: DataFrame) -> DataFrame:

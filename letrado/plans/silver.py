@@ -78,9 +78,11 @@ def _batch_measurements(bronze: DataFrame) -> DataFrame:
           else F.lit(None).cast("timestamp_ntz"))
     seq = (F.col("_record_id").cast("bigint") if "_record_id" in bronze.columns
            else F.lit(None).cast("bigint"))
-    return bronze.where(F.col("id_municipio").isNotNull() & F.col("ano").isNotNull()).select(
+    # the year is tested after the cast: text that is no year makes no key
+    return bronze.withColumn("ano", F.col("ano").try_cast("int")).where(
+        F.col("id_municipio").isNotNull() & F.col("ano").isNotNull()).select(
         F.col("id_municipio").cast("string").alias("id_municipio"),
-        F.col("ano").try_cast("int").alias("ano"),
+        F.col("ano"),
         _indicator_value(bronze).alias("indicador_alfabetizacao"),
         qm.alias("quantidade_matriculas"),
         F.lit(0).alias("_priority"),
@@ -99,7 +101,7 @@ def stream_measurements(events: DataFrame, event_types=None, skip_null: bool = T
         ev = ev.where(F.col("indicador_alfabetizacao").isNotNull())
     return ev.select(
         F.col("id_municipio").cast("string"),
-        F.col("ano").cast("int"),
+        F.col("ano").try_cast("int"),
         F.col("indicador_alfabetizacao").cast("double"),
         F.col("quantidade_matriculas").cast("bigint"),
         F.lit(1).alias("_priority"),
@@ -155,20 +157,25 @@ def transform_indicador(bronze: DataFrame, municipios: DataFrame, stream: DataFr
                             municipios, keep_lineage)
 
 
-def prepare_alunos(bronze: DataFrame) -> DataFrame:
-    """Typed, one row per (id_aluno, ano), scored; before the municipality check."""
+def ranked_alunos(bronze: DataFrame) -> DataFrame:
+    """Typed, one row per (id_aluno, ano); a row without a year has no key."""
     has_id = "id_aluno" in bronze.columns
     df = bronze.select(
         *([F.col("id_aluno").cast("string").alias("id_aluno")] if has_id else []),
         F.col("ano").try_cast("int").alias("ano"),
         F.col("id_municipio").cast("string").alias("id_municipio"),
         safe_double("proficiencia").alias("proficiencia_saeb"),
-        *_carry(bronze))
+        *_carry(bronze)).where(F.col("ano").isNotNull())
     if has_id:
         df = _dedup(df, ["id_aluno", "ano"], ["proficiencia_saeb", "id_municipio"])
     else:
         df = df.drop(*_order_cols(df))
-    return df.where(F.col("proficiencia_saeb").isNotNull())
+    return df
+
+
+def prepare_alunos(bronze: DataFrame) -> DataFrame:
+    """Ranked and scored; before the municipality check."""
+    return ranked_alunos(bronze).where(F.col("proficiencia_saeb").isNotNull())
 
 
 def transform_alunos(bronze: DataFrame, municipios: DataFrame) -> DataFrame:
@@ -177,17 +184,18 @@ def transform_alunos(bronze: DataFrame, municipios: DataFrame) -> DataFrame:
 
 
 def _long_goals(bronze: DataFrame, ids: list[str], value: str) -> DataFrame:
-    """Accept the wide source (meta_alfabetizacao_YYYY) or an already long one."""
+    """Accept the wide source (meta_alfabetizacao_YYYY) or an already long one.
+    The audit columns come along: the latest ingestion of a goal wins."""
+    ids = [*ids, *_order_cols(bronze)]
     if year_columns(bronze):
         return unpivot_years(bronze, ids, value)
     src = value if value in bronze.columns else "meta"
-    return bronze.select(*ids, F.col("ano").cast("int").alias("ano"),
-                         safe_double(src).alias(value)).where(F.col(value).isNotNull())
+    return bronze.select(*ids, F.col("ano").try_cast("int").alias("ano"), safe_double(src).alias(value)).where(
+        F.col("ano").isNotNull() & F.col(value).isNotNull())
 
 
 def transform_meta_brasil(bronze: DataFrame) -> DataFrame:
-    df = _long_goals(bronze, [], "meta_nacional")
-    return keep_latest(df, ["ano"], order_by=["meta_nacional"], tie_breakers=[])
+    return _dedup(_long_goals(bronze, [], "meta_nacional"), ["ano"], ["meta_nacional"])
 
 
 def prepare_meta_uf(bronze: DataFrame) -> DataFrame:
@@ -203,14 +211,14 @@ def transform_meta_uf(bronze: DataFrame, ufs: DataFrame) -> DataFrame:
     else:
         df = _long_goals(bronze, ["id_uf"], "meta_uf").withColumn("id_uf", F.col("id_uf").cast("string"))
         df = referential_filter(df, ufs, "id_uf").join(ufs.select("id_uf", "sigla_uf"), "id_uf", "left")
-    df = keep_latest(df, ["id_uf", "ano"], order_by=["meta_uf"], tie_breakers=["sigla_uf"])
+    df = _dedup(df, ["id_uf", "ano"], ["meta_uf", "sigla_uf"])
     return df.select("id_uf", "sigla_uf", "ano", "meta_uf")
 
 
 def prepare_meta_municipio(bronze: DataFrame) -> DataFrame:
     df = _long_goals(bronze, ["id_municipio"], "meta_municipio") \
         .withColumn("id_municipio", F.col("id_municipio").cast("string"))
-    return keep_latest(df, ["id_municipio", "ano"], order_by=["meta_municipio"], tie_breakers=[])
+    return _dedup(df, ["id_municipio", "ano"], ["meta_municipio"])
 
 
 def transform_meta_municipio(bronze: DataFrame, municipios: DataFrame) -> DataFrame:

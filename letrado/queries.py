@@ -197,13 +197,45 @@ AS_OF = "2024-01-31 00:00:00"
 def q_partition_roundtrip(spark, d):
     """Write gold indicador_municipio partitioned by (gold_date, ano) and
     clustered, then read one year back through partition pruning."""
+    return q_partition_roundtrip_all(spark, d).where(F.col("ano") == ROUNDTRIP_YEAR)
+
+
+@query("partition_roundtrip_all")
+def q_partition_roundtrip_all(spark, d):
+    """The same with every written year read back."""
     from letrado.session import scratch_path
     from letrado.sources import io
 
     root = scratch_path(spark, "roundtrip")
     io.write_layer(gold_tables(spark, d)["indicador_municipio"], root, "gold", "indicador_municipio", RUN_DATE)
-    back = io.read_layer(spark, root, "gold", "indicador_municipio", RUN_DATE)
-    return back.where(F.col("ano") == ROUNDTRIP_YEAR)
+    # written without the run's audit column, which the declared schema then fills with NULL
+    return io.read_layer(spark, root, "gold", "indicador_municipio", RUN_DATE).drop("_gold_timestamp")
+
+
+@query("export_totals")
+def q_export_totals(spark, d):
+    """All four gold tables exported as Parquet and CSV: rows and enrolments read back from either copy."""
+    from letrado.session import scratch_path
+    from letrado.sources import io
+
+    s = _checkpointed(silver_tables(spark, d))
+    g = gold.build_gold(s)
+    ind = materialize(g["indicador_municipio"], "indicador_municipio")
+    tables = {"indicador_municipio": (ind, "quantidade_matriculas"), "evolucao_uf": (g["evolucao_uf"], "matriculas_total"),
+              "painel_nacional": (g["painel_nacional"], "total_matriculas"),
+              "ml_features": (features.build_ml_features(ind), "quantidade_matriculas")}
+    root, parts = scratch_path(spark, "export"), []
+    for name, (df, total) in tables.items():
+        io.export_dual(df, [f"{root}/{name}"])
+        pq = spark.read.parquet(f"{root}/{name}/parquet")
+        csv = spark.read.schema(pq.schema).option("header", True).csv(f"{root}/{name}/csv")
+        parts += [df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(total).alias("matriculas")).select(
+            F.lit(name).alias("table_name"), F.lit(kind).alias("format"), "n_rows", "matriculas")
+            for kind, df in (("parquet", pq), ("csv", csv))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @query("dual_format_export")
@@ -232,19 +264,27 @@ def _quality_sources(spark, d, layers=None):
         ("silver", "indicador_alfabetizacao"): lambda: s["indicador_alfabetizacao"],
         ("gold", "indicador_municipio"): lambda: g["indicador_municipio"],
         ("gold", "painel_nacional"): lambda: g["painel_nacional"],
+        ("gold", "evolucao_uf"): lambda: g["evolucao_uf"],
+        ("gold", "ml_features"): lambda: features.build_ml_features(g["indicador_municipio"]),
     }
 
 
+def _written_layers(spark, d):
+    """Silver and gold each written once; the checks read the written tables."""
+    s = _checkpointed(silver_tables(spark, d))
+    return s, _checkpointed(gold.build_gold(s))
+
+
 @query("quality_report")
 def q_quality_report(spark, d):
     from letrado.plans import quality
-    return quality.quality_report(_quality_sources(spark, d), spark=spark)
+    return quality.quality_report(_quality_sources(spark, d, _written_layers(spark, d)), spark=spark)
 
 
 @query("quality_summary")
 def q_quality_summary(spark, d):
     from letrado.plans import quality
-    return quality.quality_summary(quality.quality_report(_quality_sources(spark, d), spark=spark))
+    return quality.quality_summary(materialize(q_quality_report(spark, d), "quality_report"))
 
 
 @query("gold_silver_consistency")
@@ -304,6 +344,13 @@ def q_stream_upsert(spark, d):
     return silver.transform_indicador(b["indicador_alfabetizacao"], s["municipios"], stream=valid)
 
 
+@query("stream_accounting")
+def q_stream_accounting(spark, d):
+    """Deliveries by outcome: received = stored + redelivered + quarantined by reason."""
+    from letrado.streaming.upsert import stream_accounting
+    return stream_accounting(_events(spark, d))
+
+
 # -- step 8: observability -----------------------------------------------------
 
 @query("freshness")
@@ -324,24 +371,40 @@ def q_gold_completeness(spark, d):
 @query("alert_windows")
 def q_alert_windows(spark, d):
     from letrado.plans import observability as obs
-    return obs.alert_windows(_events(spark, d))
+    return obs.alert_windows(obs.event_metrics(_events(spark, d)))
 
 
 @query("ingestion_metrics")
 def q_ingestion_metrics(spark, d):
     from letrado.plans import observability as obs
+    return obs.ingestion_metrics(q_reject_counts(spark, d))
+
+
+@query("reject_counts")
+def q_reject_counts(spark, d):
+    """Per entity: input rows, what each reject reason took, kept rows."""
+    from letrado.plans import rejects
     b = bronze(spark, d)
-    return obs.ingestion_metrics(b, silver.build_silver(b))
+    return rejects.reject_counts(b, silver.build_silver(b))
+
+
+@query("rejected_rows")
+def q_rejected_rows(spark, d):
+    """The rejected rows kept aside, counted by entity and reason."""
+    from letrado.plans import rejects
+    b = bronze(spark, d)
+    kept = rejects.rejected_rows(b, silver.build_silver(b))
+    return kept.groupBy("entity", "reason").agg(F.count("row").alias("n_rows"))
 
 
 def _run_events(spark, d) -> DataFrame:
     """The run-event log one pipeline run writes: one row per stage entity."""
     from letrado.plans import observability as obs
-    from letrado.plans import quality
+    from letrado.plans import quality, rejects
     b = bronze(spark, d)
     s = _checkpointed(silver.build_silver(b))
     g = gold.build_gold(s)
-    m = obs.ingestion_metrics(b, s)
+    m = materialize(obs.ingestion_metrics(rejects.reject_counts(b, s)), "metrics")
     run = F.lit("run_" + RUN_DATE.replace("-", ""))
     bronze_ev = m.select(run.alias("run_id"), F.lit("bronze").alias("stage"), "entity",
                          F.when(F.col("bronze_rows") > 0, F.lit("SUCCESS")).otherwise(F.lit("FAILED"))
@@ -403,6 +466,32 @@ def q_ml_evaluate(spark, d):
     return ml.evaluate(model, test)
 
 
+@query("ml_split")
+def q_ml_split(spark, d):
+    """Labelled rows and goals met on the training and the held-out side."""
+    from letrado.plans import ml
+    return ml.split_counts(_features(spark, d))
+
+
+@query("ml_predict_checks")
+def q_ml_predict_checks(spark, d):
+    from letrado.plans import ml
+    return ml.prediction_checks(materialize(q_ml_predict(spark, d), "predictions"))
+
+
+@query("ml_evaluate_checks")
+def q_ml_evaluate_checks(spark, d):
+    from letrado.plans import ml
+    model, test = ml.train(_features_materialized(spark, d))
+    return ml.evaluation_checks(ml.evaluate(model, test), test)
+
+
+@query("ml_cluster_totals")
+def q_ml_cluster_totals(spark, d):
+    from letrado.plans import ml
+    return ml.cluster_totals(q_ml_clusters(spark, d))
+
+
 @query("uf_convergence")
 def q_uf_convergence(spark, d):
     from letrado.plans import ml

@@ -16,9 +16,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from letrado.sources.schemas import stored_schema
+
 LAYER_DATE_COL = {"bronze": "ingestion_date", "silver": "processed_date", "gold": "gold_date"}
 
 # Fixed write layout per table: extra partition column and clustering columns.
@@ -75,8 +78,11 @@ def write_layer(df: DataFrame, root: str, layer: str, entity: str, run_date: str
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, entity: str, run_date: str | None = None) -> DataFrame:
-    """One run date of a layer table (all of its files); all dates if None."""
-    df = spark.read.parquet(layer_path(root, layer, entity))
+    """One run date of a layer table (all of its files); all dates if None.  Read
+    with the declared schema where there is one."""
+    declared = stored_schema(layer, entity)
+    reader = spark.read if declared is None else spark.read.schema(declared)
+    df = reader.parquet(layer_path(root, layer, entity))
     if run_date is None:
         return df
     date_col = LAYER_DATE_COL[layer]
@@ -84,23 +90,32 @@ def read_layer(spark: SparkSession, root: str, layer: str, entity: str, run_date
 
 
 def read_events(spark: SparkSession, root: str, date: str | None = None) -> DataFrame:
-    """Event NDJSON of one day; if that day has no file, every day."""
+    """Event NDJSON of one day; if that day has no event, every day; without any
+    event an empty table.  Only an absent folder counts as "no event": any other
+    read error is raised."""
     base = f"{root.rstrip('/')}/bronze/streaming"
     if date:
-        try:
-            day = spark.read.text(f"{base}/date={date}")
-            if not day.isEmpty():
-                return day
-        except Exception:  # noqa: BLE001 - absent day folder
-            pass
-    return spark.read.text(base).select("value")
+        day = _text_if_present(spark, f"{base}/date={date}")
+        if day is not None and not day.isEmpty():
+            return day
+    every = _text_if_present(spark, base)
+    return spark.createDataFrame([], "value string") if every is None else every
+
+
+def _text_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.text(path).select("value")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-def write_events(messages: DataFrame, root: str) -> str:
-    """NDJSON event sink partitioned by arrival day."""
+def write_events(messages: DataFrame, root: str, date: str) -> str:
+    """NDJSON event sink partitioned by run day; writing a day again replaces it."""
     path = f"{root.rstrip('/')}/bronze/streaming"
-    out = messages.withColumn("date", F.date_format(F.current_date(), "yyyy-MM-dd"))
-    out.write.mode("append").partitionBy("date").text(path)
+    (messages.withColumn("date", F.lit(date)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date").text(path))
     return path
 
 

@@ -18,8 +18,12 @@ Mapping rules (fixed values of the test mapping):
   alunos         <- lineitem: id_aluno = l_orderkey-l_linenumber, id_municipio = l_partkey,
                               proficiencia = 600 + (round(l_extendedprice*100) % 30000) / 100
   meta_municipio <- customer: wide 1995..2001, 40 + c_custkey % 20 + (Y - 1995);
-                              no goal when c_custkey % 3 = 0; 2001 empty for even keys
-  meta_uf        <- nation:   wide, 30 + n_nationkey + 2 (Y - 1995)
+                              no goal when c_custkey % 3 = 0; 2001 empty for even keys;
+                              as text, 'n/d' when c_custkey % 13 = 0, 'NaN' when % 17 = 0;
+                              ingested 2024-01-15, and when c_custkey % 5 = 0 once before,
+                              on 2024-01-10, with goals that are 30 higher
+  meta_uf        <- nation:   wide, 30 + n_nationkey + 2 (Y - 1995), ingested 2024-01-15,
+                              and when n_nationkey % 3 = 0 before, on 2024-01-10, 20 higher
   meta_brasil    <- mean of the municipal goals per year (one wide row)
   events         <- events:   click/view -> INDICADOR_ATUALIZADO, purchase -> NOVA_MEDICAO,
                               signup -> META_REVISADA, error -> event without id_municipio;
@@ -31,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letrado.functions.scalar import round2
+from letrado.functions.scalar import round2, safe_double
 from letrado.operators.reshape import GOAL_PREFIX
 from letrado.plans.lazy import LazyTables
 from letrado.sources.tables import read_table
@@ -108,22 +112,32 @@ def _goal_col(y: int) -> str:
 def bronze_meta_municipio(customer: DataFrame) -> DataFrame:
     def goal(y: int) -> str:
         empty = "c_custkey % 3 = 0" + (" OR c_custkey % 2 = 0" if y == GOAL_YEARS[-1] else "")
-        return (f"CASE WHEN {empty} THEN CAST(NULL AS DOUBLE) "
-                f"ELSE CAST(40 + c_custkey % 20 + {y - FIRST_GOAL_YEAR} AS DOUBLE) END AS {_goal_col(y)}")
-    return customer.selectExpr("CAST(c_custkey AS STRING) AS id_municipio", *[goal(y) for y in GOAL_YEARS])
+        value = f"CAST(CAST(40 + c_custkey % 20 + {y - FIRST_GOAL_YEAR} + higher AS DOUBLE) AS STRING)"
+        return (f"CASE WHEN {empty} THEN NULL WHEN c_custkey % 13 = 0 THEN 'n/d' WHEN c_custkey % 17 = 0 THEN 'NaN' "
+                f"ELSE {value} END AS {_goal_col(y)}")
+    return _revised(customer, "c_custkey % 5 = 0", 30).selectExpr(
+        "CAST(c_custkey AS STRING) AS id_municipio", *[goal(y) for y in GOAL_YEARS], "_ingestion_timestamp")
+
+
+def _revised(table: DataFrame, older: str, higher: int) -> DataFrame:
+    """Every row as of its last ingestion, and the rows where ``older`` holds once more
+    as of an earlier one (one scan: a generator, not a union)."""
+    now = "named_struct('higher', 0, '_ingestion_timestamp', TIMESTAMP_NTZ'2024-01-15 00:00:00')"
+    then = f"named_struct('higher', {higher}, '_ingestion_timestamp', TIMESTAMP_NTZ'2024-01-10 00:00:00')"
+    return table.selectExpr("*", f"inline(CASE WHEN {older} THEN array({now}, {then}) ELSE array({now}) END)")
 
 
 def bronze_meta_uf(nation: DataFrame) -> DataFrame:
-    return nation.selectExpr(
+    return _revised(nation, "n_nationkey % 3 = 0", 20).selectExpr(
         "concat(' ', lower(n_name)) AS sigla_uf",
-        *[f"CAST(30 + n_nationkey + {2 * (y - FIRST_GOAL_YEAR)} AS DOUBLE) AS {_goal_col(y)}"
-          for y in GOAL_YEARS])
+        *[f"CAST(30 + n_nationkey + {2 * (y - FIRST_GOAL_YEAR)} + higher AS DOUBLE) AS {_goal_col(y)}"
+          for y in GOAL_YEARS], "_ingestion_timestamp")
 
 
 def bronze_meta_brasil(customer: DataFrame) -> DataFrame:
     """National goal per year = mean of the municipal goals (one wide row)."""
     wide = bronze_meta_municipio(customer)
-    return wide.agg(*[round2(F.avg(_goal_col(y))).alias(_goal_col(y)) for y in GOAL_YEARS])
+    return wide.agg(*[round2(F.avg(safe_double(_goal_col(y)))).alias(_goal_col(y)) for y in GOAL_YEARS])
 
 
 def _event_type(col) -> F.Column:

@@ -21,5 +21,7 @@ def test_layer_write_is_idempotent_per_date(spark, tmp_root):
 
 def test_events_fall_back_to_all_days(spark, tmp_root):
     msgs = spark.createDataFrame([('{"event_id": "1"}',)], "value string")
-    io.write_events(msgs, tmp_root)
+    for _ in range(2):
+        io.write_events(msgs, tmp_root, "2024-01-31")
+    assert io.read_events(spark, tmp_root, "2024-01-31").count() == 1
     assert io.read_events(spark, tmp_root, "1999-01-01").count() == 1

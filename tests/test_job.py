@@ -13,7 +13,7 @@ def test_full_run_writes_every_layer(spark, tmp_root):
     out = job.run_pipeline(spark, SF_SMALL, tmp_root, "2024-01-31",
                            stages=("bronze", "silver", "gold", "quality", "health"))
     assert out["overall_status"] in ("SUCCESS", "PARTIAL")
-    assert out["quality"]["total"] == 26
+    assert out["quality"]["total"] == 36
     ev = spark.read.parquet(f"{tmp_root}/monitoring/run_events")
     assert ev.where(F.col("status") == "FAILED").count() == 0
 
@@ -25,9 +25,19 @@ def test_full_run_writes_every_layer(spark, tmp_root):
     ml = io.read_layer(spark, tmp_root, "gold", "ml_features", "2024-01-31")
     assert ml.count() == QUERIES["ml_features"](spark, SF_SMALL).count()
 
+    rejects = {(r.entity, r.reason): r.n_rows for r in spark.read.parquet(f"{tmp_root}/monitoring/reject_counts").collect()}
+    for entity in {e for e, _ in rejects}:
+        assert rejects[entity, "entrada"] == sum(n for (e, r), n in rejects.items() if e == entity and r != "entrada")
+    assert spark.read.parquet(f"{tmp_root}/monitoring/rejected_rows").where("row IS NULL").count() == 0
+    metrics = spark.read.parquet(f"{tmp_root}/monitoring/ingestion_metrics")
+    assert metrics.where("rejected_rows < 0 OR duration_s IS NULL OR uri IS NULL").count() == 0
+    report = spark.read.parquet(f"{tmp_root}/monitoring/run_reports").first()
+    assert report.overall_status == out["overall_status"] and report.ended > report.started and report.n_events == out["events"]
+
     # re-running the same date replaces that date's partitions
     job.run_pipeline(spark, SF_SMALL, tmp_root, "2024-01-31", stages=("bronze",))
     assert io.read_layer(spark, tmp_root, "bronze", "ufs", "2024-01-31").count() == 25
+    assert spark.read.parquet(f"{tmp_root}/monitoring/run_events").select("run_id").distinct().count() == 2
 
 
 def test_run_with_stream_merges_events(spark, tmp_root):
@@ -39,4 +49,35 @@ def test_run_with_stream_merges_events(spark, tmp_root):
     got = ind.select(*want.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     q = spark.read.parquet(f"{tmp_root}/monitoring/quarantine")
-    assert q.count() > 0
+    n, stored = q.count(), spark.read.parquet(f"{tmp_root}/silver/streaming_events").count()
+    assert n > 0
+
+    # the same date again: the same events, not twice; all four gold tables exported
+    job.run_pipeline(spark, SF_SMALL, tmp_root, "2024-01-31", stages=("stream", "silver", "export"))
+    assert spark.read.parquet(f"{tmp_root}/silver/streaming_events").count() == stored
+    assert spark.read.parquet(f"{tmp_root}/monitoring/quarantine").count() == n
+    for table in job.GOLD_TABLES:
+        kept = io.read_layer(spark, tmp_root, "gold", table, "2024-01-31").count()
+        assert spark.read.parquet(f"{tmp_root}/export/{table}/parquet").count() == kept
+        assert spark.read.option("header", True).csv(f"{tmp_root}/export/{table}/csv").count() == kept
+
+
+def test_gold_is_not_built_on_a_failed_silver(spark, tmp_root, monkeypatch):
+    job.run_pipeline(spark, SF_SMALL, tmp_root, "2024-01-31", stages=("bronze",))
+
+    def broken(*_, **__):
+        raise ValueError("x" * 2000)
+
+    monkeypatch.setattr(job.silver, "transform_alunos", broken)
+    out = job.run_pipeline(spark, SF_SMALL, tmp_root, "2024-01-31", stages=("silver", "gold", "export", "quality", "health"))
+    assert out["overall_status"] == "FAILED" and out["quality"] is None
+    events = spark.read.parquet(f"{tmp_root}/monitoring/run_events").where(F.col("run_id") == out["run_id"])
+    assert events.where("stage = 'gold' AND status = 'ABORTED'").count() == 4
+    assert events.where("status = 'FAILED' AND length(details) > 2000").count() >= 1       # the whole error text
+    assert events.where("stage IN ('export', 'quality', 'health')").count() == 0
+
+
+def test_no_events_at_all_is_an_empty_table(spark, tmp_root):
+    assert io.read_events(spark, tmp_root, "2024-01-31").count() == 0
+    out = job.run_pipeline(spark, SF_SMALL, tmp_root, "2024-01-31", stages=("bronze", "silver"))
+    assert out["overall_status"] == "SUCCESS"

@@ -34,10 +34,24 @@ def test_predictions_are_probabilities_ranked_by_risk(spark):
 
 
 def test_evaluation_metrics_are_well_formed(spark):
-    # the test mapping's label is a random function of order prices, so only
-    # the ranges are checked on it; separability is checked below
-    m = QUERIES["ml_evaluate"](spark, SF_SMALL).first()
-    assert all(0.0 <= m[k] <= 1.0 for k in ("precision", "recall", "accuracy", "f1_score", "roc_auc"))
+    # of the positive class, recomputed by hand from the scored held-out rows
+    model, test = ml.train(_features(spark, SF_SMALL))
+    m = ml.evaluate(model, test).first()
+    rows = [(r.label == 1.0, r.prediction == 1.0) for r in model.transform(test).select("label", "prediction").collect()]
+    tp, fp = sum(y and h for y, h in rows), sum(h and not y for y, h in rows)
+    fn, tn = sum(y and not h for y, h in rows), sum(not y and not h for y, h in rows)
+    assert abs(m["precision"] - tp / max(tp + fp, 1)) < 1e-12 and abs(m["recall"] - tp / max(tp + fn, 1)) < 1e-12
+    assert abs(m["accuracy"] - (tp + tn) / len(rows)) < 1e-12
+    assert 0.0 <= m["roc_auc"] <= 1.0 and m["log_loss"] > 0
+
+
+def test_class_weights_do_not_see_the_held_out_side(spark):
+    f = _features(spark, SF_SMALL)
+    tr, te = ml.split(ml.labelled(f))
+    flipped = tr.unionByName(te.withColumn("meta_atingida", ~F.col("meta_atingida")).withColumn("label", 1 - F.col("label")))
+    a = ml.train(f)[0].stages[-1].coefficients
+    b = ml.train(flipped.drop("label"))[0].stages[-1].coefficients
+    assert abs(a.toArray() - b.toArray()).max() < 1e-9
 
 
 def test_separable_data_is_learned(spark):
