@@ -123,25 +123,26 @@ class TrieLevel:
     successors themselves and a quantised value and a count for each."""
 
     def __init__(self, buffer):
-        self.width, n = np.frombuffer(buffer, np.int64, 2).tolist()
-        at = 16
+        self.width, n, n_counts = np.frombuffer(buffer, np.int64, 3).tolist()
+        at = 24
         self.contexts = EliasFano(buffer, at)
         self.pointers = EliasFano(buffer, at := at + self.contexts.size)
         self.successors = EliasFano(buffer, at := at + self.pointers.size)
-        self.counts = np.frombuffer(buffer, np.uint32, n, at := at + self.successors.size)
-        self.codes = np.frombuffer(buffer, np.uint16, n, at + 4 * n)
+        self.codes = np.frombuffer(buffer, np.uint16, n, at := at + self.successors.size)
+        self.counts = np.frombuffer(buffer, np.uint32, n_counts, at + 2 * n)
 
     @staticmethod
     def to_bytes(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> bytes:
         """From n-grams sorted by context and word.  A successor is kept as its word plus its context's
-        place times the vocabulary width, which makes one ascending sequence of all ranges."""
+        place times the vocabulary width, which makes one ascending sequence of all ranges.  The last
+        level of a model needs no counts and gives none."""
         names, starts = np.unique(contexts, return_index=True)
         width = int(words.max()) + 1 if len(words) else 1
         place = np.repeat(np.arange(len(names)), np.diff(np.r_[starts, len(words)]))
         chain = place.astype(np.uint64) * np.uint64(width) + words.astype(np.uint64)
-        return b"".join([np.array([width, len(words)], dtype=np.int64).tobytes(), EliasFano.to_bytes(names),
+        return b"".join([np.array([width, len(words), len(counts)], dtype=np.int64).tobytes(), EliasFano.to_bytes(names),
                          EliasFano.to_bytes(np.r_[starts, len(words)]), EliasFano.to_bytes(chain),
-                         np.minimum(counts, 2**32 - 1).astype(np.uint32).tobytes(), codes.astype(np.uint16).tobytes()])
+                         codes.astype(np.uint16).tobytes(), np.minimum(counts, 2**32 - 1).astype(np.uint32).tobytes()])
 
     def find(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Position of each n-gram, or -1: the word is sought among its context's successors only."""

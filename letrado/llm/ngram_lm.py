@@ -10,8 +10,10 @@ n-gram.  A block then scores its documents from the answers.
 * Nothing whole passes the driver, a task or a group: a block and a shard bound
   the memory, both are numbered by the session's partitions and the data's size.
 * What moves is one packed array per (block, shard), not a row per n-gram.
-* Tokens are written once per block as small integers; the answers of a level
-  are written before the next one begins, so a lost executor repeats one step.
+* Tokens are written once per block as small integers; what a level answers is
+  written before the next one begins, so a lost executor repeats one step.  The
+  last level's answers go straight to the blocks; its trie is computed for
+  whoever reads it.
 
 The probability interpolates the levels with a Dirichlet prior of ``strength``
 imagined tokens: p_k(w | h) = (c(h w) + strength * p_(k-1)(w | h')) / (c(h) + strength),
@@ -48,11 +50,11 @@ class LmRule:
 
     order: int = 2
     strength: float = 100.0
-    block_tokens: int = 4_000_000
+    block_tokens: int = 2_000_000
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of non-negative integers, each in its least width, compressed."""
+    """Arrays of non-negative integers, each in its least width, its bytes grouped by place, compressed."""
     head, parts = [len(arrays)], []
     for a in arrays:
         a = np.asarray(a)
@@ -61,7 +63,7 @@ def pack(*arrays: np.ndarray) -> bytes:
         top = int(a.max()) if len(a) else 0
         width = 1 if top < 2**8 else 2 if top < 2**16 else 4 if top < 2**32 else 8
         head += [width, len(a)]
-        parts.append(a.astype(f"<u{width}").tobytes())
+        parts.append(a.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes())
     body = np.array(head, dtype=np.int64).tobytes() + b"".join(parts)
     return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
 
@@ -72,7 +74,8 @@ def unpack(data: bytes) -> list[np.ndarray]:
     head = np.frombuffer(body, np.int64, 2 * n, 8).tolist()
     at, out = 8 * (2 * n + 1), []
     for width, size in zip(head[::2], head[1::2]):
-        a = np.frombuffer(body, f"<u{width}", size, at)
+        planes = np.frombuffer(body, np.uint8, size * width, at).reshape(width, size)
+        a = np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(size)
         out.append(a.astype(np.uint64 if width == 8 and len(a) and a.max() >= 2**63 else np.int64))
         at += width * size
     return out
@@ -82,6 +85,20 @@ def steps_of(ascending: np.ndarray) -> np.ndarray:
     return np.diff(ascending, prepend=ascending.dtype.type(0)) if len(ascending) else ascending
 
 
+def steps_within(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Differences along each run of ascending values; a run's first value as it is."""
+    out = np.diff(values, prepend=0)
+    out[starts] = values[starts]
+    return out
+
+
+def sums_within(steps: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The inverse of steps_within, from the lengths of the runs."""
+    total = np.cumsum(steps)
+    starts = np.cumsum(lengths) - lengths
+    return total - np.repeat(total[starts] - steps[starts], lengths)
+
+
 def encode_probability(p: np.ndarray) -> np.ndarray:
     """1 .. STEPS + 1, evenly on the logarithmic scale."""
     place = 1.0 + np.maximum(np.log10(p), -DECADES) / DECADES
@@ -95,9 +112,10 @@ def decode_probability(codes: np.ndarray) -> np.ndarray:
 
 # --- blocks -----------------------------------------------------------------
 
-def cut_blocks(df: DataFrame, train: Column, id_col: str, text_col: str, rule: LmRule) -> DataFrame:
-    """(block, ids, train, shape, words, tokens): documents as runs of numbers of the block's words."""
-    import_id = df.schema[id_col].dataType.simpleString()
+def cut_blocks(df: DataFrame, train: Column, id_col: str, text_col: str, shards: int, rule: LmRule) -> DataFrame:
+    """(block, ids, train, sizes, words, owner, tokens): documents as runs of numbers of the block's words;
+    owner is the shard of each word."""
+    id_kind = df.schema[id_col].dataType.simpleString()
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
 
     def cut(batches):
@@ -115,16 +133,18 @@ def cut_blocks(df: DataFrame, train: Column, id_col: str, text_col: str, rule: L
                 pa.array([(part << 24) + made], type=pa.int64()), pa.array([ids], type=pa.list_(id_type)),
                 pa.array([pack(np.array(marks))], type=pa.binary()), pa.array([pack(np.array(sizes))], type=pa.binary()),
                 pa.array([pack(steps_of(keys[order]))], type=pa.binary()),
+                pa.array([pack(keys[order] % np.uint64(shards))], type=pa.binary()),
                 pa.array([pack(rank[np.concatenate(tokens)])], type=pa.binary())],
-                names=["block", "ids", "train", "sizes", "words", "tokens"])
+                names=["block", "ids", "train", "sizes", "words", "owner", "tokens"])
 
         for batch in batches:
             id_type = batch.schema.field(0).type
             for i, text, used in zip(*[batch.column(k).to_pylist() for k in range(3)]):
                 words = (text or "").encode().lower().split()  # bytes: only A-Z change, only ASCII gaps cut
                 words.append(END)
-                for w in set(words) - number.keys():
-                    number[w] = len(number)
+                for w in words:
+                    if w not in number:
+                        number[w] = len(number)
                 tokens.append(np.fromiter(map(number.__getitem__, words), dtype=np.int32, count=len(words)))
                 ids.append(i)
                 marks.append(int(used))
@@ -137,7 +157,8 @@ def cut_blocks(df: DataFrame, train: Column, id_col: str, text_col: str, rule: L
         if ids:
             yield block()
 
-    return docs.mapInArrow(cut, f"block long, ids array<{import_id}>, train binary, sizes binary, words binary, tokens binary")
+    return docs.mapInArrow(cut, f"block long, ids array<{id_kind}>, train binary, sizes binary, words binary, "
+                             f"owner binary, tokens binary")
 
 
 class Block:
@@ -145,6 +166,7 @@ class Block:
 
     def __init__(self, row, with_words: bool):
         self.block, self.ids = int(row["block"]), row["ids"]
+        self.owner, = unpack(row["owner"])
         self.sizes, = unpack(row["sizes"])
         self.train = np.repeat(unpack(row["train"])[0] > 0, self.sizes)
         self.tokens, = unpack(row["tokens"])
@@ -152,25 +174,22 @@ class Block:
         self.first = np.zeros(len(self.tokens), dtype=bool)
         self.first[np.cumsum(self.sizes) - self.sizes] = True
 
-    def send_words(self, shards: int):
+    def send_words(self):
         """Level 1: (shard, data) of the distinct words and their training counts."""
         counts = np.bincount(self.tokens[self.train], minlength=len(self.keys))
-        shard = (self.keys % np.uint64(shards)).astype(np.int64)
-        for s in np.unique(shard).tolist():
-            mine = shard == s
+        for s in np.unique(self.owner).tolist():
+            mine = self.owner == s
             yield s, pack(steps_of(self.keys[mine]), counts[mine])
 
-    def take_words(self, answers: dict[int, bytes], shards: int, n_words: int) -> None:
+    def take_words(self, answers: dict[int, bytes], shards: int) -> None:
         """Word ids and counts from the level-1 answers, which lie shard by shard in key order."""
-        shard, = unpack(answers[-1])
-        self.word_id = np.zeros(n_words, dtype=np.int64)
-        self.word_count = np.zeros(n_words, dtype=np.int64)
+        self.word_id = np.zeros(len(self.owner), dtype=np.int64)
+        self.word_count = np.zeros(len(self.owner), dtype=np.int64)
         for s, data in answers.items():
-            if s >= 0:
-                rank, count = unpack(data)
-                mine = np.flatnonzero(shard == s)
-                self.word_id[mine] = 1 + np.cumsum(rank) * shards + s
-                self.word_count[mine] = count
+            rank, count = unpack(data)
+            mine = np.flatnonzero(self.owner == s)
+            self.word_id[mine] = 1 + np.cumsum(rank) * shards + s
+            self.word_count[mine] = count
 
     def level(self, k: int, begin_count: int, answered: tuple | None):
         """The distinct n-grams of level k: (ctx, ctx_count, word, train count), the tokens that have one
@@ -241,7 +260,7 @@ def gram_shard(level: int, shards: int, rule: LmRule):
         for block, data in zip(rows["block"], rows["data"]):
             steps, lengths, ctx_counts, words, counts = unpack(data)
             ctx = np.repeat(np.cumsum(steps), lengths)
-            sent.append((block, ctx, np.repeat(ctx_counts, lengths), words, counts))
+            sent.append((block, ctx, np.repeat(ctx_counts, lengths), sums_within(words, lengths), counts))
         ctx, ctx_count, word, count = (np.concatenate([s[i] for s in sent]) for i in (1, 2, 3, 4))
         used = count > 0
         ctx, ctx_count, word, count = ctx[used], ctx_count[used], word[used], count[used]
@@ -253,7 +272,7 @@ def gram_shard(level: int, shards: int, rule: LmRule):
         total = np.add.reduceat(count, starts) if len(starts) else count
         ctx, ctx_count, word = ctx[starts], ctx_count[starts], word[starts]
         codes = encode_probability(total / (ctx_count + rule.strength))
-        blob = TrieLevel.to_bytes(ctx, word, total, codes)
+        blob = TrieLevel.to_bytes(ctx, word, total if level < rule.order else total[:0], codes)
         trie = TrieLevel(mapped(blob))
         out = [(level, shard, -1, "trie", blob, int(total.sum()), len(total))]
         for block, c, _, w, _ in sent:
@@ -273,12 +292,12 @@ def gram_shard(level: int, shards: int, rule: LmRule):
 # --- the whole --------------------------------------------------------------
 
 def _walk(block: Block, answers: pd.DataFrame, n_total: int, n_kinds: int, begin: int, shards: int, rule: LmRule,
-          upto: int, n_words: int):
+          upto: int):
     """Apply the answers of levels 1 .. upto - 1; gives (token probabilities, what level ``upto`` asks)."""
     by_level: dict[int, dict[int, bytes]] = {}
     for level, shard, data in zip(answers["level"], answers["shard"], answers["data"]):
         by_level.setdefault(int(level), {})[int(shard)] = data
-    block.take_words(by_level[1], shards, n_words)
+    block.take_words(by_level[1], shards)
     p1 = (block.word_count + 1) / (n_total + n_kinds + 1)
     p = p1[block.tokens]
     hot = max(1, n_total // (4 * shards))
@@ -290,8 +309,11 @@ def _walk(block: Block, answers: pd.DataFrame, n_total: int, n_kinds: int, begin
         if k == upto:
             return p, (ctx[order], ctx_count[order], word[order], counts[order], shard[order])
         parts = [unpack(by_level[k][s]) for s in np.unique(shard).tolist()]
+        if not parts:                                         # no n-gram whose context was seen in training
+            gram = np.full(len(block.tokens), -1, dtype=np.int64), np.zeros(len(block.tokens), dtype=np.int64)
+            continue
         code = np.zeros(len(ctx), dtype=np.int64)
-        code[order] = np.concatenate([x[0] for x in parts]) if parts else code
+        code[order] = np.concatenate([x[0] for x in parts])
         strength = rule.strength
         p[has] = decode_probability(code)[number] + strength / (ctx_count[number] + strength) * p[has]
         if k < rule.order:
@@ -307,14 +329,14 @@ def send_grams(k: int, n_total: int, n_kinds: int, begin: int, shards: int, rule
     def send(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """What a block asks the shards of level ``k``: its n-grams by context, one array per shard."""
         block = Block(left.iloc[0], False)
-        _, (ctx, ctx_count, word, counts, shard) = _walk(block, right, n_total, n_kinds, begin, shards, rule, k,
-                                                         int(right["kinds"].max()))
+        _, (ctx, ctx_count, word, counts, shard) = _walk(block, right, n_total, n_kinds, begin, shards, rule, k)
         rows = []
         cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]][:len(shard)])
         for a, b in zip(cuts.tolist(), np.r_[cuts[1:], len(shard)].astype(np.int64).tolist()):
             starts = np.flatnonzero(np.r_[True, ctx[a + 1:b] != ctx[a:b - 1]])
             lengths = np.diff(np.r_[starts, b - a])
-            data = pack(steps_of(ctx[a:b][starts]), lengths, ctx_count[a:b][starts], word[a:b], counts[a:b])
+            data = pack(steps_of(ctx[a:b][starts]), lengths, ctx_count[a:b][starts], steps_within(word[a:b], starts),
+                        counts[a:b])
             rows.append((k, int(shard[a]), block.block, "sent", data, 0, 0))
         return pd.DataFrame(rows, columns=CHUNK_NAMES)
 
@@ -332,40 +354,38 @@ def score_documents(df: DataFrame, train: Column, id_col: str = "doc_id", text_c
     each on their own; without a training row every word is unknown.
     """
     shards = table_partitions(df.sparkSession)
-    blocks = materialize(cut_blocks(df, train, id_col, text_col, rule), "lm-blocks")
+    blocks = materialize(cut_blocks(df, train, id_col, text_col, shards, rule), "lm-blocks")
 
     def send_words(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block({**row, "ids": None}, True)
-                owner = (block.keys % np.uint64(shards)).astype(np.int64)
-                rows = [(1, -1, block.block, "answer", pack(owner), 0, len(owner))]
-                rows += [(1, s, block.block, "sent", data, 0, 0) for s, data in block.send_words(shards)]
+                rows = [(1, s, block.block, "sent", data, 0, 0) for s, data in block.send_words()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), CHUNK_TYPES)],
                                                  names=CHUNK_NAMES)
 
-    sent = materialize(blocks.select("block", "train", "sizes", "words", "tokens").mapInArrow(send_words, CHUNK), "lm-sent")
-    answers = materialize(sent.where("kind = 'sent'").groupBy("shard").applyInPandas(word_shard, CHUNK)
-                          .unionByName(sent.where("kind = 'answer'")), "lm-level-1")
+    sent = blocks.select("block", "train", "sizes", "words", "owner", "tokens").mapInArrow(send_words, CHUNK)
+    answers = materialize(sent.groupBy("shard").applyInPandas(word_shard, CHUNK), "lm-level-1")
     whole = answers.where("kind = 'trie'").agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"),
                                                F.coalesce(F.sum("kinds"), F.lit(0)).alias("v")).first()
     n_total, n_kinds = int(whole.n), int(whole.v)
     begin = df.where(train).count()                           # documents that begin
-    light = blocks.select("block", "ids", "train", "sizes", "tokens", F.lit(None).cast("binary").alias("words"))
+    light = blocks.select("block", "ids", "train", "sizes", "owner", "tokens")
 
     def replies():
-        return answers.where("kind = 'answer'").select("block", "level", "shard", "data", "kinds")
+        return answers.where("kind = 'answer'").select("block", "level", "shard", "data")
 
     for k in range(2, rule.order + 1):
         asked = (light.groupBy("block").cogroup(replies().groupBy("block"))
                  .applyInPandas(send_grams(k, n_total, n_kinds, begin, shards, rule), CHUNK))
-        level = materialize(asked.groupBy("shard").applyInPandas(gram_shard(k, shards, rule), CHUNK), f"lm-level-{k}")
+        level = asked.groupBy("shard").applyInPandas(gram_shard(k, shards, rule), CHUNK)
+        if k < rule.order:
+            level = materialize(level, f"lm-level-{k}")
         answers = answers.unionByName(level)
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         block = Block(left.iloc[0], False)
-        n_words = int(right["kinds"].max())
-        p, _ = _walk(block, right, n_total, n_kinds, begin, shards, rule, rule.order + 1, n_words)
+        p, _ = _walk(block, right, n_total, n_kinds, begin, shards, rule, rule.order + 1)
         known = block.word_count[block.tokens] > 0
         base = np.log10((block.word_count + 1) / (n_total + 1 * (n_kinds + 1)))[block.tokens]
         starts = np.cumsum(block.sizes) - block.sizes
