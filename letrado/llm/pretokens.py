@@ -49,13 +49,12 @@ class PieceCache:
             self.first.clear()
             self.inner.clear()
         first, inner = self.first, self.inner
-        new_first = {c[0] for c in cut if c} - first.keys()
-        new_inner = set().union(*cut) - inner.keys() if cut else set()
-        if new_first:
-            new = list(new_first)
+        # not a difference of sets: that would walk the whole cache
+        new = [p for p in {c[0] for c in cut if c} if p not in first]
+        if new:
             first.update(zip(new, self.encode(new)))
-        if new_inner:
-            new = list(new_inner)
+        new = [p for p in set().union(*cut) if p not in inner]
+        if new:
             inner.update(zip(new, self.encode([" " + p for p in new])))
         out = []
         for c in cut:
