@@ -1,6 +1,8 @@
 """Packing token sequences by shortest-pack-first over the length histogram (operator 2).
 
-A document's ids are cut into full sequences and one rest.  Only the histogram
+A document's ids are cut into full sequences and a rest, and a rest of over half
+a sequence once more at the half: pieces of half a sequence or less leave little
+padding whatever the lengths are.  Only the histogram
 of piece lengths (at most ``max_length`` numbers, whatever the corpus) goes to
 the driver.  There lengths are placed longest first, each into the open pack
 that is shortest so far; a pack is a pattern of lengths with a count of how often
@@ -65,8 +67,11 @@ def cut_pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             for i, values in enumerate(_ids(path).lookup([t or "" for t in batch.column(1).to_pylist()])):
                 ids = b"".join(values) + end
                 n = len(ids) // 4
-                for at in range(0, n, max_length):
-                    piece = ids[4 * at:4 * (at + max_length)]
+                cuts = [*range(0, n, max_length), n]
+                if n % max_length > max_length // 2:
+                    cuts.insert(-1, cuts[-2] + max_length // 2)
+                for at, past in zip(cuts, cuts[1:]):
+                    piece = ids[4 * at:4 * past]
                     rows.append(i)
                     start.append(at)
                     length.append(len(piece) // 4)
@@ -92,9 +97,13 @@ def cut_pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 def shortest_pack_first(histogram: dict[int, int], max_length: int) -> list[tuple[int, tuple[int, ...]]]:
     """(count, lengths) patterns that place ``histogram[length]`` pieces of every length.
 
-    A length either uses up an open pattern, which is replaced by one longer
-    pattern, or splits the last one it meets: at most two patterns per length
-    are ever added, so the table stays below 2 * max_length patterns.
+    Each piece goes to the shortest open pack that has room, and opens one where
+    none has; the pieces of a length are placed together.  A pack opened for a
+    length is the shortest of all, so it takes as many of that length as fit.  A
+    length either uses up an open pattern, which is replaced by one longer
+    pattern, or splits the last one it meets, or opens at most two: at most
+    three patterns per length are ever added, so the table stays below
+    3 * max_length patterns.
     """
     by_room: list[list] = [[] for _ in range(max_length + 1)]      # open patterns by the room they have left
     for length in range(max_length, 0, -1):
@@ -104,7 +113,10 @@ def shortest_pack_first(histogram: dict[int, int], max_length: int) -> list[tupl
             while room >= length and not by_room[room]:
                 room -= 1
             if room < length:                                    # fits nowhere: packs of its own
-                by_room[max_length - length].append((left, (length,)))
+                most = max_length // length
+                for count, n in ((left // most, most), (1, left % most)):
+                    if count and n:
+                        by_room[max_length - n * length].append((count, (length,) * n))
                 break
             count, lengths = by_room[room].pop()
             used = min(count, left)
