@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from letrado.llm.pretokens import PieceCache
 from letrado.session import materialize
 
+BLANK = "\u0120"                                              # the letter of a blank in byte-level vocabularies
+IN_A_ROW = 200
 PIECES = "id {id}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, part int, number bigint"
 
 
@@ -42,10 +44,34 @@ def _ids(path: str) -> PieceCache:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def encode(strings: list[str]) -> list[bytes]:
+    begins = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True) + 1, dtype=bool)
+    for token, i in tokenizer.get_vocab(with_added_tokens=True).items():
+        begins[i] = token.startswith(BLANK)
+
+    def one_by_one(strings: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def encode(strings: list[str]) -> list[bytes]:
+        """Strings of one blank and a run without white space are encoded many in a row: only the first
+        token of each starts with the blank, so the ids can be parted again."""
+        runs = [i for i, s in enumerate(strings) if s[:1] == " " and s[1:].split() == [s[1:]]]
+        groups = [runs[k:k + IN_A_ROW] for k in range(0, len(runs), IN_A_ROW)]
+        out: list = [None] * len(strings)
+        found = tokenizer.encode_batch_fast(["".join([strings[i] for i in g]) for g in groups], add_special_tokens=False)
+        for group, encoding in zip(groups, found):
+            ids = np.array(encoding.ids, dtype="<u4")
+            starts = np.flatnonzero(begins[ids])
+            if len(starts) == len(group):
+                data = ids.tobytes()
+                cuts = (starts * 4).tolist() + [len(data)]
+                for i, a, b in zip(group, cuts, cuts[1:]):
+                    out[i] = data[a:b]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, one_by_one([strings[i] for i in rest])):
+            out[i] = ids
+        return out
+
     return PieceCache(encode)
 
 

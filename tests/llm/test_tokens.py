@@ -51,6 +51,12 @@ def test_counts_equal_the_library(library):
     assert found == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_packed_ids_equal_the_library(library):
+    texts = odd_texts() + [" ".join(f"word{i}<|endoftext|>x" if i % 7 == 0 else f"w{i}," for i in range(900))]
+    found = [np.frombuffer(b"".join(v), "<u4").tolist() for v in packing._ids(JSON).lookup(texts)]
+    assert found == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_long_text_without_a_blank(library, rank_library):
     rng = random.Random(1)
     text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000))
