@@ -159,7 +159,9 @@ def score_quality(df: DataFrame, model: RuleModel, text_col: str = "text", out_c
     """``df`` with the model's probability of label 1 in ``out_col`` (an existing one is replaced).
 
     Null and empty texts are scored by their statistics like any other text.
+    The score comes out of a generator of one row: a later filter on it then
+    stays above, instead of being pushed below with the whole model in it.
     """
     found, names = with_statistics(df, text_col)
     kept = [c for c in df.columns if c != out_col]
-    return found.select(*kept, model.score(names).alias(out_col))
+    return found.select(*kept, F.inline(F.array(F.struct(model.score(names).alias(out_col)))))

@@ -31,7 +31,7 @@ def labelled(tmp_path_factory, spark):
     every = docs + junk + copies + private
     (spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in every], "doc_id long, text string, lang string, source string, n_chars long")
      .write.parquet(f"{root}/documents.parquet"))
-    (spark.createDataFrame([(i, int(i < 1000 or i >= 3000), 0) for i, _ in every], "doc_id long, quality int, toxic int")
+    (spark.createDataFrame([(i, int(not 1000 <= i < 2000), 0) for i, _ in every], "doc_id long, quality int, toxic int")
      .write.parquet(f"{root}/labels.parquet"))
     return root
 
