@@ -37,7 +37,7 @@ class PieceCache:
     memory of a Python worker stays bounded however large the vocabulary is.
     """
 
-    def __init__(self, encode, limit: int = 400_000):
+    def __init__(self, encode, limit: int = 300_000):
         self.encode, self.limit = encode, limit
         self.first: dict = {}
         self.inner: dict = {}

@@ -68,8 +68,8 @@ def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def bucket_links(fps: np.ndarray, max_bits: int = 2) -> list[tuple[int, int]]:
-    """(member, root) links that connect what is within ``max_bits`` in one bucket."""
+def bucket_links(fps: np.ndarray, max_bits: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """Members and their roots: links that connect what is within ``max_bits`` in one bucket."""
     x = np.sort(fps.astype(np.int64).view(np.uint64))
     table = np.bitwise_count(x[:, None] ^ PIVOTS[None, :]).astype(np.int16)
     found = []
@@ -97,7 +97,7 @@ def bucket_links(fps: np.ndarray, max_bits: int = 2) -> list[tuple[int, int]]:
         root = low
     signed = x.view(np.int64)
     at = np.flatnonzero(root != np.arange(len(x)))
-    return list(zip(signed[at].tolist(), signed[root[at]].tolist()))
+    return signed[at], signed[root[at]]
 
 
 def link_fingerprints(fps: DataFrame, max_bits: int = 2, bucket_limit: int = 4096) -> DataFrame:
@@ -119,9 +119,15 @@ def link_fingerprints(fps: DataFrame, max_bits: int = 2, bucket_limit: int = 409
 
     @F.arrow_udf("array<struct<a:bigint,b:bigint>>")
     def compare(buckets: pa.Array) -> pa.Array:
-        rows = [[{"a": a, "b": b} for a, b in bucket_links(np.array(v, dtype=np.int64), max_bits)]
-                for v in buckets.to_pylist()]
-        return pa.array(rows, type=pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
+        if not len(buckets):
+            return pa.array([], type=pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
+        flat = buckets.flatten().to_numpy()                   # arrays throughout: a dense batch has many links
+        ends = np.cumsum(buckets.value_lengths().to_numpy())
+        found = [bucket_links(v, max_bits) for v in np.split(flat, ends[:-1])]
+        offsets = np.r_[0, np.cumsum([len(a) for a, _ in found])].astype(np.int32)
+        links = pa.StructArray.from_arrays([pa.array(np.concatenate([f[side] for f in found]), type=pa.int64())
+                                            for side in (0, 1)], names=["a", "b"])
+        return pa.ListArray.from_arrays(pa.array(offsets), links)
 
     small = (members.where(F.col("n") <= bucket_limit).groupBy("key").agg(F.collect_list("fp").alias("fps"))
              .select(F.explode(compare("fps")).alias("link")).select("link.a", "link.b"))

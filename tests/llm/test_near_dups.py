@@ -65,7 +65,7 @@ def test_bucket_links_equal_all_pairs():
     want = plain_components(prints, 2)
     links = simhash.bucket_links(np.array([signed(p) for p in prints], dtype=np.int64))
     root = {signed(p): signed(p) for p in prints}
-    for a, b in links:
+    for a, b in zip(*(side.tolist() for side in links)):
         root[a] = b
     groups = {}
     for p, w in zip(prints, want):
