@@ -9,17 +9,24 @@ away.  For an entity e and a term t from the words around it
 
 where D is the number of documents and docs() counts documents: the share of
 the entity's information that the term alone reveals (1: the term occurs only
-with the entity).  Terms at or above the threshold that stand beside the entity
-in ``min_support`` different contexts or more are generalised in every document
-that holds the entity.  Contexts are told apart by the least hash of their
-terms, so that copies and most near copies of a passage count once.
+with the entity).  Terms at or above the threshold are generalised in every
+document that holds the entity, from the first document on: what keeps chance
+meetings out is a bound on their probability.  Were term and entity independent,
+as many documents with both would come with a chance of at most
 
-Counts run over the whole corpus.  Texts are shuffled nowhere: only entity, term
-and count rows are, and the texts that hold an entity are written once.
+    2 ** -(own * (q * log2(q / p) + (1 - q) * log2((1 - q) / (1 - p)))),
+
+q the term's share of the entity's documents and p its share of all (Hoeffding's
+bound; 1 / D where both stand in one document alone).  It must not exceed
+``significance``.  Here copies, documents of the same text, count once.
+
+Counts run over the whole corpus.  Entity, term and count rows are shuffled, and
+of the texts only those that hold an entity.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_right
 from collections import Counter
@@ -48,11 +55,11 @@ _WORD = re.compile(r"[^\W_]+")
 
 @dataclass(frozen=True)
 class Disclosure:
-    """Production values: words looked at on either side, and the two thresholds."""
+    """Production values: words looked at on either side, share of the entity's information, chance of a coincidence."""
 
     window: int = 8
     threshold: float = 0.9
-    min_support: int = 3
+    significance: float = 0.005
     least_letters: int = 3
 
 
@@ -109,23 +116,19 @@ def entity_key(kind: str, value: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}:{plain}", 42) - 2**63
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]], rule: Disclosure) -> list[tuple[int, int, str]]:
-    """(entity, context, term) of the words around every base span.
+def entity_terms(text: str, spans: list[tuple[str, int, int]], rule: Disclosure) -> dict[int, set[str]]:
+    """Entity -> terms among the words around its base spans.
 
     Looks at no more than 40 code points a word, so a text of one endless word
     costs little; words that touch a base span are not terms.
     """
-    import xxhash
-    out = []
+    out: dict[int, set[str]] = {}
     reach, parts = 40 * rule.window, covered_parts(spans)
     for kind, start, end in spans:
         left = [w for w in words_of(text, max(0, start - reach), start)][-rule.window:]
         right = [w for w in words_of(text, end, min(len(text), end + reach))][:rule.window]
-        terms = {t for t, a, b in left + right if len(t) >= rule.least_letters and not touches(parts, a, b)}
-        if terms:
-            mark = min(xxhash.xxh64_intdigest(t, 7) for t in terms) - 2**63
-            key = entity_key(kind, text[start:end])
-            out += [(key, mark, t) for t in sorted(terms)]
+        out.setdefault(entity_key(kind, text[start:end]), set()).update(
+            t for t, a, b in left + right if len(t) >= rule.least_letters and not touches(parts, a, b))
     return out
 
 
@@ -183,18 +186,53 @@ def _tuples(spans) -> list[tuple[str, int, int]]:
     return [(s["kind"], s["start"], s["end"]) for s in spans]
 
 
-def entity_contexts(found: DataFrame, rule: Disclosure) -> DataFrame:
-    """(row, entity, context, term) of the rows (row, text, spans) that hold an entity."""
+def entity_rows(holders: DataFrame) -> DataFrame:
+    """(row, entity, mark) of the rows (row, text, spans), once for every entity of a row; mark is the text's hash."""
+
+    def emit(batches):
+        import xxhash
+        for batch in batches:
+            rows = []
+            for row, text, spans in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+                mark = xxhash.xxh64_intdigest(text, 7) - 2**63
+                rows += [(row, e, mark) for e in {entity_key(k, text[a:b]) for k, a, b in _tuples(spans)}]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in list(zip(*rows)) or [[], [], []]],
+                                             names=["row", "entity", "mark"])
+
+    return holders.select("row", "text", "spans").mapInArrow(emit, "row bigint, entity bigint, mark bigint")
+
+
+def term_pairs(holders: DataFrame, rule: Disclosure, common: set[str], frequent: set[int],
+               hold: int = 200_000) -> DataFrame:
+    """(entity, term, both, apart): documents that hold both, and those of them that are no copy of another.
+
+    ``holders`` has row, text, spans and first (1 for one of each group of
+    copies).  Pairs of a ``common`` term with an entity that is not ``frequent``
+    cannot reach the threshold and are left out.  A task adds up ``hold`` pairs
+    before it sends them, so a hot entity sends a row a term and task.
+    """
 
     def emit(batches):
+        def rows():
+            return pa.RecordBatch.from_arrays([
+                pa.array([e for e, _ in held], type=pa.int64()), pa.array([t for _, t in held], type=pa.string()),
+                pa.array([n for n, _ in held.values()], type=pa.int64()),
+                pa.array([n for _, n in held.values()], type=pa.int64())], names=["entity", "term", "both", "apart"])
+        held: dict = {}
         for batch in batches:
-            rows = [(row, *c) for row, text, spans in zip(*[batch.column(i).to_pylist() for i in range(3)])
-                    for c in contexts(text, _tuples(spans), rule)]
-            cols = list(zip(*rows)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(
-                cols, (pa.int64(), pa.int64(), pa.int64(), pa.string()))], names=["row", "entity", "context", "term"])
+            for text, spans, first in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+                for entity, terms in entity_terms(text, _tuples(spans), rule).items():
+                    for t in terms if entity in frequent else terms - common:
+                        n, m = held.get((entity, t), (0, 0))
+                        held[entity, t] = n + 1, m + first
+                    if len(held) > hold:
+                        yield rows()
+                        held = {}
+        yield rows()
 
-    return found.select("row", "text", "spans").mapInArrow(emit, "row bigint, entity bigint, context bigint, term string")
+    return (holders.select("text", "spans", "first")
+            .mapInArrow(emit, "entity bigint, term string, both bigint, apart bigint")
+            .groupBy("entity", "term").agg(F.sum("both").alias("both"), F.sum("apart").alias("apart")))
 
 
 def term_documents(corpus: DataFrame, text_col: str = "text", hold: int = 200_000) -> DataFrame:
@@ -217,30 +255,44 @@ def term_documents(corpus: DataFrame, text_col: str = "text", hold: int = 200_00
             .groupBy("term").agg(F.sum("n").alias("docs")))
 
 
-def disclosing_terms(seen: DataFrame, corpus: DataFrame, documents: int, text_col: str = "text",
+def disclosing_terms(holders: DataFrame, corpus: DataFrame, documents: int, text_col: str = "text",
                      rule: Disclosure = Disclosure()) -> DataFrame:
-    """(entity, term, disclosure) at or above the threshold, from entity_contexts rows and the whole corpus."""
-    pair = (seen.groupBy("entity", "term", "context").agg(F.count("*").alias("n"))    # a row holds a term once a span
-            .groupBy("entity", "term").agg(F.count("*").alias("contexts")).where(F.col("contexts") >= rule.min_support))
-    docs_pair = seen.select("entity", "term", "row").distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
-    docs_entity = seen.select("entity", "row").distinct().groupBy("entity").agg(F.count("*").alias("own"))
-    joined = (pair.join(docs_pair, ["entity", "term"]).join(docs_entity, "entity")
-              .join(term_documents(corpus, text_col), "term"))
+    """(entity, term, disclosure, docs) at or above the threshold, from the rows (row, text, spans) that hold
+    an entity and the whole corpus."""
+    held = materialize(entity_rows(holders), "pii-entities")
+    firsts = held.groupBy("mark").agg(F.min("row").alias("row")).select("row", F.lit(1).alias("first"))
+    own = (held.join(firsts, "row", "left").groupBy("entity")
+           .agg(F.count("*").alias("own"), F.count("first").alias("own_apart")))
+    own = materialize(own, "pii-own")
+    counts = materialize(term_documents(corpus, text_col), "pii-terms")
+    # The threshold asks for docs <= both * (documents / own) ** (1 - threshold), and both <= own: a term of more
+    # documents than ``most`` needs an entity in over 1 of 100.  Either list is at most some 100 times what one
+    # document holds, however large the corpus.
+    often, spare = documents / 100, max(documents, 1) ** (1 - rule.threshold)
+    most = often ** rule.threshold * spare
+    common = {r.term for r in counts.where(F.col("docs") > most * (1 + 1e-9)).select("term").collect()}
+    frequent = {r.entity for r in own.where(F.col("own") > often).select("entity").collect()}
+    firsts_too = holders.join(firsts, "row", "left").withColumn("first", F.coalesce("first", F.lit(0)))
+    joined = (term_pairs(firsts_too, rule, common, frequent).join(counts, "term")
+              .where(F.col("docs") <= F.col("both") * F.lit(spare * (1 + 1e-9)))
+              .join(own, "entity").where(F.col("own") < documents))
     total = F.lit(float(documents))
-    information = F.log2(total / F.col("own"))
     pmi = F.log2(total * F.col("both") / (F.col("own") * F.greatest("docs", "both")))
-    return (joined.where(F.col("own") < documents).withColumn("disclosure", pmi / information)
-            .where(F.col("disclosure") >= rule.threshold).select("entity", "term", "disclosure"))
+    q = F.col("apart") / F.col("own_apart")
+    p = F.least((F.greatest("docs", "both") - F.col("both") + F.col("apart")) / total, F.lit(1.0))
+    rest = F.when(q < 1, (1 - q) * F.log2((1 - q) / F.greatest(1 - p, F.lit(1e-18)))).otherwise(0.0)
+    bits = F.when((F.col("apart") > 0) & (q > p), F.col("own_apart") * (q * F.log2(q / p) + rest)).otherwise(0.0)
+    return (joined.withColumn("disclosure", pmi / F.log2(total / F.col("own")))
+            .where((F.col("disclosure") >= rule.threshold) & (bits >= -math.log2(rule.significance) - 1e-9))
+            .select("entity", "term", "disclosure", "docs"))
 
 
 def sanitise_rows(found: DataFrame, corpus: DataFrame, text_col: str = "text",
                   rule: Disclosure = Disclosure()) -> DataFrame:
     """(row, spans, clean_text) of the rows (row, text, spans) of ``found`` that hold a base span."""
     holders = found.where(F.size("spans") > 0)
-    seen = materialize(entity_contexts(holders, rule), "pii-contexts")
-    documents = corpus.count()
-    terms = disclosing_terms(seen, corpus, documents, text_col, rule)
-    by_row = (seen.select("row", "entity").distinct().join(terms.select("entity", "term"), "entity")
+    terms = disclosing_terms(holders, corpus, corpus.count(), text_col, rule)
+    by_row = (entity_rows(holders).select("row", "entity").join(terms.select("entity", "term"), "entity")
               .groupBy("row").agg(F.collect_set("term").alias("terms")))
 
     @F.arrow_udf(f"struct<spans:{SPANS},clean_text:string>")

@@ -114,6 +114,32 @@ def test_copies_are_one_context(spark):
     assert spans == {"", "email:26:46"}
 
 
+def term_texts(spark, texts, **rule):
+    """Doc id -> the words generalised as terms."""
+    found = pii.scan_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+                               rule=pii.Disclosure(**rule))
+    return {r.doc_id: {texts[r.doc_id][s.start:s.end] for s in r.spans if s.kind == "term"} for r in found.collect()}
+
+
+def test_names_of_one_and_two_documents_and_a_repeated_signature(spark):
+    prepare(spark)
+    rng = random.Random(5)
+    common = [f"word{i}" for i in range(40)]
+    texts = [" ".join(rng.sample(common, 12)) for _ in range(400)]
+    texts[3] = "word1 word2 Quentin quentin1@corp.example.com word3 word4"
+    for i in (50, 51):
+        texts[i] += f" Ottilie 10.1.2.3 word{i - 45}"
+    signed = "Regards Maria Lopez Acme High Street 12 mlopez@acme.example.com"
+    for i in range(100, 106):
+        texts[i] = f"{' '.join(rng.sample(common, 9))} {signed}"
+    got = term_texts(spark, texts)
+    assert got[3] == {"Quentin"} and got[50] == got[51] == {"Ottilie"}
+    assert all(got[i] == {"Regards", "Maria", "Lopez", "Acme", "High", "Street"} for i in range(100, 106))
+    assert not any(got[i] for i in range(400) if i not in (3, 50, 51) and not 100 <= i < 106)
+    copied = term_texts(spark, texts[:300] + [texts[3]] * 100)
+    assert copied[3] == copied[399] == {"Quentin"}             # copies count once, and are all generalised
+
+
 def test_messy_rows(clashing, messy_rows, no_rows):
     found = pii.scan_documents(clashing)
     assert found.columns == ["doc_id", "spans"] and found.count() == len(messy_rows)
