@@ -2,7 +2,7 @@
 
 Patterns find the protected entities of a text: e-mail and IP addresses, card
 and phone numbers.  The corpus then tells which other terms give an entity
-away.  For an entity e and a term t from the words around it
+away.  For an entity e and a term t of the documents that hold it
 
     disclosure(e, t) = PMI(e; t) / IC(e),
     PMI = log2(D * docs(e, t) / (docs(e) * docs(t))),  IC = log2(D / docs(e)),
@@ -55,9 +55,8 @@ _WORD = re.compile(r"[^\W_]+")
 
 @dataclass(frozen=True)
 class Disclosure:
-    """Production values: words looked at on either side, share of the entity's information, chance of a coincidence."""
+    """Production values: share of the entity's information, chance of a coincidence, letters of a term."""
 
-    window: int = 8
     threshold: float = 0.9
     significance: float = 0.005
     least_letters: int = 3
@@ -116,20 +115,11 @@ def entity_key(kind: str, value: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}:{plain}", 42) - 2**63
 
 
-def entity_terms(text: str, spans: list[tuple[str, int, int]], rule: Disclosure) -> dict[int, set[str]]:
-    """Entity -> terms among the words around its base spans.
-
-    Looks at no more than 40 code points a word, so a text of one endless word
-    costs little; words that touch a base span are not terms.
-    """
-    out: dict[int, set[str]] = {}
-    reach, parts = 40 * rule.window, covered_parts(spans)
-    for kind, start, end in spans:
-        left = [w for w in words_of(text, max(0, start - reach), start)][-rule.window:]
-        right = [w for w in words_of(text, end, min(len(text), end + reach))][:rule.window]
-        out.setdefault(entity_key(kind, text[start:end]), set()).update(
-            t for t, a, b in left + right if len(t) >= rule.least_letters and not touches(parts, a, b))
-    return out
+def entity_terms(text: str, spans: list[tuple[str, int, int]], rule: Disclosure) -> tuple[set[int], set[str]]:
+    """The entities of a text and the terms of the whole text; words that touch a base span are not terms."""
+    parts = covered_parts(spans)
+    return ({entity_key(kind, text[a:b]) for kind, a, b in spans},
+            {t for t, a, b in words_of(text) if len(t) >= rule.least_letters and not touches(parts, a, b)})
 
 
 def covered_parts(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
@@ -221,8 +211,10 @@ def term_pairs(holders: DataFrame, rule: Disclosure, common: set[str], frequent:
         held: dict = {}
         for batch in batches:
             for text, spans, first in zip(*[batch.column(i).to_pylist() for i in range(3)]):
-                for entity, terms in entity_terms(text, _tuples(spans), rule).items():
-                    for t in terms if entity in frequent else terms - common:
+                entities, terms = entity_terms(text, _tuples(spans), rule)
+                rare = terms - common
+                for entity in entities:
+                    for t in terms if entity in frequent else rare:
                         n, m = held.get((entity, t), (0, 0))
                         held[entity, t] = n + 1, m + first
                     if len(held) > hold:

@@ -140,6 +140,18 @@ def test_names_of_one_and_two_documents_and_a_repeated_signature(spark):
     assert copied[3] == copied[399] == {"Quentin"}             # copies count once, and are all generalised
 
 
+def test_terms_far_from_the_entity(spark):
+    prepare(spark)
+    rng = random.Random(6)
+    common = [f"word{i}" for i in range(40)]
+    texts = [" ".join(rng.sample(common, 30)) for _ in range(400)]
+    for i in range(0, 60, 10):                                 # the heading far off, once beside the address
+        texts[i] = f"Ferdinand {'' if i == 20 else texts[i]} call +49 30 1234567 now"
+    got = term_texts(spark, texts)
+    assert all("Ferdinand" in got[i] for i in range(0, 60, 10))
+    assert not any(w.startswith("word") for words in got.values() for w in words)
+
+
 def test_messy_rows(clashing, messy_rows, no_rows):
     found = pii.scan_documents(clashing)
     assert found.columns == ["doc_id", "spans"] and found.count() == len(messy_rows)
