@@ -63,7 +63,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return _recount(privacy.sanitise(docs), docs)
+    return _recount(privacy.sanitise(docs, rule=privacy.Disclosure(everywhere=True)), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,9 +9,10 @@ away.  For an entity e and a term t of the documents that hold it
 
 where D is the number of documents and docs() counts documents: the share of
 the entity's information that the term alone reveals (1: the term occurs only
-with the entity).  Terms at or above the threshold are generalised in every
-document that holds the entity, from the first document on: what keeps chance
-meetings out is a bound on their probability.  Were term and entity independent,
+with the entity).  Terms at or above the threshold are generalised, from the
+first document on: with ``everywhere`` in every document that holds the term,
+else in those that hold the entity too.  What keeps chance meetings out is a
+bound on their probability.  Were term and entity independent,
 as many documents with both would come with a chance of at most
 
     2 ** -(own * (q * log2(q / p) + (1 - q) * log2((1 - q) / (1 - p)))),
@@ -21,7 +22,8 @@ bound; 1 / D where both stand in one document alone).  It must not exceed
 ``significance``.  Here copies, documents of the same text, count once.
 
 Counts run over the whole corpus.  Entity, term and count rows are shuffled, and
-of the texts only those that hold an entity.
+of the texts only those that hold an entity or, by a Bloom filter, a disclosing
+term; the filter only saves rows, a join decides.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,10 +58,12 @@ _WORD = re.compile(r"[^\W_]+")
 
 @dataclass(frozen=True)
 class Disclosure:
-    """Production values: share of the entity's information, chance of a coincidence, letters of a term."""
+    """Production values: share of the entity's information, chance of a coincidence, terms also where the entity is not,
+    letters of a term."""
 
     threshold: float = 0.9
     significance: float = 0.005
+    everywhere: bool = False
     least_letters: int = 3
 
 
@@ -279,13 +284,83 @@ def disclosing_terms(holders: DataFrame, corpus: DataFrame, documents: int, text
             .select("entity", "term", "disclosure", "docs"))
 
 
-def sanitise_rows(found: DataFrame, corpus: DataFrame, text_col: str = "text",
-                  rule: Disclosure = Disclosure()) -> DataFrame:
-    """(row, spans, clean_text) of the rows (row, text, spans) of ``found`` that hold a base span."""
-    holders = found.where(F.size("spans") > 0)
-    terms = disclosing_terms(holders, corpus, corpus.count(), text_col, rule)
-    by_row = (entity_rows(holders).select("row", "entity").join(terms.select("entity", "term"), "entity")
-              .groupBy("row").agg(F.collect_set("term").alias("terms")))
+def bloom_bits(terms: DataFrame, most_bits: int = 2**28) -> np.ndarray:
+    """A Bloom filter of ``term``, as bytes: 32 to 64 bits a term up to ``most_bits``, then fewer."""
+    size = min(most_bits, max(2**16, 1 << (32 * terms.count()).bit_length()))
+
+    def places(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([p for t in batch.column(0).to_pylist() for p in probes(t, size)],
+                                                       type=pa.int64())], names=["place"])
+
+    parts = (terms.select("term").mapInArrow(places, "place bigint")
+             .groupBy(F.expr("place div 32768").alias("part"))
+             .agg(F.bitmap_construct_agg(F.col("place") % 32768).alias("bits")))
+    out = np.zeros(size // 8, dtype=np.uint8)
+    for part, bits in parts.collect():                         # most_bits at most
+        out[part * 4096:(part + 1) * 4096] = np.frombuffer(bits, dtype=np.uint8)
+    return out
+
+
+def probes(term: str, size: int) -> list[int]:
+    import xxhash
+    h = xxhash.xxh64_intdigest(term, 11)
+    step = (h >> 32) | 1
+    return [(h + i * step) % size for i in range(4)]
+
+
+def mark_rows(df: DataFrame, terms: DataFrame, rule: Disclosure, text_col: str, row: str, spans: str,
+              likely: str) -> DataFrame:
+    """``df`` with a number of the row, its base spans and, with ``everywhere``, the terms that pass the Bloom filter."""
+    marked = add_base_spans(df, text_col, spans).withColumn(row, F.monotonically_increasing_id())
+    if not rule.everywhere:
+        return marked.withColumn(likely, F.array().cast("array<string>"))
+    bits = df.sparkSession.sparkContext.broadcast(bloom_bits(terms.select("term").distinct()))
+
+    @F.arrow_udf("array<string>")
+    def find(text: pa.Array) -> pa.Array:
+        table = memoryview(bits.value)
+        size, known = 8 * len(table), {}
+        def passes(t: str) -> bool:
+            return all(table[p >> 3] >> (p & 7) & 1 for p in probes(t, size))
+        out = []
+        for t in text.to_pylist():
+            words = {w.casefold() for w in _WORD.findall(t or "")}
+            for w in words:
+                if w not in known:
+                    known[w] = passes(w)
+            out.append([w for w in words if known[w]])
+        return pa.array(out, type=pa.list_(pa.string()))
+
+    return marked.withColumn(likely, find(F.col(text_col)))
+
+
+def terms_by_row(marked: DataFrame, terms: DataFrame, documents: int, rule: Disclosure) -> DataFrame:
+    """(row, terms) of the rows (row, text, spans, likely): the terms to generalise in each."""
+    if not rule.everywhere:
+        held = entity_rows(marked.where(F.size("spans") > 0)).select("row", "entity")
+        found = held.join(terms.select("entity", "term"), "entity").select("row", "term")
+    else:
+        hits = marked.select("row", F.explode("likely").alias("term"))
+        known = terms.groupBy("term").agg(F.first("docs").alias("docs"))
+        often = F.broadcast(known.where(F.col("docs") > documents / 100))   # some 100 times what one document holds
+        seldom = known.where(F.col("docs") <= documents / 100)
+        found = (hits.join(often, "term", "left_semi")
+                 .unionByName(hits.join(often, "term", "left_anti").join(seldom, "term", "left_semi")))
+    return found.groupBy("row").agg(F.collect_set("term").alias("terms"))
+
+
+def disclosed(df: DataFrame, text_col: str, rule: Disclosure) -> tuple[DataFrame, int]:
+    """(entity, term, disclosure, docs) rows of the texts of ``df``, and the number of its documents."""
+    found = (add_base_spans(df.select(F.col(text_col).alias("text"))).where(F.size("spans") > 0)
+             .withColumn("row", F.monotonically_increasing_id()))
+    documents = df.count()
+    found = materialize(found, "pii-found")
+    return materialize(disclosing_terms(found, df, documents, text_col, rule), "pii-disclosing"), documents
+
+
+def sanitise_rows(marked: DataFrame, terms: DataFrame, documents: int, rule: Disclosure) -> DataFrame:
+    """(row, spans, clean_text) of the rows (row, text, spans, likely) that hold a base span or a likely term."""
 
     @F.arrow_udf(f"struct<spans:{SPANS},clean_text:string>")
     def apply(text: pa.Array, spans: pa.Array, terms: pa.Array) -> pa.Array:
@@ -296,7 +371,8 @@ def sanitise_rows(found: DataFrame, corpus: DataFrame, text_col: str = "text",
             out.append({"spans": [{"kind": k, "start": a, "end": b} for k, a, b in every], "clean_text": clean_text(t, every)})
         return pa.array(out, type=pa.struct([("spans", ARROW_SPANS), ("clean_text", pa.string())]))
 
-    done = holders.join(by_row, "row", "left").select("row", apply("text", "spans", "terms").alias("done"))
+    done = (marked.join(terms_by_row(marked, terms, documents, rule), "row", "left")
+            .select("row", apply("text", "spans", "terms").alias("done")))
     return done.select("row", "done.spans", "done.clean_text")
 
 
@@ -313,24 +389,27 @@ def scan_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Null and empty texts have no span; repeated rows are separate documents
     with the same spans; a null id is kept.
     """
+    terms, documents = disclosed(df, text_col, rule)
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = (add_base_spans(texts).withColumn("row", F.monotonically_increasing_id())
-             .withColumn("text", F.when(F.size("spans") > 0, F.col("text"))))
-    found = materialize(found, "pii-found")
-    done = sanitise_rows(found, df, text_col, rule)
-    with_spans = found.where(F.size("spans") > 0).select("id", "row").join(done.select("row", "spans"), "row")
-    return (with_spans.select("id", "spans")
-            .unionByName(found.where(F.size("spans") == 0).select("id", "spans"))
+    touched = (F.size("spans") > 0) | (F.size("likely") > 0)
+    marked = mark_rows(texts, terms, rule, "text", "row", "spans", "likely").withColumn("text", F.when(touched, F.col("text")))
+    marked = materialize(marked, "pii-rows")
+    held = marked.where(touched)
+    done = sanitise_rows(held.select("row", "text", "spans", "likely"), terms, documents, rule)
+    return (held.select("id", "row").join(done.select("row", "spans"), "row").select("id", "spans")
+            .unionByName(marked.where(~touched).select("id", "spans"))
             .withColumnRenamed("id", id_col))
 
 
 def sanitise(df: DataFrame, text_col: str = "text", rule: Disclosure = Disclosure()) -> DataFrame:
     """``df`` with personal data and disclosing terms generalised in ``text_col``; all rows and columns stay."""
-    row, spans, clean = (free_name(df, c) for c in ("row_number", "spans", "clean_text"))
-    found = materialize(add_base_spans(df, text_col, spans).withColumn(row, F.monotonically_increasing_id()), "pii-rows")
-    holders = found.where(F.size(spans) > 0)
-    done = sanitise_rows(holders.select(F.col(row).alias("row"), F.col(text_col).alias("text"), F.col(spans).alias("spans")),
-                         found, text_col, rule).select(F.col("row").alias(row), F.col("clean_text").alias(clean))
-    changed = holders.join(done, row).select(*[F.col(clean).alias(c) if c == text_col else F.col(c)
-                                               for c in df.columns])
-    return changed.unionByName(found.where(F.size(spans) == 0).select(*df.columns))
+    row, spans, likely, clean = (free_name(df, c) for c in ("row_number", "spans", "likely_terms", "clean_text"))
+    terms, documents = disclosed(df, text_col, rule)
+    marked = materialize(mark_rows(df, terms, rule, text_col, row, spans, likely), "pii-rows")
+    touched = (F.size(spans) > 0) | (F.size(likely) > 0)
+    held = marked.where(touched)
+    done = sanitise_rows(held.select(*[F.col(c).alias(n) for c, n in (
+        (row, "row"), (text_col, "text"), (spans, "spans"), (likely, "likely"))]), terms, documents, rule)
+    changed = (held.join(done.select(F.col("row").alias(row), F.col("clean_text").alias(clean)), row)
+               .select(*[F.col(clean).alias(c) if c == text_col else F.col(c) for c in df.columns]))
+    return changed.unionByName(marked.where(~touched).select(*df.columns))

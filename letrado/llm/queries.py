@@ -66,7 +66,7 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.scan_documents(documents(spark, sf_dir))
+    found = pii.scan_documents(documents(spark, sf_dir), rule=pii.Disclosure(everywhere=True))
     spans = F.col("spans")
     kinds = F.transform(spans, lambda s: s["kind"])
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")

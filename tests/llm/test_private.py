@@ -152,6 +152,37 @@ def test_terms_far_from_the_entity(spark):
     assert not any(w.startswith("word") for words in got.values() for w in words)
 
 
+def test_terms_go_in_every_document_that_holds_them(spark):
+    prepare(spark)
+    rng = random.Random(7)
+    common = [f"word{i}" for i in range(40)]
+    texts = [" ".join(rng.sample(common, 12)) for _ in range(400)]
+    for i in range(10):
+        texts[20 * i] += " Zebulon zeb@corp.example.com"
+    texts[7] += " Zebulon"                                     # without the address
+    got = term_texts(spark, texts, everywhere=True)
+    assert got[0] == got[180] == got[7] == {"Zebulon"}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = dict(rows(pii.sanitise(docs, rule=pii.Disclosure(everywhere=True))))
+    assert len(out) == 400 and not any("Zebulon" in t for t in out.values())
+    assert all(out[i] == t for i, t in enumerate(texts) if "Zebulon" not in t)
+    few = pii.bloom_bits(spark.createDataFrame([("zebulon",)], "term string"))
+    assert all(few[p >> 3] >> (p & 7) & 1 for p in pii.probes("zebulon", 8 * len(few)))
+
+
+def test_query_and_pipeline_generalise_everywhere(spark, monkeypatch):
+    import corpus_pipeline
+    from letrado.llm import queries
+    used = []
+    scan, clean = pii.scan_documents, pii.sanitise
+    monkeypatch.setattr(pii, "scan_documents", lambda *a, rule=pii.Disclosure(), **b: used.append(rule) or scan(*a, rule=rule, **b))
+    monkeypatch.setattr(pii, "sanitise", lambda *a, rule=pii.Disclosure(), **b: used.append(rule) or clean(*a, rule=rule, **b))
+    queries.op6_pii(spark, "/root/testdata/sf0.001")
+    docs = queries.documents(spark, "/root/testdata/sf0.001")
+    corpus_pipeline.pii(spark, docs, "/root/testdata/sf0.001")
+    assert len(used) == 2 and all(rule.everywhere for rule in used)
+
+
 def test_messy_rows(clashing, messy_rows, no_rows):
     found = pii.scan_documents(clashing)
     assert found.columns == ["doc_id", "spans"] and found.count() == len(messy_rows)
