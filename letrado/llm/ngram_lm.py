@@ -48,7 +48,7 @@ CHUNK = "level int, shard long, block long, kind string, data binary, total long
 class LmRule:
     """Production values: order of the model, prior strength, tokens of a block."""
 
-    order: int = 2
+    order: int = 5
     strength: float = 100.0
     block_tokens: int = 2_000_000
 

@@ -234,6 +234,16 @@ def test_scores_equal_the_plain_model(spark):
     assert sum(sorted(found)[i][5] for i in held) > sum(sorted(found)[i][4] for i in held)
 
 
+def test_query_scores_with_five_words(spark):
+    from letrado.llm.queries import op5_lm_scoring
+    texts = [t for _, t in sorted(rows(spark.read.parquet(f"{SF_SMALL}/documents.parquet"), "doc_id", "text"))]
+    found = sorted(rows(op5_lm_scoring(spark, SF_SMALL), "doc_id", "n_tokens", "n_known", "train_tokens", "base_score",
+                        "score"))
+    trained = [zlib.crc32(str(i).encode()) % 7 != 2 for i, *_ in found]
+    assert ngram_lm.LmRule().order == 5
+    check_scores(found, texts, trained, 5, ngram_lm.LmRule().strength)
+
+
 def test_hot_context_is_split():
     ctx, count, word = np.zeros(5000, dtype=np.int64), np.full(5000, 5000), np.arange(5000)
     assert len(np.unique(ngram_lm.shard_of(ctx, count, word, 40, 100))) > 20
