@@ -277,9 +277,10 @@ def fit_page_model(pages: DataFrame, id_col: str = "page_id", html_col: str = "h
     Null pages and ids are left out; of pages that share an id all count.
     Without a labelled page the imagined observations alone make the model.
     """
-    ids = (pages.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull()).distinct()
+    labelled = pages.where(F.col(html_col).rlike(r"(?i)<(?:article|main)(?![\w:.-])"))
+    ids = (labelled.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull()).distinct()
            .orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_pages))
-    found = (pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).where(F.col("html").isNotNull())
+    found = (labelled.select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
              .join(F.broadcast(ids), "id", "left_semi").select("html"))     # at most max_pages ids
 
     def count(batches):

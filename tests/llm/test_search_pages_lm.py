@@ -100,6 +100,14 @@ It goes on for a while.<p>Second paragraph with a <a href=z>link</a> and text<b>
 <footer>(c) 2020 someone. All rights.</footer></body></html>"""
 
 
+def test_sample_holds_labelled_pages_only(spark):
+    prepare(spark)
+    pages = [(i, "<html><body><article><p>Some words here.</p></article></body></html>" if i >= 90 else
+              "<html><body><div><p>Some words here.</p></div></body></html>") for i in range(100)]
+    model = html_extract.fit_page_model(spark.createDataFrame(pages, "page_id long, html string"), max_pages=6)
+    assert sum(n for key, n in model.counts if key[0] == "edge" and key[3:] == ("content", 1)) == 6
+
+
 def test_other_layouts(spark):
     prepare(spark)
     model = html_extract.fit_page_model(spark.read.parquet(f"{SF_SMALL}/pages.parquet"))
