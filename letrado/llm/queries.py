@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letrado.llm import bpe, html_extract, ngram_lm, packing, pii, quality_rules, rule_ensemble, simhash, token_counts, vptree
+from letrado.llm import (
+    bpe, conversation_repair, html_extract, importance, line_dedup, ngram_lm, packing, pii, quality_rules, rule_ensemble,
+    simhash, token_counts, vptree,
+)
 from letrado.llm.common import documents, fold_remainder, prepare
 from letrado.sources.tables import read_table
 
@@ -107,3 +110,25 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
     return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = line_dedup.dedup_lines(docs, out_col="lines")
+    return found.select("doc_id", F.col("lines")["n_lines"].alias("n_lines"), F.col("lines")["n_dropped"].alias("n_dropped"),
+                        F.sha2(F.col("lines")["clean_text"].cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE["op11_line_dedup"] = line_dedup.ORACLE_SQL
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark").select("text"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair_turns(conversation_repair.damage(turns))
