@@ -53,9 +53,14 @@ def safe_long(c) -> Column:
     return _c(c).try_cast("bigint")
 
 
+# The code points with the Unicode property White_Space.
+WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
+                                0x205F, 0x3000]))
+
+
 def strip_ws(c) -> Column:
     """Trim Unicode whitespace on both ends (``trim`` alone keeps tabs)."""
-    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(_c(c), F.lit(WHITE_SPACE))
 
 
 @lru_cache(maxsize=1)
@@ -80,24 +85,36 @@ def _fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return "".join(src), "".join(dst), tuple(multi)
 
 
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.char_length(c)
+
+
+def _fold(text: Column) -> Column:
+    """Accent folding of a text that holds more than ASCII."""
+    src, dst, multi = _fold_tables()
+    # one literal, folded to a map when the plan is optimised; the separators are private-use characters
+    pairs = F.str_to_map(F.lit("\ue000".join(f"{a}\ue001{b}" for a, b in multi)), F.lit("\ue000"), F.lit("\ue001"))
+
+    def rest(one: Column) -> Column:
+        # cut between code points: an empty-pattern split would part surrogate pairs
+        letters = F.regexp_extract_all(one, F.lit(r"(?s)."), F.lit(0))
+        many = F.array_join(F.transform(letters, lambda x: F.coalesce(F.try_element_at(pairs, x), x)), "")
+        return F.regexp_replace(many, r"[^\x00-\x7F]", "")
+
+    # the array binds the translated text, which is then tested and used without being made again
+    return F.get(F.transform(F.array(F.translate(text, src, dst)), lambda one: F.when(_is_ascii(one), one).otherwise(rest(one))), 0)
 
 
 def norm_text(c) -> Column:
     """strip -> upper -> accent folding -> drop remaining non-ASCII.
 
     'São João d'Água' -> "SAO JOAO D'AGUA".  Folds every code point whose
-    decomposition holds ASCII.
+    decomposition holds ASCII.  ASCII text is only stripped and put in upper case;
+    what one ``translate`` makes ASCII goes no further; the map of characters
+    that fold to several is for the rest.
     """
-    src, dst, multi = _fold_tables()
-    one = F.translate(F.upper(strip_ws(c)), src, dst)
-    pairs = F.expr("map(" + ", ".join(f"{_sql_str(a)}, {_sql_str(b)}" for a, b in multi) + ")")
-    # cut between code points: an empty-pattern split would part surrogate pairs
-    letters = F.regexp_extract_all(one, F.lit(r"(?s)."), F.lit(0))
-    many = F.array_join(F.transform(letters, lambda x: F.coalesce(F.try_element_at(pairs, x), x)), "")
-    folded = F.when(one.rlike("[" + "".join(a for a, _ in multi) + "]"), many).otherwise(one)
-    return F.regexp_replace(folded, r"[^\x00-\x7F]", "")
+    text = F.upper(strip_ws(c))
+    return F.when(_is_ascii(text), text).otherwise(_fold(text))
 
 
 def literate_flag(proficiency) -> Column:

@@ -23,15 +23,23 @@ INDICADOR_MUNICIPIO_COLS = [
 ]
 
 
+def goals_by_year(meta_mun: DataFrame) -> DataFrame:
+    """(id_municipio, year -> goal); one entry a year, as silver goals are unique by (id_municipio, ano)."""
+    return meta_mun.groupBy("id_municipio").agg(
+        F.map_from_entries(F.collect_list(F.struct("ano", "meta_municipio"))).alias("_metas"))
+
+
 def build_indicador_municipio(ind: DataFrame, mun: DataFrame, ufs: DataFrame,
                               meta_mun: DataFrame, meta_br: DataFrame) -> DataFrame:
-    m = mun.select("id_municipio", F.col("nome_municipio").alias("nome"), "sigla_uf", "id_uf")
-    u = ufs.select("id_uf", "nome_uf")
-    mm = meta_mun.select("id_municipio", "ano", "meta_municipio")
+    """The fact meets its dimensions on the municipality alone: names come with their state's, goals as one map of
+    years a municipality.  A fact that lies by municipality is therefore not moved again for these joins, nor for
+    the lags of the feature table."""
+    m = (mun.select("id_municipio", F.col("nome_municipio").alias("nome"), "sigla_uf", "id_uf")
+            .join(ufs.select("id_uf", "nome_uf"), "id_uf", "left"))
     mb = meta_br.select("ano", "meta_nacional")
-    df = (ind.join(mm, ["id_municipio", "ano"], "left")
+    df = (ind.join(goals_by_year(meta_mun), "id_municipio", "left")
              .join(m, "id_municipio", "left")
-             .join(u, "id_uf", "left")
+             .withColumn("meta_municipio", F.try_element_at("_metas", F.col("ano")))
              .join(mb, "ano", "left"))
     ind_v = F.col("indicador_alfabetizacao")
     return df.select(

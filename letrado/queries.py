@@ -186,6 +186,29 @@ def q_ml_features_target(spark, d):
     return features.build_ml_features(gold_tables(spark, d)["indicador_municipio"], with_target=True)
 
 
+def _stored_by_municipality(spark, d):
+    """Silver written once, the municipal tables bucketed by municipality."""
+    from letrado.session import scratch_path
+    from letrado.sources.bucketed import BucketedSilver
+
+    root = scratch_path(spark, "bucketed")
+    wanted = ("ufs", "municipios", "indicador_alfabetizacao", "meta_brasil", "meta_municipio")
+    s = silver_tables(spark, d)
+    return BucketedSilver(spark, root, f"letrado_{root[-12:]}").write_all({e: s[e] for e in wanted})
+
+
+@query("indicador_municipio_stored")
+def q_indicador_municipio_stored(spark, d):
+    """The municipal indicator from silver tables bucketed by municipality: the fact is not moved."""
+    return gold.build_gold(_stored_by_municipality(spark, d))["indicador_municipio"]
+
+
+@query("ml_features_stored")
+def q_ml_features_stored(spark, d):
+    """The lag features from the same tables: joins and lags on the stored distribution."""
+    return features.build_ml_features(q_indicador_municipio_stored(spark, d))
+
+
 # -- step 5: sources and sinks -------------------------------------------------
 
 ROUNDTRIP_YEAR = 1998        # year partition read back in partition_roundtrip
@@ -344,6 +367,42 @@ def q_stream_upsert(spark, d):
     return silver.transform_indicador(b["indicador_alfabetizacao"], s["municipios"], stream=valid)
 
 
+@query("stream_upsert_versioned")
+def q_stream_upsert_versioned(spark, d):
+    """The same through the merge table: silver as its first version, the events in micro-batches, a compaction in
+    between, and the newest version read with the changes that came after it."""
+    from letrado.session import scratch_path
+    from letrado.streaming.merge_table import IndicadorTable, in_batches
+    s = silver.build_silver(bronze(spark, d), keep_lineage=True)
+    table = IndicadorTable(spark, scratch_path(spark, "indicador"))
+    municipios = materialize(s["municipios"], "municipios")
+    table.create(silver.transform_indicador(bronze(spark, d)["indicador_alfabetizacao"], municipios, keep_lineage=True))
+    for i, batch in enumerate(in_batches(_events(spark, d).where(F.col("is_valid")), 3)):
+        table.upsert(batch, "events", i)
+        if i == 1:
+            table.compact()
+    return table.current(municipios).select(*silver.INDICADOR_COLS)
+
+
+@query("event_log_days")
+def q_event_log_days(spark, d):
+    """Deliveries stored by the event log in micro-batches and compacted into days: per day the deliveries and the
+    messages told apart by their hash."""
+    from letrado.session import scratch_path
+    from letrado.streaming.merge_table import EventLog, in_batches
+    log = EventLog(spark, scratch_path(spark, "event-log"))
+    events = _events(spark, d).withColumn("_received_at", F.col("event_timestamp").cast("timestamp"))
+    events = events.where(F.col("is_valid")).select("event_id", "_message_hash", "_received_at")
+    for i, batch in enumerate(in_batches(events, 3)):
+        log.append(batch, "events", i)
+        if i == 1:
+            log.compact()
+    log.append(events, "again", 0)        # another stream delivers every message once more
+    log.compact()
+    return (log.deliveries().groupBy(F.col("_day").alias("day"))
+            .agg(F.count(F.lit(1)).alias("n_deliveries"), F.count_distinct("_message_hash").alias("n_messages")))
+
+
 @query("stream_accounting")
 def q_stream_accounting(spark, d):
     """Deliveries by outcome: received = stored + redelivered + quarantined by reason."""

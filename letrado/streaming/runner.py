@@ -9,18 +9,21 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from letrado.session import checkpoint_root
 from letrado.streaming.events import prepare_events
+from letrado.streaming.merge_table import VersionedUpsert
 from letrado.streaming.upsert import IndicadorUpsert
 
 # Fixed stream settings: flush every 60 s, at most so many files a flush (a
 # backlog is worked off over several batches).
 FLUSH_INTERVAL = "60 seconds"
 FILES_PER_FLUSH = 1000
+# Gather the small folders of the versioned tables once an hour of 60 s batches.
+COMPACT_EVERY = 60
 
 
 def event_source(spark: SparkSession, source: str, fmt: str = "text", max_files_per_trigger: int | None = FILES_PER_FLUSH,
@@ -46,13 +49,35 @@ def start_event_stream(spark: SparkSession, source: str, changes_path: str, quar
                        checkpoint: str | None = None, available_now: bool = False, fmt: str = "text",
                        max_files_per_trigger: int | None = FILES_PER_FLUSH,
                        options: dict | None = None) -> StreamingQuery:
-    messages = event_source(spark, source, fmt, max_files_per_trigger, options)
-    events = prepare_events(messages.withColumn("_received_at", F.current_timestamp()))
+    ckpt, stream_id = _stream_identity(spark, checkpoint)
+    events = _received(event_source(spark, source, fmt, max_files_per_trigger, options))
+    return _start(events, IndicadorUpsert(changes_path, quarantine_root, events_root, stream_id), ckpt, available_now)
+
+
+def start_versioned_stream(spark: SparkSession, source: str, table_path: str, quarantine_path: str, events_path: str,
+                           checkpoint: str | None = None, available_now: bool = False, fmt: str = "text",
+                           max_files_per_trigger: int | None = FILES_PER_FLUSH, options: dict | None = None,
+                           compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+    """The event stream into tables with a commit log (``merge_table``); every ``compact_every`` batches their small
+    folders are gathered.  The merge table at ``table_path`` must have been created."""
+    ckpt, stream_id = _stream_identity(spark, checkpoint)
+    events = _received(event_source(spark, source, fmt, max_files_per_trigger, options))
+    sink = VersionedUpsert(table_path, quarantine_path, events_path, stream_id, compact_every=compact_every)
+    return _start(events, sink, ckpt, available_now)
+
+
+def _stream_identity(spark: SparkSession, checkpoint: str | None) -> tuple[str, str]:
     ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/letrado/event_stream"
     # offsets belong to a checkpoint, so its path tells one stream's batch numbers from another's
-    stream_id = hashlib.sha256(ckpt.encode()).hexdigest()[:12]
-    w = (events.writeStream.foreachBatch(IndicadorUpsert(changes_path, quarantine_root, events_root, stream_id))
-               .option("checkpointLocation", ckpt))
+    return ckpt, hashlib.sha256(ckpt.encode()).hexdigest()[:12]
+
+
+def _received(messages: DataFrame) -> DataFrame:
+    return prepare_events(messages.withColumn("_received_at", F.current_timestamp()))
+
+
+def _start(events: DataFrame, sink, ckpt: str, available_now: bool) -> StreamingQuery:
+    w = events.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=FLUSH_INTERVAL)
     return w.start()
 
