@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letrado.plans import features, gold, observability, quality, rejects, silver
+from letrado.plans import features, gold, observability, probes, quality, rejects, silver
 from letrado.plans.lazy import LazyTables
 from letrado.session import remove_folder, scratch_path
 from letrado.sources import io, mapping
@@ -44,24 +44,98 @@ class RunLog:
         self.rows.append((self.run_id, dt.datetime.now(dt.timezone.utc), stage, entity, status,
                           details, float(duration_s)))
 
-    def failed(self, stage: str) -> bool:
-        return any(r[2] == stage and r[4] == "FAILED" for r in self.rows)
+    def failed(self, stage: str, entity: str | None = None) -> bool:
+        return any(r[2] == stage and entity in (None, r[3]) and r[4] == "FAILED" for r in self.rows)
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows, RUN_EVENT_SCHEMA)
 
 
-def _timed(log: RunLog, stage: str, entity: str, fn):
+def _timed(log: RunLog, stage: str, entity: str, fn, verdict=lambda out: ("SUCCESS", "")):
     t0 = time.time()
     try:
         out = fn()
-        log.event(stage, entity, "SUCCESS", "", time.time() - t0)
+        log.event(stage, entity, *verdict(out), time.time() - t0)
         return out
     except Exception as e:  # noqa: BLE001 - a failed entity is recorded, the run goes on
         log.event(stage, entity, "FAILED", f"{type(e).__name__}: {e}", time.time() - t0)
         return None
 
 
+def _silver(spark: SparkSession, log: RunLog, root: str, run_date: str, run_ts: str, with_stream: bool,
+            entities: Sequence[str]) -> None:
+    """Write every silver entity, counted while it is written.  An entity whose input is not whole (the events did not
+    parse, a dimension failed) is not written: what an earlier run left stays, and the run says so."""
+    session = probes.observed_session(spark)
+
+    def bronze_of(e):
+        return lambda: io.read_layer(session, root, "bronze", e, run_date).drop("_source", "_batch_date")
+    b = LazyTables({e: bronze_of(e) for e in entities})
+    stream, parsed, half = None, scratch_path(spark, "events"), set()
+    if with_stream:
+        def parse():  # parsed once; three outputs read it
+            prepare_events(io.read_events(session, root, run_date)).write.parquet(parsed)
+            return session.read.parquet(parsed)
+        events = _timed(log, "silver", "events", parse)
+        if events is None:
+            half = {"indicador_alfabetizacao"}
+        else:
+            _timed(log, "silver", "quarantine", lambda: events.where(~F.col("is_valid")).select(*QUARANTINE_COLS)
+                   .write.mode("overwrite").parquet(f"{root}/monitoring/quarantine/date={run_date}"))
+            stream = events.where(F.col("is_valid")).select(*FLAT_COLS)
+            _timed(log, "silver", "streaming_events", lambda: io.write_layer(
+                enrich_events(stream, F.lit(run_date).cast("date")), root, "silver", "streaming_events", run_date))
+
+    def written(e):
+        return io.read_layer(session, root, "silver", e, run_date).drop("_silver_timestamp")
+
+    probe = probes.WriteProbe()
+    s = silver.build_silver(b, stream=stream, keep_lineage=True, dims=written, probe_of=probe.of)
+    counts, again = [], []
+    for entity in s:
+        needs = [d for d in silver.DIMENSIONS.get(entity, ()) if log.failed("silver", d)]
+        if entity in half or needs:
+            log.event("silver", entity, "FAILED", f"not written: no whole input ({', '.join(needs) or 'events'})")
+            continue
+
+        def write(e=entity):
+            rows, staged = s[e], None
+            if io.LAYOUT.get(("silver", e), {}).get("cluster"):
+                # range bounds are sampled from the rows first: computed rows would be made, and counted, twice
+                staged = scratch_path(spark, f"staged-{e}")
+                rows.write.parquet(staged)
+                rows = session.read.parquet(staged)
+            io.write_layer(io.add_audit_columns(rows, "silver", run_ts), root, "silver", e, run_date)
+            if staged:
+                remove_folder(spark, staged)
+            if probe.whole(e, written(e)):
+                return probe.counts(e)
+            again.append(e)                        # a stage was run again, so its rows were counted twice
+            return []
+        counts += _timed(log, "silver", entity, write) or []
+    remove_folder(spark, parsed)
+
+    def account():
+        dims = {e: written(e) for e in ("ufs", "municipios")}
+        recounted = rejects.reject_counts(b, dims).where(F.col("entity").isin(again)).collect() if again else []
+        _account(spark, log, root, run_date, counts + [tuple(r) for r in recounted], b, dims)
+    _timed(log, "accounting", "rejects", account)
+
+
+def _account(spark: SparkSession, log: RunLog, root: str, run_date: str, counts: list, b, dims) -> None:
+    """Reject counts and ingestion metrics from what the writes counted; the rejected rows from bronze."""
+    path = f"{root}/monitoring/reject_counts/date={run_date}"
+    spark.createDataFrame(counts, probes.REJECT_SCHEMA).write.mode("overwrite").parquet(path)   # a handful of rows an entity
+    rejects.rejected_rows(b, dims).write.mode("overwrite").parquet(f"{root}/monitoring/rejected_rows/date={run_date}")
+    took = spark.createDataFrame([(e, st, d, p) for _, _, g, e, st, p, d in log.rows if g == "silver"],
+                                 "entity string, stage_status string, duration_s double, details string")
+    (observability.ingestion_metrics(spark.read.parquet(path)).join(F.broadcast(took), "entity", "left")
+     .select("entity", F.lit(run_date).cast("date").alias("run_date"),
+             F.concat(F.lit(f"{root}/silver/"), "entity").alias("uri"), "bronze_rows", "silver_rows", "duplicate_rows",
+             "rejected_rows", F.coalesce("stage_status", "status").alias("status"), "duration_s")
+     .write.mode("overwrite").parquet(f"{root}/monitoring/ingestion_metrics/date={run_date}"))
+
+
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_date: str,
                  run_ts: str | None = None, stages: Sequence[str] = STAGES) -> dict:
     """One run for ``run_date``; a run keeps its own audit, also when the date is run again."""
@@ -69,7 +143,32 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_date: str,
     started = dt.datetime.now(dt.timezone.utc)
     run_id = f"run_{run_date.replace('-', '')}_{uuid.uuid4().hex[:8]}"
     log = RunLog(run_id)
+    summary = None
+    try:
+        summary = _stages(spark, sf_dir, root, run_date, run_ts, stages, log)
+    except Exception as e:
+        log.event("run", "pipeline", "FAILED", f"{type(e).__name__}: {e}")
+        raise
+    finally:        # whatever happened, the run leaves its audit
+        status, ended = _report(spark, log, root, run_date, started)
+    return {"run_id": run_id, "overall_status": status, "quality": summary, "events": len(log.rows),
+            "started": started.isoformat(), "ended": ended.isoformat(), "duration_s": (ended - started).total_seconds()}
 
+
+def _report(spark: SparkSession, log: RunLog, root: str, run_date: str, started: dt.datetime) -> tuple[str, dt.datetime]:
+    events = log.frame(spark)
+    events.drop("run_id").write.mode("errorifexists").parquet(f"{root}/monitoring/run_events/run_id={log.run_id}")
+    overall = observability.run_status(events).first()
+    status = overall["overall_status"] if overall else "FAILED"
+    ended = dt.datetime.now(dt.timezone.utc)
+    spark.createDataFrame([(log.run_id, dt.date.fromisoformat(run_date), started, ended, (ended - started).total_seconds(), status,
+                            len(log.rows))], REPORT_SCHEMA).drop("run_id").write.parquet(
+        f"{root}/monitoring/run_reports/run_id={log.run_id}")
+    return status, ended
+
+
+def _stages(spark: SparkSession, sf_dir: str, root: str, run_date: str, run_ts: str, stages: Sequence[str], log: RunLog) -> dict | None:
+    """Run the stages; the quality summary, if there is one."""
     if "bronze" in stages:
         for entity, df in mapping.bronze_entities(spark, sf_dir).items():
             _timed(log, "bronze", entity, lambda df=df, e=entity: io.write_layer(
@@ -81,40 +180,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_date: str,
             mapping.stream_messages(spark.read.parquet(f"{sf_dir}/events.parquet")), root, run_date))
 
     if "silver" in stages:
-        def bronze_of(e):
-            return lambda: io.read_layer(spark, root, "bronze", e, run_date).drop("_source", "_batch_date")
-        b = LazyTables({e: bronze_of(e) for e in mapping.bronze_entities(spark, sf_dir)})
-        stream, parsed = None, scratch_path(spark, "events")
-        if "stream" in stages:
-            def parse():  # parsed once; three outputs read it
-                prepare_events(io.read_events(spark, root, run_date)).write.parquet(parsed)
-                return spark.read.parquet(parsed)
-            events = _timed(log, "silver", "events", parse)
-            if events is not None:
-                _timed(log, "silver", "quarantine", lambda: events.where(~F.col("is_valid")).select(*QUARANTINE_COLS)
-                       .write.mode("overwrite").parquet(f"{root}/monitoring/quarantine/date={run_date}"))
-                stream = events.where(F.col("is_valid")).select(*FLAT_COLS)
-                _timed(log, "silver", "streaming_events", lambda: io.write_layer(
-                    enrich_events(stream, F.lit(run_date).cast("date")), root, "silver", "streaming_events", run_date))
-        s = silver.build_silver(b, stream=stream, keep_lineage=True)
-        for entity in s:
-            _timed(log, "silver", entity, lambda e=entity: io.write_layer(
-                io.add_audit_columns(s[e], "silver", run_ts), root, "silver", e, run_date))
-        remove_folder(spark, parsed)
-        batch = silver.build_silver(b)          # the accounting is of the batch rows; events have their own
-
-        def account():
-            counts = f"{root}/monitoring/reject_counts/date={run_date}"
-            rejects.reject_counts(b, batch).write.mode("overwrite").parquet(counts)
-            rejects.rejected_rows(b, batch).write.mode("overwrite").parquet(f"{root}/monitoring/rejected_rows/date={run_date}")
-            took = spark.createDataFrame([(e, st, d, p) for _, _, g, e, st, p, d in log.rows if g == "silver"],
-                                         "entity string, stage_status string, duration_s double, details string")
-            (observability.ingestion_metrics(spark.read.parquet(counts)).join(F.broadcast(took), "entity", "left")
-             .select("entity", F.lit(run_date).cast("date").alias("run_date"),
-                     F.concat(F.lit(f"{root}/silver/"), "entity").alias("uri"), "bronze_rows", "silver_rows", "duplicate_rows",
-                     "rejected_rows", F.coalesce("stage_status", "status").alias("status"), "duration_s")
-             .write.mode("overwrite").parquet(f"{root}/monitoring/ingestion_metrics/date={run_date}"))
-        _timed(log, "accounting", "rejects", account)
+        _silver(spark, log, root, run_date, run_ts, "stream" in stages, list(mapping.bronze_entities(spark, sf_dir)))
 
     def silver_of(e):
         return io.read_layer(spark, root, "silver", e, run_date).drop("_silver_timestamp")
@@ -145,13 +211,17 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_date: str,
     if "quality" in stages and not blocked:
         def loader(layer, entity):
             return lambda: io.read_layer(spark, root, layer, entity, run_date)
-        report = quality.quality_report({k: loader(*k) for k in quality.ENTITY_RULES}, spark=spark)
-        path = f"{root}/monitoring/quality_reports/date={run_date}"
-        report.withColumn("timestamp", F.lit(run_ts).cast("timestamp")).write.mode("overwrite").parquet(path)
-        summary = quality.quality_summary(spark.read.parquet(path)).first().asDict()  # one row
-        status = ("FAILED_NO_CHECKS" if summary["total"] == 0
-                  else "WARNINGS" if summary["failed"] > 0 else "SUCCESS")
-        log.event("quality", "validation", status, f"pass_rate={summary['pass_rate']}")
+
+        def validate():
+            report = quality.quality_report({k: loader(*k) for k in quality.ENTITY_RULES}, spark=spark)
+            path = f"{root}/monitoring/quality_reports/date={run_date}"
+            report.withColumn("timestamp", F.lit(run_ts).cast("timestamp")).write.mode("overwrite").parquet(path)
+            return quality.quality_summary(spark.read.parquet(path)).first().asDict()  # one row
+
+        def verdict(found: dict) -> tuple[str, str]:
+            return ("FAILED_NO_CHECKS" if found["total"] == 0 else "WARNINGS" if found["failed"] > 0 else "SUCCESS",
+                    f"pass_rate={found['pass_rate']}")
+        summary = _timed(log, "quality", "validation", validate, verdict)
 
     if "health" in stages and not blocked:
         def health():
@@ -170,13 +240,4 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, run_date: str,
             observability.health(checks).write.mode("overwrite").parquet(f"{base}/overall")
         _timed(log, "health", "checks", health)
 
-    events = log.frame(spark)
-    events.drop("run_id").write.mode("errorifexists").parquet(f"{root}/monitoring/run_events/run_id={run_id}")
-    overall = observability.run_status(events).first()
-    status = overall["overall_status"] if overall else "FAILED"
-    ended = dt.datetime.now(dt.timezone.utc)
-    duration = (ended - started).total_seconds()
-    spark.createDataFrame([(run_id, dt.date.fromisoformat(run_date), started, ended, duration, status, len(log.rows))],
-                          REPORT_SCHEMA).drop("run_id").write.parquet(f"{root}/monitoring/run_reports/run_id={run_id}")
-    return {"run_id": run_id, "overall_status": status, "quality": summary, "events": len(log.rows),
-            "started": started.isoformat(), "ended": ended.isoformat(), "duration_s": duration}
+    return summary

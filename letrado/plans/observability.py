@@ -104,13 +104,14 @@ def alert_windows(metrics: DataFrame, window: str = ALERT_WINDOW) -> DataFrame:
 
 
 def ingestion_metrics(rejects: DataFrame) -> DataFrame:
-    """From reject_counts rows, per entity: rows in (cells of a wide table), kept, duplicates and
-    rejects, which add up; an entity with no kept row failed."""
+    """From reject counts, per entity: rows in (cells of a wide table; events counted by a write that
+    merges a stream among them), kept, duplicates and rejects, which add up; an entity with no kept
+    row failed."""
     def total(*reasons: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("reason").isin(*reasons), F.col("n_rows"))), F.lit(0)).cast("bigint")
 
     a = rejects.groupBy("entity").agg(
-        total("entrada").alias("bronze_rows"), total("mantidas").alias("silver_rows"),
+        total("entrada", "entrada_stream").alias("bronze_rows"), total("mantidas").alias("silver_rows"),
         total("duplicada").alias("duplicate_rows"), total("sem_chave", "sem_valor", "orfa").alias("rejected_rows"))
     return a.withColumn("status", F.when(F.col("silver_rows") > 0, F.lit("SUCCESS")).otherwise(F.lit("FAILED")))
 

@@ -1,5 +1,8 @@
 """Silver layer: typed, normalised, de-duplicated, referentially checked.
 
+Each transform tells its ``probe`` the rows left after every step (input, key,
+duplicates, value, reference); the job counts them while it writes.
+
 Order inside every entity transform: cast per value (``try_cast``; a bad value
 becomes NULL, never a job failure) -> de-duplicate on the entity key (latest
 ``_ingestion_timestamp`` wins, full tie-breaker) -> filter -> referential
@@ -21,6 +24,16 @@ from letrado.operators.integrity import referential_filter
 from letrado.operators.reshape import unpivot_years, year_columns
 from letrado.plans.lazy import LazyTables
 
+# Steps of a transform, named by what they take out (the reject reasons), with the input and what is kept.
+NO_KEY, NO_VALUE, DUPLICATE, ORPHAN, KEPT, INPUT = (
+    "sem_chave", "sem_valor", "duplicada", "orfa", "mantidas", "entrada")
+
+
+def unobserved(step: str, df: DataFrame, rows_each: int = 1) -> DataFrame:
+    """The probe that looks at nothing."""
+    return df
+
+
 # Ordering columns a bronze row may carry (audit timestamp, then source sequence).
 ORDER_COLS = ("_ingestion_timestamp", "_record_id")
 
@@ -39,28 +52,35 @@ def _dedup(df: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:
     return out.drop(*order)
 
 
-def transform_ufs(bronze: DataFrame) -> DataFrame:
-    df = bronze.where(F.col("id_uf").isNotNull()).select(
+def transform_ufs(bronze: DataFrame, probe=unobserved) -> DataFrame:
+    df = probe(NO_KEY, probe(INPUT, bronze).where(F.col("id_uf").isNotNull())).select(
         F.col("id_uf").cast("string").alias("id_uf"),
         norm_text("sigla").alias("sigla_uf"),
         norm_text("nome").alias("nome_uf"),
         *_carry(bronze))
-    return _dedup(df, ["id_uf"], ["sigla_uf", "nome_uf"])
+    return probe(DUPLICATE, _dedup(df, ["id_uf"], ["sigla_uf", "nome_uf"]))
 
 
-def prepare_municipios(bronze: DataFrame) -> DataFrame:
-    """Typed, normalised, one row per id; before the state-code check."""
-    df = bronze.where(F.col("id_municipio").isNotNull()).select(
+MUNICIPIO_PAYLOAD = ["nome_municipio", "sigla_uf", "id_uf"]
+
+
+def typed_municipios(bronze: DataFrame) -> DataFrame:
+    return bronze.select(
         F.col("id_municipio").cast("string").alias("id_municipio"),
         F.coalesce(norm_text("nome"), F.lit(MISSING_NAME)).alias("nome_municipio"),
         norm_text("sigla_uf").alias("sigla_uf"),
         F.col("id_uf").cast("string").alias("id_uf"),
         *_carry(bronze))
-    return _dedup(df, ["id_municipio"], ["nome_municipio", "sigla_uf", "id_uf"])
 
 
-def transform_municipios(bronze: DataFrame, ufs: DataFrame) -> DataFrame:
-    return referential_filter(prepare_municipios(bronze), ufs, "sigla_uf")
+def prepare_municipios(bronze: DataFrame, probe=unobserved) -> DataFrame:
+    """Typed, normalised, one row per id; before the state-code check."""
+    df = typed_municipios(probe(NO_KEY, probe(INPUT, bronze).where(F.col("id_municipio").isNotNull())))
+    return probe(DUPLICATE, _dedup(df, ["id_municipio"], MUNICIPIO_PAYLOAD))
+
+
+def transform_municipios(bronze: DataFrame, ufs: DataFrame, probe=unobserved) -> DataFrame:
+    return probe(ORPHAN, referential_filter(prepare_municipios(bronze, probe), ufs, "sigla_uf"))
 
 
 def _indicator_value(bronze: DataFrame):
@@ -71,18 +91,17 @@ def _indicator_value(bronze: DataFrame):
     return F.coalesce(*parts) if len(parts) > 1 else parts[0]
 
 
-def _batch_measurements(bronze: DataFrame) -> DataFrame:
+def typed_measurements(bronze: DataFrame) -> DataFrame:
+    """Every bronze row as a measurement; a year that is no number is NULL."""
     qm = (safe_long("quantidade_matriculas") if "quantidade_matriculas" in bronze.columns
           else F.lit(None).cast("bigint"))
     ts = (F.col("_ingestion_timestamp").cast("timestamp_ntz") if "_ingestion_timestamp" in bronze.columns
           else F.lit(None).cast("timestamp_ntz"))
     seq = (F.col("_record_id").cast("bigint") if "_record_id" in bronze.columns
            else F.lit(None).cast("bigint"))
-    # the year is tested after the cast: text that is no year makes no key
-    return bronze.withColumn("ano", F.col("ano").try_cast("int")).where(
-        F.col("id_municipio").isNotNull() & F.col("ano").isNotNull()).select(
+    return bronze.select(
         F.col("id_municipio").cast("string").alias("id_municipio"),
-        F.col("ano"),
+        F.col("ano").try_cast("int").alias("ano"),
         _indicator_value(bronze).alias("indicador_alfabetizacao"),
         qm.alias("quantidade_matriculas"),
         F.lit(0).alias("_priority"),
@@ -92,6 +111,12 @@ def _batch_measurements(bronze: DataFrame) -> DataFrame:
     )
 
 
+def _batch_measurements(bronze: DataFrame, probe=unobserved) -> DataFrame:
+    # the year is tested after the cast: text that is no year makes no key
+    return probe(NO_KEY, typed_measurements(probe(INPUT, bronze)).where(
+        F.col("id_municipio").isNotNull() & F.col("ano").isNotNull()))
+
+
 def stream_measurements(events: DataFrame, event_types=None, skip_null: bool = True) -> DataFrame:
     """Flattened valid events -> rows that override batch rows of the same key."""
     ev = events.where(F.length(F.col("id_municipio")) > 0)
@@ -123,27 +148,31 @@ def bucket_of(col: str = "id_municipio", buckets: int = UPSERT_BUCKETS):
     return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
 
 
+MEASUREMENT_PAYLOAD = ["indicador_alfabetizacao", "quantidade_matriculas"]
+
+
 def rank_measurements(rows: DataFrame) -> DataFrame:
     """One row per (id_municipio, ano): stream beats batch, then the newest
     event/ingestion time, then the source sequence / event id."""
-    return keep_latest(rows, ["id_municipio", "ano"],
-                       order_by=["_priority", "_order_ts", "_seq", "_event_id"],
-                       tie_breakers=["indicador_alfabetizacao", "quantidade_matriculas"])
+    return keep_latest(rows, ["id_municipio", "ano"], order_by=LINEAGE_COLS, tie_breakers=MEASUREMENT_PAYLOAD)
+
+
+STREAM_INPUT = "entrada_stream"
 
 
 def prepare_indicador(bronze: DataFrame, stream: DataFrame | None = None, event_types=None,
-                      skip_null: bool = True) -> DataFrame:
+                      skip_null: bool = True, probe=unobserved) -> DataFrame:
     """Batch (+ stream) rows ranked to one per key, NULL indicators dropped;
     before the municipality check."""
-    rows = _batch_measurements(bronze)
+    rows = _batch_measurements(bronze, probe)
     if stream is not None:
-        rows = rows.unionByName(stream_measurements(stream, event_types, skip_null))
-    return rank_measurements(rows).where(F.col("indicador_alfabetizacao").isNotNull())
+        rows = rows.unionByName(probe(STREAM_INPUT, stream_measurements(stream, event_types, skip_null)))
+    return probe(NO_VALUE, probe(DUPLICATE, rank_measurements(rows)).where(F.col("indicador_alfabetizacao").isNotNull()))
 
 
-def finish_indicador(ranked: DataFrame, municipios: DataFrame, keep_lineage: bool = False) -> DataFrame:
+def finish_indicador(ranked: DataFrame, municipios: DataFrame, keep_lineage: bool = False, probe=unobserved) -> DataFrame:
     df = ranked.where(F.col("indicador_alfabetizacao").isNotNull())
-    df = referential_filter(df, municipios, "id_municipio")
+    df = probe(ORPHAN, referential_filter(df, municipios, "id_municipio"))
     df = df.withColumn("meta_atingida", target_flag("indicador_alfabetizacao"))
     if not keep_lineage:
         return df.select(*INDICADOR_COLS)
@@ -152,95 +181,111 @@ def finish_indicador(ranked: DataFrame, municipios: DataFrame, keep_lineage: boo
 
 def transform_indicador(bronze: DataFrame, municipios: DataFrame, stream: DataFrame | None = None,
                         event_types=None, skip_null: bool = True,
-                        keep_lineage: bool = False) -> DataFrame:
-    return finish_indicador(prepare_indicador(bronze, stream, event_types, skip_null),
-                            municipios, keep_lineage)
+                        keep_lineage: bool = False, probe=unobserved) -> DataFrame:
+    return finish_indicador(prepare_indicador(bronze, stream, event_types, skip_null, probe),
+                            municipios, keep_lineage, probe)
 
 
-def ranked_alunos(bronze: DataFrame) -> DataFrame:
-    """Typed, one row per (id_aluno, ano); a row without a year has no key."""
-    has_id = "id_aluno" in bronze.columns
-    df = bronze.select(
-        *([F.col("id_aluno").cast("string").alias("id_aluno")] if has_id else []),
+ALUNO_PAYLOAD = ["proficiencia_saeb", "id_municipio"]
+
+
+def typed_alunos(bronze: DataFrame) -> DataFrame:
+    return bronze.select(
+        *([F.col("id_aluno").cast("string").alias("id_aluno")] if "id_aluno" in bronze.columns else []),
         F.col("ano").try_cast("int").alias("ano"),
         F.col("id_municipio").cast("string").alias("id_municipio"),
         safe_double("proficiencia").alias("proficiencia_saeb"),
-        *_carry(bronze)).where(F.col("ano").isNotNull())
-    if has_id:
-        df = _dedup(df, ["id_aluno", "ano"], ["proficiencia_saeb", "id_municipio"])
+        *_carry(bronze))
+
+
+def ranked_alunos(bronze: DataFrame, probe=unobserved) -> DataFrame:
+    """Typed, one row per (id_aluno, ano); a row without a year has no key."""
+    df = probe(NO_KEY, typed_alunos(probe(INPUT, bronze)).where(F.col("ano").isNotNull()))
+    if "id_aluno" in bronze.columns:
+        df = _dedup(df, ["id_aluno", "ano"], ALUNO_PAYLOAD)
     else:
         df = df.drop(*_order_cols(df))
-    return df
+    return probe(DUPLICATE, df)
 
 
-def prepare_alunos(bronze: DataFrame) -> DataFrame:
+def prepare_alunos(bronze: DataFrame, probe=unobserved) -> DataFrame:
     """Ranked and scored; before the municipality check."""
-    return ranked_alunos(bronze).where(F.col("proficiencia_saeb").isNotNull())
+    return probe(NO_VALUE, ranked_alunos(bronze, probe).where(F.col("proficiencia_saeb").isNotNull()))
 
 
-def transform_alunos(bronze: DataFrame, municipios: DataFrame) -> DataFrame:
-    df = referential_filter(prepare_alunos(bronze), municipios, "id_municipio")
+def transform_alunos(bronze: DataFrame, municipios: DataFrame, probe=unobserved) -> DataFrame:
+    df = probe(ORPHAN, referential_filter(prepare_alunos(bronze, probe), municipios, "id_municipio"))
     return df.withColumn("aluno_alfabetizado", literate_flag("proficiencia_saeb"))
 
 
-def _long_goals(bronze: DataFrame, ids: list[str], value: str) -> DataFrame:
+def _long_goals(bronze: DataFrame, ids: list[str], value: str, probe=unobserved) -> DataFrame:
     """Accept the wide source (meta_alfabetizacao_YYYY) or an already long one.
     The audit columns come along: the latest ingestion of a goal wins."""
     ids = [*ids, *_order_cols(bronze)]
-    if year_columns(bronze):
-        return unpivot_years(bronze, ids, value)
+    years = year_columns(bronze)
+    if years:       # a wide row counts as one row a year
+        return probe(NO_VALUE, unpivot_years(probe(INPUT, bronze, len(years)), ids, value))
     src = value if value in bronze.columns else "meta"
-    return bronze.select(*ids, F.col("ano").try_cast("int").alias("ano"), safe_double(src).alias(value)).where(
-        F.col("ano").isNotNull() & F.col(value).isNotNull())
+    long = probe(INPUT, bronze).select(*ids, F.col("ano").try_cast("int").alias("ano"), safe_double(src).alias(value))
+    return probe(NO_VALUE, long.where(F.col("ano").isNotNull() & F.col(value).isNotNull()))
 
 
-def transform_meta_brasil(bronze: DataFrame) -> DataFrame:
-    return _dedup(_long_goals(bronze, [], "meta_nacional"), ["ano"], ["meta_nacional"])
+def transform_meta_brasil(bronze: DataFrame, probe=unobserved) -> DataFrame:
+    return probe(DUPLICATE, _dedup(_long_goals(bronze, [], "meta_nacional", probe), ["ano"], ["meta_nacional"]))
 
 
-def prepare_meta_uf(bronze: DataFrame) -> DataFrame:
+def prepare_meta_uf(bronze: DataFrame, probe=unobserved) -> DataFrame:
     """Long form with the normalised state code; before the state lookup."""
-    return _long_goals(bronze, ["sigla_uf"], "meta_uf").withColumn("sigla_uf", norm_text("sigla_uf"))
+    return _long_goals(bronze, ["sigla_uf"], "meta_uf", probe).withColumn("sigla_uf", norm_text("sigla_uf"))
 
 
-def transform_meta_uf(bronze: DataFrame, ufs: DataFrame) -> DataFrame:
+def transform_meta_uf(bronze: DataFrame, ufs: DataFrame, probe=unobserved) -> DataFrame:
     if "sigla_uf" in bronze.columns:
-        df = prepare_meta_uf(bronze)
+        df = prepare_meta_uf(bronze, probe)
         # look the state id up by its normalised code; unknown codes drop out
         df = df.join(ufs.select("id_uf", "sigla_uf"), "sigla_uf", "inner")
     else:
-        df = _long_goals(bronze, ["id_uf"], "meta_uf").withColumn("id_uf", F.col("id_uf").cast("string"))
+        df = _long_goals(bronze, ["id_uf"], "meta_uf", probe).withColumn("id_uf", F.col("id_uf").cast("string"))
         df = referential_filter(df, ufs, "id_uf").join(ufs.select("id_uf", "sigla_uf"), "id_uf", "left")
-    df = _dedup(df, ["id_uf", "ano"], ["meta_uf", "sigla_uf"])
+    df = probe(DUPLICATE, _dedup(probe(ORPHAN, df), ["id_uf", "ano"], ["meta_uf", "sigla_uf"]))
     return df.select("id_uf", "sigla_uf", "ano", "meta_uf")
 
 
-def prepare_meta_municipio(bronze: DataFrame) -> DataFrame:
-    df = _long_goals(bronze, ["id_municipio"], "meta_municipio") \
+def prepare_meta_municipio(bronze: DataFrame, probe=unobserved) -> DataFrame:
+    df = _long_goals(bronze, ["id_municipio"], "meta_municipio", probe) \
         .withColumn("id_municipio", F.col("id_municipio").cast("string"))
-    return _dedup(df, ["id_municipio", "ano"], ["meta_municipio"])
+    return probe(DUPLICATE, _dedup(df, ["id_municipio", "ano"], ["meta_municipio"]))
 
 
-def transform_meta_municipio(bronze: DataFrame, municipios: DataFrame) -> DataFrame:
-    df = referential_filter(prepare_meta_municipio(bronze), municipios, "id_municipio")
+def transform_meta_municipio(bronze: DataFrame, municipios: DataFrame, probe=unobserved) -> DataFrame:
+    df = probe(ORPHAN, referential_filter(prepare_meta_municipio(bronze, probe), municipios, "id_municipio"))
     return df.select("id_municipio", "ano", "meta_municipio")
 
 
-def build_silver(bronze, stream: DataFrame | None = None, keep_lineage: bool = False) -> LazyTables:
-    """All silver entities, dims first; each is built on first use."""
+#: the dimensions an entity is checked against
+DIMENSIONS = {"municipios": ["ufs"], "meta_uf": ["ufs"], "indicador_alfabetizacao": ["municipios"], "alunos": ["municipios"],
+              "meta_municipio": ["municipios"]}
+
+
+def build_silver(bronze, stream: DataFrame | None = None, keep_lineage: bool = False, dims=None,
+                 probe_of=lambda entity: unobserved) -> LazyTables:
+    """All silver entities, dims first; each is built on first use.  ``dims`` (entity -> DataFrame) gives the states
+    and municipalities that the others are checked against, where they are written already."""
     out: LazyTables
+    ref = lambda e: out[e] if dims is None else dims(e)
 
     def ind():
-        return transform_indicador(bronze["indicador_alfabetizacao"], out["municipios"], stream,
-                                   keep_lineage=keep_lineage)
+        return transform_indicador(bronze["indicador_alfabetizacao"], ref("municipios"), stream,
+                                   keep_lineage=keep_lineage, probe=probe_of("indicador_alfabetizacao"))
 
     out = LazyTables({
-        "ufs": lambda: transform_ufs(bronze["ufs"]),
-        "municipios": lambda: transform_municipios(bronze["municipios"], out["ufs"]),
+        "ufs": lambda: transform_ufs(bronze["ufs"], probe_of("ufs")),
+        "municipios": lambda: transform_municipios(bronze["municipios"], ref("ufs"), probe_of("municipios")),
         "indicador_alfabetizacao": ind,
-        "alunos": lambda: transform_alunos(bronze["alunos"], out["municipios"]),
-        "meta_brasil": lambda: transform_meta_brasil(bronze["meta_brasil"]),
-        "meta_uf": lambda: transform_meta_uf(bronze["meta_uf"], out["ufs"]),
-        "meta_municipio": lambda: transform_meta_municipio(bronze["meta_municipio"], out["municipios"]),
+        "alunos": lambda: transform_alunos(bronze["alunos"], ref("municipios"), probe_of("alunos")),
+        "meta_brasil": lambda: transform_meta_brasil(bronze["meta_brasil"], probe_of("meta_brasil")),
+        "meta_uf": lambda: transform_meta_uf(bronze["meta_uf"], ref("ufs"), probe_of("meta_uf")),
+        "meta_municipio": lambda: transform_meta_municipio(bronze["meta_municipio"], ref("municipios"),
+                                                           probe_of("meta_municipio")),
     })
     return out
