@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from letrado.llm.pretokens import PieceCache, compiled
+from letrado.llm.pretokens import TokenCache, compiled, latin_tokens
 
 
 class SegmentTreeBpe:
@@ -134,10 +134,13 @@ class SegmentTreeBpe:
         def put(rows, at, value):
             base, node = base_of[rows], size + at
             flat[base + node] = value
-            while node[0] > 1:
+            while len(node) and node[0] > 1:
                 node = node >> 1
                 low = base + 2 * node
-                flat[base + node] = np.minimum(flat[low], flat[low + 1])
+                least = np.minimum(flat[low], flat[low + 1])
+                changed = flat[base + node] != least        # above an unchanged minimum nothing changes
+                node, base = node[changed], base[changed]
+                flat[base + node] = least[changed]
 
         rows = np.arange(m)
         while True:
@@ -186,12 +189,18 @@ class SegmentTreeBpe:
                     out[i] = ids
         return out
 
+    def cut(self, text: str) -> list[str]:
+        """The pre-tokens of a text."""
+        tokens = latin_tokens(text)
+        return self.pattern.findall(text) if tokens is None else tokens
+
+    def encode_distinct(self, tokens: list[str]) -> list[bytes]:
+        """Ids of each pre-token as little-endian 32-bit integers."""
+        return self.encode_tokens([t.encode() for t in tokens])
+
     def encode_strings(self, strings: list[str]) -> list[bytes]:
         """Ids of each string as little-endian 32-bit integers."""
-        cut = [self.pattern.findall(s) for s in strings]
-        new = list(set().union(*cut)) if cut else []
-        ids = dict(zip(new, self.encode_tokens([t.encode() for t in new])))
-        return [b"".join(map(ids.__getitem__, c)) for c in cut]
+        return [b"".join(v) for v in TokenCache(self.cut, self.encode_distinct).lookup(strings)]
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of all ids in a row, and the byte length of each id."""
@@ -208,8 +217,8 @@ def _codec(path: str) -> SegmentTreeBpe:
 
 
 @lru_cache(maxsize=2)
-def _cache(path: str) -> PieceCache:
-    return PieceCache(_codec(path).encode_strings)
+def _cache(path: str) -> TokenCache:
+    return TokenCache(_codec(path).cut, _codec(path).encode_distinct)
 
 
 def encoder(path: str):

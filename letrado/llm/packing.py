@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from letrado.llm.pretokens import PieceCache
+from letrado.llm.pretokens import PieceCache, TokenCache, latin_tokens
 from letrado.session import materialize
 
 BLANK = "\u0120"                                              # the letter of a blank in byte-level vocabularies
@@ -37,7 +37,7 @@ PIECES = "id {id}, start bigint, length bigint, ids_crc32 bigint, doc_tokens big
 
 
 @lru_cache(maxsize=2)
-def _ids(path: str) -> PieceCache:
+def _ids(path: str) -> TokenCache:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"            # Spark deals the work
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
@@ -72,7 +72,30 @@ def _ids(path: str) -> PieceCache:
             out[i] = ids
         return out
 
-    return PieceCache(encode)
+    special = [str(t) for t in tokenizer.get_added_tokens_decoder().values()]
+    pieces = PieceCache(encode)
+
+    def cut(text: str) -> list[str]:
+        """Pre-tokens of Latin texts, which differ in fewer ways than pieces; any other text is cut by the library."""
+        tokens = None if any(x in text for x in special) else latin_tokens(text)
+        return [text] if tokens is None else tokens
+
+    class Ids(TokenCache):
+        def lookup(self, texts: list[str]) -> list[list]:
+            cuts = list(map(self.cut, texts))
+            whole = [i for i, (t, c) in enumerate(zip(texts, cuts)) if c == [t]]
+            out = [None] * len(texts)
+            for i, values in zip(whole, pieces.lookup([texts[i] for i in whole])):
+                out[i] = values
+            wanted = set().union(*[c for i, c in enumerate(cuts) if out[i] is None])
+            values = self.known.fill(wanted)
+            for i, c in enumerate(cuts):
+                if out[i] is None:
+                    out[i] = list(map(values.__getitem__, c))
+            self.known.settle(wanted)
+            return out
+
+    return Ids(cut, encode)
 
 
 def cut_pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", max_length: int = 1024,

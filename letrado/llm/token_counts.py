@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from letrado.llm.pretokens import PieceCache, compiled
+from letrado.llm.pretokens import TokenCache, compiled, latin_tokens
 
 NO_PAIR = np.int64(1 << 40)
 
@@ -107,25 +107,25 @@ class RankMerger:
             rank[touched] = self.ranks(sym[touched], sym[touched + 1])
         return out
 
+    def cut(self, text: str) -> list[str]:
+        """The pre-tokens of a text; a special string is one of its own."""
+        parts = [text]
+        if any(x in text for x in self.special):
+            parts = self.special_split.split(text)
+        out: list[str] = []
+        for i, part in enumerate(parts):
+            tokens = [part] if i % 2 else latin_tokens(part)
+            out += self.pattern.findall(part) if tokens is None else tokens
+        return out
+
+    def count_distinct(self, tokens: list[str]) -> list[int]:
+        """Tokens of each pre-token; special strings count as one."""
+        counts = self.count([t.encode() for t in tokens])
+        return [1 if t in self.special else n for t, n in zip(tokens, counts.tolist())]
+
     def count_strings(self, strings: list[str]) -> list[int]:
-        """Tokens of each string; special strings count as one token."""
-        whole = np.zeros(len(strings), dtype=np.int64)
-        seen: dict[str, int] = {}
-        owner, token = [], []
-        for i, s in enumerate(strings):
-            parts = [s]
-            if self.special_split and any(x in s for x in self.special):
-                parts = self.special_split.split(s)
-                whole[i] += len(parts) // 2
-                parts = parts[::2]
-            for p in parts:
-                for t in self.pattern.findall(p):
-                    owner.append(i)
-                    token.append(seen.setdefault(t, len(seen)))
-        if seen:
-            counts = self.count([t.encode() for t in seen])
-            np.add.at(whole, np.array(owner), counts[np.array(token)])
-        return whole.tolist()
+        """Tokens of each string."""
+        return [sum(v) for v in TokenCache(self.cut, self.count_distinct).lookup(strings)]
 
 
 def _escape(s: str) -> str:
@@ -134,8 +134,9 @@ def _escape(s: str) -> str:
 
 
 @lru_cache(maxsize=2)
-def _cache(path: str) -> PieceCache:
-    return PieceCache(RankMerger(path).count_strings)
+def _cache(path: str) -> TokenCache:
+    merger = RankMerger(path)
+    return TokenCache(merger.cut, merger.count_distinct)
 
 
 def token_counter(path: str):

@@ -2,6 +2,7 @@
 
 import base64
 import random
+import sys
 import zlib
 from collections import Counter
 
@@ -44,10 +45,21 @@ def test_pieces_rejoin_to_the_text():
         assert " ".join(pretokens.split_pieces(t)) == t or not t
 
 
+def test_latin_texts_are_cut_as_by_the_public_pattern():
+    rng = random.Random(9)
+    latin = [chr(c) for c in range(pretokens.LATIN_END)]
+    pattern = pretokens.compiled(public_tokenizers.PATTERN)
+    texts = ["".join(rng.choice(latin if rng.random() < 0.5 else " '  \nstrevldé1½") for _ in range(rng.randrange(40))) for _ in range(5000)]
+    for t in texts + odd_texts():
+        cut = pretokens.latin_tokens(t)
+        assert cut is None if any(ord(c) >= pretokens.LATIN_END for c in t) else cut == pattern.findall(t)
+
+
 def test_counts_equal_the_library(library):
     texts = odd_texts()
     merger = token_counts.RankMerger(JSON)
-    found = [sum(v) for v in pretokens.PieceCache(merger.count_strings, limit=50).lookup(texts)]
+    cache = pretokens.TokenCache(merger.cut, merger.count_distinct, limit=5000)
+    found = [sum(v) for k in range(0, len(texts), 100) for v in cache.lookup(texts[k:k + 100])]
     assert found == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -68,7 +80,7 @@ def test_long_text_without_a_blank(library, rank_library):
 def test_ids_equal_the_library_and_decode_back(rank_library):
     codec = bpe.SegmentTreeBpe(RANKS)
     texts = odd_texts()
-    for text, values in zip(texts, pretokens.PieceCache(codec.encode_strings).lookup(texts)):
+    for text, values in zip(texts, pretokens.TokenCache(codec.cut, codec.encode_distinct).lookup(texts)):
         ids = np.frombuffer(b"".join(values), "<i4")
         assert ids.tolist() == rank_library.encode_ordinary(text)
         assert codec.decode(ids.astype(np.int64))[0].tobytes() == text.encode()
@@ -82,6 +94,20 @@ def test_one_by_one_merges_equal_merges_side_by_side():
         assert one == np.frombuffer(many, "<i4").tolist()
 
 
+def test_a_long_text_without_a_blank_does_not_stay_in_a_worker():
+    cache = pretokens.PieceCache(lambda pieces: [p.encode() * 4 for p in pieces], limit=4 << 20)
+    long = "x" * (10 << 20)
+    assert cache.lookup([long, "a " + long, "a b"])[1][1] == (" " + long).encode() * 4
+    kept = [k for c in (cache.first, cache.inner) for k in c.held]
+    assert sorted(kept) == ["a", "b"]
+    for n in range(30):                        # many batches of new pieces, one frequent one
+        cache.lookup([" ".join(f"piece{n}-{i}" for i in range(2000)) + " often"])
+        assert all(c.size <= c.limit for c in (cache.first, cache.inner))
+        assert cache.inner.size == cache.inner._bytes(list(cache.inner.held))
+        assert cache.inner.size >= sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in cache.inner.held.items())
+    assert "often" in cache.inner.held
+
+
 def test_unknown_ids_fail():
     codec = bpe.SegmentTreeBpe(RANKS)
     with pytest.raises(ValueError):
