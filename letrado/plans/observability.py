@@ -16,7 +16,8 @@ from letrado.functions.scalar import round2
 # Freshness limit, alert rules (sum of errors over 5 minutes
 # above 5; mean pass rate over 5 minutes below 80), required gold tables.
 MAX_AGE_HOURS = 25
-ALERT_WINDOW = "5 minutes"
+ALERT_WINDOW_SECONDS = 300
+ALERT_WINDOW = f"{ALERT_WINDOW_SECONDS} seconds"
 ALERT_MAX_ERRORS = 5
 ALERT_MIN_PASS_RATE = 80.0
 REQUIRED_GOLD = ("indicador_municipio", "evolucao_uf", "painel_nacional")
@@ -99,7 +100,12 @@ def alert_windows(metrics: DataFrame, window: str = ALERT_WINDOW) -> DataFrame:
     none = F.lit(None).cast(timed.schema["window_start"].dataType)
     untimed = rules(metrics.where(F.col("ts").isNull()).groupBy()).where(F.col("n_events") > 0).select(
         none.alias("window_start"), none.alias("window_end"), "n_events", "n_errors", "pass_rate")
-    return timed.unionByName(untimed).withColumns({
+    return alert_flags(timed.unionByName(untimed))
+
+
+def alert_flags(windows: DataFrame) -> DataFrame:
+    """The two rules on windows (n_errors, pass_rate)."""
+    return windows.withColumns({
         "alert_errors": F.col("n_errors") > ALERT_MAX_ERRORS, "alert_quality": F.col("pass_rate") < ALERT_MIN_PASS_RATE})
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from letrado.plans import silver
 from letrado.sources.versioned import VersionedTable, file_slots, spread_rows
 from letrado.streaming.events import FLAT_COLS, enrich_events
+from letrado.streaming.redelivery import FLAG
 from letrado.streaming.upsert import META_COLS, QUARANTINE_COLS, RANK_COLS
 
 TARGET_BYTES = 128 << 20
@@ -97,7 +98,9 @@ class EventLog:
         return self.table.rows(version)
 
     def messages(self, version: int | None = None) -> DataFrame:
-        """Each message once, however often it was delivered."""
+        """Each message once, however often it was delivered: by the flag it was stored with, else by ranking."""
+        if FLAG in self.table.schema(self.table.manifest(version)).names:
+            return self.table.rows(version).where(~F.col(FLAG)).drop(FLAG)
         first = Window.partitionBy("_message_hash").orderBy("_received_at", "_message_id")
         return (self.table.rows(version).withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn"))
 
@@ -115,7 +118,7 @@ class VersionedUpsert:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
-            meta = [c for c in META_COLS if c in batch.columns]
+            meta = [c for c in (*META_COLS, FLAG) if c in batch.columns]
             valid = batch.where(F.col("is_valid"))
             quarantine, events = EventLog(spark, self.quarantine_path), EventLog(spark, self.events_path)
             quarantine.append(batch.where(~F.col("is_valid")).select(*QUARANTINE_COLS, *meta), self.stream_id, batch_id)

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from letrado.session import checkpoint_root
 from letrado.streaming.events import prepare_events
 from letrado.streaming.merge_table import VersionedUpsert
+from letrado.streaming.redelivery import flag_redeliveries, use_rocksdb
 from letrado.streaming.upsert import IndicadorUpsert
 
 # Fixed stream settings: flush every 60 s, at most so many files a flush (a
@@ -57,11 +58,15 @@ def start_event_stream(spark: SparkSession, source: str, changes_path: str, quar
 def start_versioned_stream(spark: SparkSession, source: str, table_path: str, quarantine_path: str, events_path: str,
                            checkpoint: str | None = None, available_now: bool = False, fmt: str = "text",
                            max_files_per_trigger: int | None = FILES_PER_FLUSH, options: dict | None = None,
-                           compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+                           compact_every: int = COMPACT_EVERY, retention_seconds: float | None = None) -> StreamingQuery:
     """The event stream into tables with a commit log (``merge_table``); every ``compact_every`` batches their small
-    folders are gathered.  The merge table at ``table_path`` must have been created."""
+    folders are gathered.  The merge table at ``table_path`` must have been created.  With ``retention_seconds``
+    redelivered messages are flagged on arrival, from state that is kept that long (``redelivery``)."""
     ckpt, stream_id = _stream_identity(spark, checkpoint)
     events = _received(event_source(spark, source, fmt, max_files_per_trigger, options))
+    if retention_seconds is not None:
+        use_rocksdb(spark)
+        events = flag_redeliveries(events, retention_seconds)
     sink = VersionedUpsert(table_path, quarantine_path, events_path, stream_id, compact_every=compact_every)
     return _start(events, sink, ckpt, available_now)
 
