@@ -45,7 +45,10 @@ class FirstDelivery(StatefulProcessor):
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """State with expiry needs the RocksDB store; to be called before the stream starts."""
+    """State with expiry needs the RocksDB store; to be called before the stream starts.  Expired entries go with the
+    next batch of messages: batches without any would follow each other without end, and a run over what is
+    available would not stop."""
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
