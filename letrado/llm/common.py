@@ -47,3 +47,17 @@ def table_partitions(spark: SparkSession) -> int:
     """Parts into which work is dealt: the session's shuffle partitions, which
     the cluster sizes for the job."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def release_memory() -> None:
+    """Give memory that a task has freed back to the system: Python workers live on, beside those of later stages."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:         # another C library: it keeps what it has
+        pass

@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from letrado.llm.common import release_memory
 from letrado.llm.pretokens import PieceCache, TokenCache, latin_tokens
 from letrado.session import materialize
 
@@ -99,16 +100,23 @@ def _ids(path: str) -> TokenCache:
 
 
 def cut_pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", max_length: int = 1024,
-               end_id: int = 0) -> DataFrame:
+               end_id: int = 0, keep_cache: bool = True) -> DataFrame:
     """The pieces of every document: PIECES, with each task's own numbers of the pieces of a length.
 
-    A null or empty text is the end id alone.
+    A null or empty text is the end id alone.  Without ``keep_cache`` a task drops the tokenizer and its caches at its
+    end, for jobs that have other stages beside.
     """
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     end = int(end_id).to_bytes(4, "little")
     schema = PIECES.format(id=docs.schema["id"].dataType.simpleString())
 
     def cut(batches):
+        yield from pieces_of(batches)
+        if not keep_cache:
+            _ids.cache_clear()
+            release_memory()
+
+    def pieces_of(batches):
         part = TaskContext.get().partitionId()
         used = np.zeros(max_length + 1, dtype=np.int64)
         for batch in batches:
@@ -190,7 +198,7 @@ def slot_rows(patterns: list[tuple[int, tuple[int, ...]]]) -> list[tuple[int, in
 
 
 def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", max_length: int = 1024,
-         end_id: int = 0) -> DataFrame:
+         end_id: int = 0, keep_cache: bool = True) -> DataFrame:
     """One row per piece: (``id_col``, start, length, ids_crc32, doc_tokens, sequence_id, offset).
 
     Every row of ``df`` is a document of its own, also where ids repeat or are
@@ -198,7 +206,7 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
     piece.  Within a sequence offsets are gapless from 0.
     """
     spark = df.sparkSession
-    pieces = materialize(cut_pieces(df, path, id_col, text_col, max_length, end_id), "pieces")
+    pieces = materialize(cut_pieces(df, path, id_col, text_col, max_length, end_id, keep_cache), "pieces")
     counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # max_length rows
     slots = spark.createDataFrame(slot_rows(shortest_pack_first(histogram, max_length)),
