@@ -68,7 +68,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return packs.pack(docs, public_tokenizers.path(VOCABULARY), max_length=SEQUENCE)
+    return packs.pack(docs, public_tokenizers.path(VOCABULARY), max_length=SEQUENCE, keep_cache=False)
 
 
 STAGES = [("quality_classifier", quality_classifier), ("quality_rules", quality_rules),
