@@ -174,6 +174,17 @@ def q_painel_export(spark, d):
     return gold.build_painel_nacional(s["indicador_alfabetizacao"], s["meta_brasil"], gap_from_rounded=True)
 
 
+@query("distinct_sketches")
+def q_distinct_sketches(spark, d):
+    """Municipalities per state and year, per state, per year and in all: exact, and whether the estimate from the
+    sketches stored per state and year lies within three standard errors."""
+    from letrado.plans import sketches
+    s = silver_tables(spark, d)
+    ind, mun = materialize(s["indicador_alfabetizacao"], "indicador"), materialize(s["municipios"], "municipios")
+    stored = materialize(sketches.municipality_sketches(ind, mun), "sketches")
+    return sketches.compare(stored, ind, mun)
+
+
 # -- step 4: features --------------------------------------------------------
 
 @query("ml_features")
@@ -310,6 +321,22 @@ def q_quality_summary(spark, d):
     return quality.quality_summary(materialize(q_quality_report(spark, d), "quality_report"))
 
 
+@query("quality_report_incremental")
+def q_quality_report_incremental(spark, d):
+    """The same report from stored check states of two days, into which every table's rows are dealt by a hash."""
+    from letrado.plans import quality
+    from letrado.plans.quality_states import QualityStates
+    from letrado.session import scratch_path
+    states = QualityStates(spark, scratch_path(spark, "quality-states"))
+    sources = _quality_sources(spark, d, _written_layers(spark, d))
+    for (layer, entity) in quality.ENTITY_RULES:
+        df = sources[layer, entity]()
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(2))
+        for i, day in enumerate(("2024-01-30", "2024-01-31")):
+            states.add(day, layer, entity, df.where(part == i))
+    return states.report()
+
+
 @query("gold_silver_consistency")
 def q_gold_silver_consistency(spark, d):
     from letrado.plans import quality
