@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from letrado.session import checkpoint_root
+from letrado.sources.queue_source import queue_messages
 from letrado.streaming.events import prepare_events
 from letrado.streaming.merge_table import VersionedUpsert
 from letrado.streaming.redelivery import flag_redeliveries, use_rocksdb
@@ -29,7 +30,7 @@ COMPACT_EVERY = 60
 
 def event_source(spark: SparkSession, source: str, fmt: str = "text", max_files_per_trigger: int | None = FILES_PER_FLUSH,
                  options: dict | None = None):
-    """NDJSON files (one message per line) or a Kafka topic (value = message).
+    """NDJSON files (one message per line), a Kafka topic (value = message) or a pull queue (``queue_source``).
 
     ``_message_id`` names the delivery: topic/partition/offset, or the file and
     the message's hash (a text source does not number lines)."""
@@ -39,6 +40,8 @@ def event_source(spark: SparkSession, source: str, fmt: str = "text", max_files_
             r = r.option(k, v)
         msg_id = F.concat_ws("/", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
         return r.load().select(F.col("value").cast("string").alias("value"), msg_id.alias("_message_id"))
+    if fmt == "queue":
+        return queue_messages(spark, source, **(options or {})).select("value", "_message_id")
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
