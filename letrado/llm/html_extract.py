@@ -61,14 +61,25 @@ class Page:
 
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("html", 0)]         # open elements and the block each lies in
+        opened: Counter = Counter()                           # open elements by name, and where the blocks among them are
+        blocks: list[int] = []
         links = unread = at = 0
 
+        def push(tag: str, node: int) -> None:
+            opened[tag] += 1
+            if tag in BLOCKS:
+                blocks.append(len(stack))
+            stack.append((tag, node))
+
         def close(to: int) -> None:
             nonlocal links, unread
             for tag, _ in stack[to:]:
+                opened[tag] -= 1
                 links -= tag == "a"
                 unread -= tag in UNREAD
             del stack[to:]
+            while blocks and blocks[-1] >= to:
+                blocks.pop()
 
         def text(raw: str) -> None:
             if unread or not raw:
@@ -94,10 +105,8 @@ class Page:
             if name in BLOCKS or name == "br":
                 self.runs.append((stack[-1][1], None))
             if end:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == name:
-                        close(i)
-                        break
+                if opened[name]:                              # each element is passed once, when it is closed
+                    close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name))
                 continue
             if name in RAW:
                 over = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(source, at)
@@ -105,18 +114,19 @@ class Page:
                 continue
             if name in VOID:
                 continue
-            if name in ("html", "body") and any(t == name for t, _ in stack):
+            if name == "html" or name == "body" and opened[name]:
                 continue
             if name in BLOCKS:
-                ends, within = CLOSES.get(name, ("p", ()))
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in within:
-                        break
-                    if stack[i][0] in ends.split() or stack[i][0] == "p" and name not in ("html", "body"):
-                        close(i)
-                        break
-                    if name not in CLOSES and stack[i][0] in BLOCKS:
-                        break
+                if name in CLOSES:
+                    ends, within = CLOSES[name]
+                    for i in reversed(blocks):
+                        if stack[i][0] in within:
+                            break
+                        if stack[i][0] in ends.split() or stack[i][0] == "p":
+                            close(i)
+                            break
+                elif blocks and stack[blocks[-1]][0] == "p":
+                    close(blocks[-1])
                 self.tag.append(name)
                 self.parent.append(stack[-1][1])
                 role = role_of(name, attrs)
@@ -124,9 +134,9 @@ class Page:
                 self.role.append("boilerplate" if below else role)
                 self.chars.append(0)
                 self.link_chars.append(0)
-                stack.append((name, len(self.tag) - 1))
+                push(name, len(self.tag) - 1)
             else:
-                stack.append((name, stack[-1][1]))
+                push(name, stack[-1][1])
                 links += name == "a"
                 unread += name in UNREAD
         over = source.find("<!--", at)

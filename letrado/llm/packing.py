@@ -37,8 +37,11 @@ IN_A_ROW = 200
 PIECES = "id {id}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, part int, number bigint"
 
 
+SMALL_CACHE = 24 << 20                                        # bytes, where other stages need the workers' memory
+
+
 @lru_cache(maxsize=2)
-def _ids(path: str) -> TokenCache:
+def _ids(path: str, limit: int = 96 << 20) -> TokenCache:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"            # Spark deals the work
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
@@ -74,7 +77,7 @@ def _ids(path: str) -> TokenCache:
         return out
 
     special = [str(t) for t in tokenizer.get_added_tokens_decoder().values()]
-    pieces = PieceCache(encode)
+    pieces = PieceCache(encode, limit // 4)
 
     def cut(text: str) -> list[str]:
         """Pre-tokens of Latin texts, which differ in fewer ways than pieces; any other text is cut by the library."""
@@ -96,7 +99,7 @@ def _ids(path: str) -> TokenCache:
             self.known.settle(wanted)
             return out
 
-    return Ids(cut, encode)
+    return Ids(cut, encode, limit)
 
 
 def cut_pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", max_length: int = 1024,
@@ -111,17 +114,20 @@ def cut_pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     schema = PIECES.format(id=docs.schema["id"].dataType.simpleString())
 
     def cut(batches):
-        yield from pieces_of(batches)
-        if not keep_cache:
-            _ids.cache_clear()
-            release_memory()
-
-    def pieces_of(batches):
+        if keep_cache:
+            yield from pieces_of(batches, _ids(path))
+            return
+        release_memory()                                      # what earlier stages left in this worker
+        yield from pieces_of(batches, _ids(path, SMALL_CACHE))
+        _ids.cache_clear()
+        release_memory()
+
+    def pieces_of(batches, ids_of):
         part = TaskContext.get().partitionId()
         used = np.zeros(max_length + 1, dtype=np.int64)
         for batch in batches:
             rows, start, length, crc, total = [], [], [], [], []
-            for i, values in enumerate(_ids(path).lookup([t or "" for t in batch.column(1).to_pylist()])):
+            for i, values in enumerate(ids_of.lookup([t or "" for t in batch.column(1).to_pylist()])):
                 ids = b"".join(values) + end
                 n = len(ids) // 4
                 cuts = [*range(0, n, max_length), n]

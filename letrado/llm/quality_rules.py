@@ -30,7 +30,15 @@ BARS = ("|", "»", "›", "•", "·", "/")
 PHRASES = ("all rights reserved", "licensed under", "creative commons", "privacy policy", "terms of use",
            "terms of service", "terms and conditions", "cookie policy", "accept cookies", "uses cookies",
            "enable javascript", "javascript is disabled", "subscribe to our newsletter", "sign up for our newsletter",
-           "skip to content", "back to top", "powered by", "lorem ipsum")
+           "skip to content", "back to top", "powered by", "lorem ipsum",
+           "released under the", "distributed under the", "mit license", "apache license", "no rights reserved",
+           # German, French and Spanish; without their accented ends, as only A-Z is put in lower case
+           "alle rechte vorbehalten", "lizenziert unter", "unter der lizenz", "nutzungsbedingungen", "verwendet cookies",
+           "newsletter abonnieren", "javascript aktivieren",
+           "tous droits r", "sous licence", "conditions d'utilisation", "politique de confidentialit", "utilise des cookies",
+           "activer javascript", "mentions l\u00e9gales",
+           "todos los derechos reservados", "bajo licencia", "bajo la licencia", "condiciones de uso", "tica de privacidad",
+           "utiliza cookies", "habilitar javascript")
 
 _MARKED = re.compile(rb"[!?*#$%&<>|~^=_+]{2,}(?![^\x20\x09-\x0D])")
 _PHRASE = re.compile("|".join(map(re.escape, PHRASES)).encode())
@@ -133,7 +141,7 @@ ARROW_SCHEMA = pa.struct([(name, {"bigint": pa.int64(), "boolean": pa.bool_(), "
                           for name, kind in (field.split() for field in SCHEMA.split(", "))])
 
 _GAP = r"[\x20\x09-\x0D]+"
-_PHRASE_SQL = "|".join(PHRASES)
+_PHRASE_SQL = "|".join(p.replace("'", "''") for p in PHRASES)
 ORACLE_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),

@@ -1,5 +1,8 @@
 """Operators 1 and 3."""
 
+import math
+import re
+import unicodedata
 import zlib
 
 import pyarrow.parquet as pq
@@ -97,3 +100,46 @@ def test_classifier_on_messy_rows(spark, messy, clashing, messy_rows, no_rows):
     one = rule_ensemble.fit_rules(messy, labels.where("quality = 1"))
     assert not one.rules and one.intercept > 0
     assert rule_ensemble.fit_rules(no_rows, labels) == rule_ensemble.RuleModel(0.0)
+
+
+def test_stock_phrases_of_four_languages_are_boilerplate():
+    rules = quality_rules.LineRules()
+    stock = ["Released under the MIT License.", "Alle Rechte vorbehalten.", "Tous droits réservés.", "Todos los derechos reservados.",
+             "Ce texte est publié sous licence libre.", "Lizenziert unter CC BY.", "All rights reserved.", "Bajo licencia MIT."]
+    clean = ["The prisoner was released at noon.", "Sie hatte alle ihre Rechte verloren.", "Il a tous les droits.", "Tiene sus derechos."]
+    assert [quality_rules.judge_line(x.encode(), x.encode().split(), rules) for x in stock] == ["boilerplate"] * len(stock)
+    assert [quality_rules.judge_line(x.encode(), x.encode().split(), rules) for x in clean] == [None] * len(clean)
+
+
+def test_rules_on_a_very_long_text(spark):
+    text = "\n".join(f"Line {i} says that the sea is word{i * 7919 % 10007} wide." for i in range(60_000))
+    df = spark.createDataFrame([(1, text + "\nAlle Rechte vorbehalten."), (2, "word " * 300_000)], "doc_id long, text string")
+    long, flat = sorted(quality_rules.apply_quality_rules(df, out_col="r").select("doc_id", "r.*").collect(), key=lambda r: r.doc_id)
+    assert long.n_lines == 60_001 and long.n_boilerplate_lines == 1 and long.clean_text == text
+    assert flat.n_words == flat.n_repeat_words == 300_000 and flat.base_failed and not flat.kept
+
+
+def plain_statistics(text):
+    """The classifier's statistics of one text, computed without Spark."""
+    words, lines = re.findall(r"[^\x20\x09-\x0D]+", text), text.split("\n")
+    n, some = max(len(words), 1), max(sum(map(len, words)), 1)
+    count = lambda chars: sum(c in chars for c in text)
+    return {"n_words": len(words), "mean_word": sum(map(len, words)) / n, "symbols_per_word": count("#*$%&|<>") / n,
+            "bars_per_word": count("|") / n, "exclaims_per_word": count("!") / n, "stops_per_word": count(".?") / n,
+            "commas_per_word": count(",;:") / n, "upper_share": sum(unicodedata.category(c) == "Lu" for c in text) / some,
+            "digit_share": count("0123456789") / some, "distinct_share": len(set(words)) / n if words else 1.0,
+            "repeated_line_share": (len(lines) - len(set(lines))) / len(lines)}
+
+
+def test_compiled_rules_equal_a_plain_evaluation(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    model = rule_ensemble.fit_rules(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
+    extra = [(-1, None), (-2, ""), (-3, "ÄÖ | # 12\n\nÄÖ\nÄÖ !,;"), (-4, "x" * 10_000)]
+    every = docs.unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
+    for each in (model, rule_ensemble.RuleModel(-0.5, tuple((rule_ensemble.Rule(((s, op, 0.2), ("n_words", ">", 3.0))), w)
+                                                            for s in rule_ensemble.STATISTICS for op, w in (("<=", 0.7), (">", -1.1))))):
+        for r in rule_ensemble.score_quality(every, each).collect():
+            stats = plain_statistics(r.text or "")
+            total = each.intercept + sum(w for rule, w in each.rules if all(
+                stats[s] <= t if op == "<=" else stats[s] > t for s, op, t in rule.terms))
+            assert abs(r.score - 1 / (1 + math.exp(-total))) < 1e-12, r.doc_id

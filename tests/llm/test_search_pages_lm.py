@@ -3,6 +3,7 @@
 import html
 import math
 import random
+import time
 import re
 import zlib
 from collections import Counter
@@ -268,3 +269,14 @@ def test_lm_on_messy_rows(spark, clashing, messy_rows, no_rows):
     assert ngram_lm.score_documents(no_rows, F.lit(True))[0].count() == 0
     repeated, _ = ngram_lm.score_documents(clashing, F.col("doc_id") < 100)
     assert Counter(r.doc_id for r in repeated.collect()) == Counter(r[0] for r in messy_rows)
+
+
+@pytest.mark.parametrize("page", ["<b>" * 150_000 + "</i>" * 150_000, "<b><div></div>" * 70_000, "<div>" * 150_000 + "</p>" * 50_000,
+                                  "<p><b>" * 150_000], ids=["unmatched", "blocks in open inlines", "deep", "open paragraphs"])
+def test_a_megabyte_of_odd_tags_is_read_in_linear_time(page):
+    started = time.process_time()
+    html_extract.Page(page)
+    whole = time.process_time() - started
+    started = time.process_time()
+    html_extract.Page(page[:len(page) // 8])
+    assert whole < 20 * (time.process_time() - started) + 0.5       # eight times the input, not sixty-four times the work
