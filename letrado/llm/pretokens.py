@@ -98,7 +98,7 @@ class PieceCache:
 
 #: letters below this code point are written out as ranges; a text of such characters is cut by the ``re`` module
 LATIN_END = 0x250
-_BEYOND_LATIN = re.compile(f"[^\\x00-\\u{LATIN_END - 1:04x}]")
+BEYOND_LATIN = re.compile(f"[^\\x00-\\u{LATIN_END - 1:04x}]")
 
 
 @lru_cache(maxsize=1)
@@ -114,7 +114,7 @@ def _latin_pattern():
 
 def latin_tokens(text: str) -> list[str] | None:
     """The pre-tokens of a text of Latin characters; None for any other."""
-    return None if _BEYOND_LATIN.search(text) else _latin_pattern().findall(text)
+    return None if BEYOND_LATIN.search(text) else _latin_pattern().findall(text)
 
 
 class TokenCache:

@@ -65,10 +65,19 @@ def test_counts_equal_the_library(library):
 
 def test_packed_ids_equal_the_library(library):
     texts = odd_texts() + [" ".join(f"word{i}<|endoftext|>x" if i % 7 == 0 else f"w{i}," for i in range(900))]
-    found = [np.frombuffer(b"".join(v), "<u4").tolist() for v in packing._ids(JSON).lookup(texts)]
+    texts += ["".join(map(chr, range(32, pretokens.LATIN_END))), "x" * 5000, "\n" * 3000 + "end", "ÀÉ ñandú's 12½ ²³ a\u00a0b\x85c\x1cd"]
+    found = [np.frombuffer(b"".join(v), "<u4").tolist() for v in packing._ids(JSON)(texts)]
     assert found == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_latin_texts_are_encoded_by_ranks_as_by_the_library(library):
+    rng = random.Random(10)
+    latin = [chr(c) for c in range(pretokens.LATIN_END)]
+    texts = ["".join(rng.choice(latin if rng.random() < 0.3 else " '  \nstrevldé1½") for _ in range(rng.randrange(60))) for _ in range(4000)]
+    fast = packing.rank_encoding(JSON)
+    assert [fast.encode_ordinary(t) for t in texts] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_long_text_without_a_blank(library, rank_library):
     rng = random.Random(1)
     text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000))
