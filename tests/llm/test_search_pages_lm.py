@@ -3,13 +3,14 @@
 import html
 import math
 import random
-import time
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
