@@ -16,22 +16,21 @@ for _b in range(256):
         _BIT_AT[_b, _r] = _p
 
 
+_EACH, _TOP = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)      # one, and the top bit, of every byte
+
+
 def _select(words: np.ndarray, before: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Position of the set bit of each rank; ``before`` counts the set bits before every word."""
     at = np.searchsorted(before, rank, side="right") - 1
-    rest, word = rank - before[at], words[at]
-    place, byte = at * 64, (word & np.uint64(255)).astype(np.int64)
-    for shift in range(8, 72, 8):
-        count = np.bitwise_count(byte).astype(np.int64)
-        past = rest >= count
-        if not past.any() or shift == 64:
-            break
-        rest = np.where(past, rest - count, rest)
-        place = np.where(past, place + 8, place)
-        # a value that is not past keeps its byte: its word is not shifted on
-        word = np.where(past, word >> np.uint64(8), word)
-        byte = (word & np.uint64(255)).astype(np.int64)
-    return place + _BIT_AT[byte, rest]
+    rest, word = (rank - before[at]).astype(np.uint64), words[at]
+    # set bits of each byte, then of each byte and those below it
+    x = word - (word >> np.uint64(1) & np.uint64(0x5555555555555555))
+    x = (x & np.uint64(0x3333333333333333)) + (x >> np.uint64(2) & np.uint64(0x3333333333333333))
+    upto = (x + (x >> np.uint64(4)) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _EACH
+    # a byte's top bit stays where no more than ``rest`` bits are set up to it: the byte sought lies past those
+    shift = np.bitwise_count((rest * _EACH | _TOP) - upto & _TOP).astype(np.uint64) * np.uint64(8)
+    rest -= (upto << np.uint64(8)) >> shift & np.uint64(255)
+    return at * 64 + shift.astype(np.int64) + _BIT_AT[(word >> shift & np.uint64(255)).astype(np.int64), rest.astype(np.int64)]
 
 
 class EliasFano:
@@ -146,7 +145,10 @@ class TrieLevel:
 
     def find(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Position of each n-gram, or -1: the word is sought among its context's successors only."""
-        place = self.contexts.find(contexts)
+        return self.find_in(self.contexts.find(contexts), words)
+
+    def find_in(self, place: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """find() from the places of the contexts (-1: none)."""
         out = np.full(len(place), -1, dtype=np.int64)
         seen = np.flatnonzero((place >= 0) & (words < self.width))
         if len(seen):

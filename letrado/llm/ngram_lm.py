@@ -8,12 +8,15 @@ a quantised smoothed probability, a count and, for the next level, an id per
 n-gram.  A block then scores its documents from the answers.
 
 * Nothing whole passes the driver, a task or a group: a block and a shard bound
-  the memory, both are numbered by the session's partitions and the data's size.
+  the memory.  There is a block per ``block_tokens`` and at least a shard per
+  ``shard_tokens`` tokens, so neither grows with the corpus.
 * What moves is one packed array per (block, shard), not a row per n-gram.
 * Tokens are written once per block as small integers; what a level answers is
-  written before the next one begins, so a lost executor repeats one step.  The
-  last level's answers go straight to the blocks; its trie is computed for
-  whoever reads it.
+  written before the next one begins, so a lost executor repeats one step and
+  the shuffles of a finished level can go.  Both are stored in buckets of blocks,
+  so a block meets its answers without another shuffle.  A shard builds its trie to answer
+  from it; the tries of the n-gram levels are computed again for whoever reads
+  them.
 
 The probability interpolates the levels with a Dirichlet prior of ``strength``
 imagined tokens: p_k(w | h) = (c(h w) + strength * p_(k-1)(w | h')) / (c(h) + strength),
@@ -25,32 +28,36 @@ from __future__ import annotations
 
 import mmap
 import tempfile
+import uuid
+from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letrado.llm.common import table_partitions
+from letrado.llm.common import drop_shuffles, map_large_blocks, release_memory, table_partitions
 from letrado.llm.elias_fano import EliasFano, TrieLevel
-from letrado.session import materialize
+from letrado.session import materialize, scratch_path
 
 END = b"\n"                                                   # no word holds a gap
 BEGIN_ID = 0                                                  # ids of words and n-grams start at 1
 STEPS, DECADES = 65_534, 12.0                                 # codes 1 .. STEPS + 1 for 10**-12 .. 1
+WORD_KEYS = 2**16                                             # a word's shard is its remainder by this, then by the shards
 CHUNK = "level int, shard long, block long, kind string, data binary, total long, kinds long"
 
 
 @dataclass(frozen=True)
 class LmRule:
-    """Production values: order of the model, prior strength, tokens of a block."""
+    """Production values: order of the model, prior strength, tokens of a block, most tokens for each shard."""
 
     order: int = 5
     strength: float = 100.0
     block_tokens: int = 2_000_000
+    shard_tokens: int = 1_000_000
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -99,6 +106,32 @@ def sums_within(steps: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return total - np.repeat(total[starts] - steps[starts], lengths)
 
 
+def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, ascending keys) of non-negative int64 numbers, equal ones in their order; ``keys`` is overwritten.
+    A key and its place are sorted as one number where both fit: several times faster than an argsort."""
+    bits = len(keys).bit_length()
+    if len(keys) and int(keys.max()).bit_length() + bits <= 63:
+        keys <<= bits
+        keys |= np.arange(len(keys))
+        keys.sort()
+        order = (keys & ((1 << bits) - 1)).astype(np.int32 if bits < 32 else np.int64)
+        keys >>= bits
+        return order, keys
+    order = np.argsort(keys, kind="stable")
+    return order, keys[order]
+
+
+def first_of_runs(ascending: np.ndarray) -> np.ndarray:
+    new = np.ones(len(ascending), dtype=bool)
+    new[1:] = ascending[1:] != ascending[:-1]
+    return new
+
+
+def by_shard(shard: np.ndarray, shards: int) -> np.ndarray:
+    """The stable order of shards (two bytes and less are sorted by counting)."""
+    return np.argsort(shard.astype(np.uint16) if shards <= 2**16 else shard, kind="stable")
+
+
 def encode_probability(p: np.ndarray) -> np.ndarray:
     """1 .. STEPS + 1, evenly on the logarithmic scale."""
     place = 1.0 + np.maximum(np.log10(p), -DECADES) / DECADES
@@ -110,18 +143,28 @@ def decode_probability(codes: np.ndarray) -> np.ndarray:
     return np.where(codes > 0, 10.0 ** (DECADES * ((codes - 1) / STEPS - 1.0)), 0.0)
 
 
+DECODED = decode_probability(np.arange(STEPS + 2))            # of every code
+
+
 # --- blocks -----------------------------------------------------------------
 
-def cut_blocks(df: DataFrame, train: Column, id_col: str, text_col: str, shards: int, rule: LmRule) -> DataFrame:
-    """(block, ids, train, sizes, words, owner, tokens): documents as runs of numbers of the block's words;
-    owner is the shard of each word."""
+def cut_blocks(df: DataFrame, train: Column, id_col: str, text_col: str, rule: LmRule) -> DataFrame:
+    """(block, ids, train, sizes, words, owner, tokens, n_tokens): documents as runs of numbers of the block's words,
+    by first appearance (frequent words get small numbers, which pack well), after the place of each in ``words``;
+    owner gives the shard of each word."""
     id_kind = df.schema[id_col].dataType.simpleString()
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
 
     def cut(batches):
         import xxhash
         part, made = TaskContext.get().partitionId(), 0
-        ids, marks, sizes, tokens, number = [], [], [], [], {}
+
+        def numbers():
+            number = defaultdict()
+            number.default_factory = number.__len__           # a new word gets the next number
+            return number
+
+        ids, marks, sizes, tokens, number = [], [], [], [], numbers()
         held = 0
 
         def block():
@@ -133,18 +176,15 @@ def cut_blocks(df: DataFrame, train: Column, id_col: str, text_col: str, shards:
                 pa.array([(part << 24) + made], type=pa.int64()), pa.array([ids], type=pa.list_(id_type)),
                 pa.array([pack(np.array(marks))], type=pa.binary()), pa.array([pack(np.array(sizes))], type=pa.binary()),
                 pa.array([pack(steps_of(keys[order]))], type=pa.binary()),
-                pa.array([pack(keys[order] % np.uint64(shards))], type=pa.binary()),
-                pa.array([pack(rank[np.concatenate(tokens)])], type=pa.binary())],
-                names=["block", "ids", "train", "sizes", "words", "owner", "tokens"])
+                pa.array([pack(keys[order] % np.uint64(WORD_KEYS))], type=pa.binary()),
+                pa.array([pack(rank, np.concatenate(tokens))], type=pa.binary()), pa.array([held], type=pa.int64())],
+                names=["block", "ids", "train", "sizes", "words", "owner", "tokens", "n_tokens"])
 
         for batch in batches:
             id_type = batch.schema.field(0).type
             for i, text, used in zip(*[batch.column(k).to_pylist() for k in range(3)]):
                 words = (text or "").encode().lower().split()  # bytes: only A-Z change, only ASCII gaps cut
                 words.append(END)
-                for w in words:
-                    if w not in number:
-                        number[w] = len(number)
                 tokens.append(np.fromiter(map(number.__getitem__, words), dtype=np.int32, count=len(words)))
                 ids.append(i)
                 marks.append(int(used))
@@ -153,23 +193,24 @@ def cut_blocks(df: DataFrame, train: Column, id_col: str, text_col: str, shards:
                 if held >= rule.block_tokens:
                     yield block()
                     made += 1
-                    ids, marks, sizes, tokens, number, held = [], [], [], [], {}, 0
+                    ids, marks, sizes, tokens, number, held = [], [], [], [], numbers(), 0
         if ids:
             yield block()
 
     return docs.mapInArrow(cut, f"block long, ids array<{id_kind}>, train binary, sizes binary, words binary, "
-                             f"owner binary, tokens binary")
+                             f"owner binary, tokens binary, n_tokens long")
 
 
 class Block:
     """A block's tokens and, per token, what the levels answered so far."""
 
-    def __init__(self, row, with_words: bool):
+    def __init__(self, row, with_words: bool, shards: int):
         self.block, self.ids = int(row["block"]), row["ids"]
-        self.owner, = unpack(row["owner"])
+        self.owner = unpack(row["owner"])[0] % shards
         self.sizes, = unpack(row["sizes"])
         self.train = np.repeat(unpack(row["train"])[0] > 0, self.sizes)
-        self.tokens, = unpack(row["tokens"])
+        rank, tokens = unpack(row["tokens"])
+        self.tokens = rank.astype(np.int32)[tokens]
         self.keys = np.cumsum(unpack(row["words"])[0].astype(np.uint64), dtype=np.uint64) if with_words else None
         self.first = np.zeros(len(self.tokens), dtype=bool)
         self.first[np.cumsum(self.sizes) - self.sizes] = True
@@ -188,30 +229,50 @@ class Block:
         for s, data in answers.items():
             rank, count = unpack(data)
             mine = np.flatnonzero(self.owner == s)
-            self.word_id[mine] = 1 + np.cumsum(rank) * shards + s
+            self.word_id[mine] = 1 + rank * shards + s
             self.word_count[mine] = count
-
-    def level(self, k: int, begin_count: int, answered: tuple | None):
-        """The distinct n-grams of level k: (ctx, ctx_count, word, train count), the tokens that have one
-        and the number of each token's n-gram."""
-        before = np.r_[0, np.arange(len(self.tokens) - 1)]
-        if k == 2:
-            ctx = np.where(self.first, BEGIN_ID, self.word_id[self.tokens[before]])
-            ctx_count = np.where(self.first, begin_count, self.word_count[self.tokens[before]])
+        self.word_order = ranked(self.word_id.copy())[0].astype(np.int32)
+        self.word_rank = np.empty(len(self.word_order), dtype=np.int32)
+        self.word_rank[self.word_order] = np.arange(len(self.word_order))
+
+    def level(self, begin_count: int, answered: tuple | None):
+        """The distinct n-grams of a level, by context and word: (ctx, ctx_count, word, train count), the tokens
+        that have one and the number of each such token's n-gram.  ``answered`` is the level before: each token's
+        n-gram there (-1: none) and the id and count of every n-gram; None for words."""
+        ctx_no = np.empty(len(self.tokens), dtype=np.int32)
+        if answered is None:
+            ctx_no[1:] = self.tokens[:-1] + 1
+            ctx_no[self.first] = 0
+            ids, seen = np.r_[BEGIN_ID, self.word_id], np.r_[begin_count, self.word_count]
         else:
-            gram, gram_count = answered
-            ctx = np.where(self.first, -1, gram[before])
-            ctx_count = np.where(self.first, 0, gram_count[before])
-        has = np.flatnonzero((ctx >= 0) & (ctx_count > 0))
-        word = self.word_id[self.tokens[has]]
-        names, ctx_no = np.unique(ctx[has], return_inverse=True)
-        words, word_no = np.unique(word, return_inverse=True)
-        width = max(1, len(words))
-        grams, number = np.unique(ctx_no * width + word_no, return_inverse=True)
-        counts = np.bincount(number, weights=self.train[has], minlength=len(grams)).astype(np.int64)
-        any_token = np.empty(len(grams), dtype=np.int64)
-        any_token[number] = has
-        return names[grams // width], ctx_count[any_token], words[grams % width], counts, has, number
+            gram, ids, seen = answered
+            ctx_no[1:] = gram[:-1]
+            ctx_no[self.first] = -1
+        usable = (seen > 0)[ctx_no]
+        usable &= ctx_no >= 0
+        has = np.flatnonzero(usable).astype(np.int32)
+        del usable
+        ctx_order = ranked(ids.copy())[0].astype(np.int32)
+        ctx_rank = np.empty(len(ids), dtype=np.int32)
+        ctx_rank[ctx_order] = np.arange(len(ids), dtype=np.int32)
+        width = len(self.word_id)
+        key = ctx_rank[ctx_no[has]].astype(np.int64)
+        del ctx_no, ctx_rank
+        key *= width
+        key += self.word_rank[self.tokens[has]]
+        order, key = ranked(key)
+        new = first_of_runs(key)
+        number = np.empty(len(has), dtype=np.int32)
+        number[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        del order
+        key = key[new]
+        del new
+        counts = np.bincount(number[self.train[has]], minlength=len(key)).astype(np.int32)
+        ctx = key // width
+        key -= ctx * width
+        ctx = ctx_order[ctx]
+        del ctx_order
+        return ids[ctx], seen[ctx], self.word_id[self.word_order[key]], counts, has, number
 
 
 def shard_of(ctx: np.ndarray, ctx_count: np.ndarray, word: np.ndarray, shards: int, hot: int) -> np.ndarray:
@@ -235,12 +296,15 @@ def mapped(data: bytes):
 
 
 def word_shard(rows: pd.DataFrame) -> pd.DataFrame:
-    """Add up a shard of level 1, write it and answer its blocks: rank and count of every word."""
+    """Add up a shard of level 1, write it and answer its blocks: rank and count of every word.  The rank is by
+    falling count: frequent words get small ids, which pack well."""
     shard = int(rows["shard"].iloc[0])
     sent = [(b, *unpack(d)) for b, d in zip(rows["block"], rows["data"])]
     keys = [np.cumsum(steps.astype(np.uint64), dtype=np.uint64) for _, steps, _ in sent]
     names, number = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(number, weights=np.concatenate([c for _, _, c in sent]), minlength=len(names)).astype(np.int64)
+    rank = np.empty(len(names), dtype=np.int64)
+    rank[np.argsort(-total, kind="stable")] = np.arange(len(names))
     blob = EliasFano.to_bytes(names) + total.astype(np.int64).tobytes()
     level = mapped(blob)
     words = EliasFano(level)
@@ -248,45 +312,90 @@ def word_shard(rows: pd.DataFrame) -> pd.DataFrame:
     out = [(1, shard, -1, "trie", blob, int(total.sum()), int((total > 0).sum()))]
     for (block, _, _), k in zip(sent, keys):
         at = words.find(k)
-        out.append((1, shard, block, "answer", pack(steps_of(at), counts[at]), 0, 0))
+        out.append((1, shard, block, "answer", pack(rank[at], counts[at]), 0, 0))
     return pd.DataFrame(out, columns=["level", "shard", "block", "kind", "data", "total", "kinds"])
 
 
-def gram_shard(level: int, shards: int, rule: LmRule):
+def tidy(fn):
+    """``fn``, the memory of whose work goes back to the system when it ends."""
+    def run(*args):
+        map_large_blocks()
+        try:
+            return fn(*args)
+        finally:
+            release_memory(collect=False)
+
+    # Spark reads the number of arguments from the signature
+    return (lambda rows: run(rows)) if fn.__code__.co_argcount == 1 else lambda left, right: run(left, right)
+
+
+def gram_shard(level: int, shards: int, rule: LmRule, kind: str):
+    """The ``kind`` of rows ("trie" or "answer") of a shard of an n-gram level."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        """Add up a shard of an n-gram level, write its trie and answer its blocks."""
+        """Add up a shard of an n-gram level, build its trie and answer its blocks from it."""
         shard = int(rows["shard"].iloc[0])
-        sent = []
-        for block, data in zip(rows["block"], rows["data"]):
+        parts = []
+        for data in rows["data"]:
             steps, lengths, ctx_counts, words, counts = unpack(data)
-            ctx = np.repeat(np.cumsum(steps), lengths)
-            sent.append((block, ctx, np.repeat(ctx_counts, lengths), sums_within(words, lengths), counts))
-        ctx, ctx_count, word, count = (np.concatenate([s[i] for s in sent]) for i in (1, 2, 3, 4))
-        used = count > 0
-        ctx, ctx_count, word, count = ctx[used], ctx_count[used], word[used], count[used]
-        order = np.lexsort((word, ctx))
-        ctx, ctx_count, word, count = ctx[order], ctx_count[order], word[order], count[order]
-        new = np.ones(len(ctx), dtype=bool)
-        new[1:] = (ctx[1:] != ctx[:-1]) | (word[1:] != word[:-1])
-        starts = np.flatnonzero(new)
-        total = np.add.reduceat(count, starts) if len(starts) else count
-        ctx, ctx_count, word = ctx[starts], ctx_count[starts], word[starts]
-        codes = encode_probability(total / (ctx_count + rule.strength))
-        blob = TrieLevel.to_bytes(ctx, word, total if level < rule.order else total[:0], codes)
+            parts.append((np.cumsum(steps), lengths, ctx_counts, sums_within(words, lengths), counts))
+        sizes = [len(p[3]) for p in parts]
+        ctx, lengths, ctx_counts, word, count = (np.concatenate(arrays) for arrays in zip(*parts))
+        del parts
+        names, place = np.unique(ctx, return_inverse=True)    # of the contexts, which are fewer than the n-grams
+        ctx_count = np.empty(len(names), dtype=np.int64)
+        ctx_count[place] = ctx_counts
+        width = int(word.max()) + 1
+        key = np.repeat(place, lengths) * width + word
+        del ctx, lengths, ctx_counts, word, place
+        order, key = ranked(key)
+        new = first_of_runs(key)
+        number = np.empty(len(key), dtype=np.int32)
+        number[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        total = np.add.reduceat(count[order], np.flatnonzero(new))
+        key = key[new]
+        del count, order, new
+        place, word = key // width, key % width
+        used = np.flatnonzero(total > 0)
+        total = total[used]
+        codes = encode_probability(total / (ctx_count[place[used]] + rule.strength))
+        blob = TrieLevel.to_bytes(names[place[used]], word[used], total if level < rule.order else total[:0], codes)
+        if kind == "trie":
+            return pd.DataFrame([(level, shard, -1, kind, blob, int(total.sum()), len(total))], columns=CHUNK_NAMES)
+        del used, total, codes, key
         trie = TrieLevel(mapped(blob))
-        out = [(level, shard, -1, "trie", blob, int(total.sum()), len(total))]
-        for block, c, _, w, _ in sent:
-            at = trie.find(c, w)
-            seen = at >= 0
-            code = np.where(seen, trie.codes[np.maximum(at, 0)], 0) if len(trie.codes) else np.zeros(len(at), dtype=np.int64)
-            more = ()
-            if level < rule.order:
-                more = (np.where(seen, 1 + at * shards + shard, 0),
-                        np.where(seen, trie.counts[np.maximum(at, 0)], 0) if len(trie.codes) else code)
-            out.append((level, shard, block, "answer", pack(code, *more), 0, 0))
-        return pd.DataFrame(out, columns=["level", "shard", "block", "kind", "data", "total", "kinds"])
+        del blob
+        at = trie.find_in(trie.contexts.find(names)[place], word)
+        del place, word
+        seen, inside = at >= 0, np.maximum(at, 0)
+        code = np.where(seen, trie.codes[inside], 0) if len(trie.codes) else np.zeros(len(at), dtype=np.int64)
+        out, ends = [], np.cumsum(sizes).tolist()
+        for block, size, end in zip(rows["block"], sizes, ends):
+            mine, more = number[end - size:end], ()
+            if level < rule.order:                            # what was sent ascends, and so do the places found
+                found = at[mine][seen[mine]]
+                more = steps_of(found), trie.counts[found]
+            out.append((level, shard, block, kind, pack(code[mine], *more), 0, 0))
+        return pd.DataFrame(out, columns=CHUNK_NAMES)
+
+    return tidy(run)
+
 
-    return run
+class Stored:
+    """Rows stored by block under the shared scratch folder, so that what groups them by block moves none.  Buckets
+    are known to the catalog only, so until forget() it holds a table of them; the files stay."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.table = spark, scratch_path(spark, name), f"letrado_lm_{uuid.uuid4().hex}"
+        self.buckets = min(table_partitions(spark), 100_000)
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` too; all rows stored."""
+        (df.repartition(self.buckets, "block").write.mode("append").format("parquet").option("path", self.path)
+         .bucketBy(self.buckets, "block").saveAsTable(self.table))
+        return self.spark.table(self.table)
+
+    def forget(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
 # --- the whole --------------------------------------------------------------
@@ -303,32 +412,41 @@ def _walk(block: Block, answers: pd.DataFrame, n_total: int, n_kinds: int, begin
     hot = max(1, n_total // (4 * shards))
     gram = None
     for k in range(2, min(upto, rule.order) + 1):
-        ctx, ctx_count, word, counts, has, number = block.level(k, begin, gram)
+        ctx, ctx_count, word, counts, has, number = block.level(begin, gram)
         shard = shard_of(ctx, ctx_count, word, shards, hot)
-        order = np.lexsort((word, ctx, shard))
+        order = by_shard(shard, shards)
         if k == upto:
             return p, (ctx[order], ctx_count[order], word[order], counts[order], shard[order])
-        parts = [unpack(by_level[k][s]) for s in np.unique(shard).tolist()]
-        if not parts:                                         # no n-gram whose context was seen in training
-            gram = np.full(len(block.tokens), -1, dtype=np.int64), np.zeros(len(block.tokens), dtype=np.int64)
+        gram = ctx = word = counts = None
+        asked = np.flatnonzero(np.bincount(shard, minlength=shards)).tolist() if len(shard) else []
+        if not asked:                                         # no n-gram whose context was seen in training
+            gram = np.full(len(block.tokens), -1, dtype=np.int32), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
             continue
-        code = np.zeros(len(ctx), dtype=np.int64)
+        parts = [unpack(by_level[k][s]) for s in asked]
+        code = np.empty(len(order), dtype=np.int64)
         code[order] = np.concatenate([x[0] for x in parts])
-        strength = rule.strength
-        p[has] = decode_probability(code)[number] + strength / (ctx_count[number] + strength) * p[has]
+        below = (rule.strength / (ctx_count + rule.strength))[number]
+        del ctx_count
+        below *= p[has]
+        below += DECODED[code][number]
+        p[has] = below
+        del below
         if k < rule.order:
-            ids, seen = np.zeros(len(ctx), dtype=np.int64), np.zeros(len(ctx), dtype=np.int64)
-            ids[order] = np.concatenate([x[1] for x in parts])
-            seen[order] = np.concatenate([x[2] for x in parts])
-            gram = np.full(len(block.tokens), -1, dtype=np.int64), np.zeros(len(block.tokens), dtype=np.int64)
-            gram[0][has], gram[1][has] = np.where(ids > 0, ids, -1)[number], seen[number]
+            ids, seen = np.zeros(len(order), dtype=np.int64), np.zeros(len(order), dtype=np.int64)
+            found = order[code[order] > 0]
+            del code, order
+            ids[found] = np.concatenate([1 + np.cumsum(x[1]) * shards + s for s, x in zip(asked, parts)])
+            seen[found] = np.concatenate([x[2] for x in parts])
+            gram = np.full(len(block.tokens), -1, dtype=np.int32), ids, seen
+            gram[0][has] = number
+            del ids, seen, found, parts, has, number
     return p, None
 
 
 def send_grams(k: int, n_total: int, n_kinds: int, begin: int, shards: int, rule: LmRule):
     def send(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """What a block asks the shards of level ``k``: its n-grams by context, one array per shard."""
-        block = Block(left.iloc[0], False)
+        block = Block(left.iloc[0], False, shards)
         _, (ctx, ctx_count, word, counts, shard) = _walk(block, right, n_total, n_kinds, begin, shards, rule, k)
         rows = []
         cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]][:len(shard)])
@@ -340,7 +458,7 @@ def send_grams(k: int, n_total: int, n_kinds: int, begin: int, shards: int, rule
             rows.append((k, int(shard[a]), block.block, "sent", data, 0, 0))
         return pd.DataFrame(rows, columns=CHUNK_NAMES)
 
-    return send
+    return tidy(send)
 
 
 def score_documents(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -353,38 +471,40 @@ def score_documents(df: DataFrame, train: Column, id_col: str = "doc_id", text_c
     the end token alone; a null ``train`` is false; repeated rows count and score
     each on their own; without a training row every word is unknown.
     """
-    shards = table_partitions(df.sparkSession)
-    blocks = materialize(cut_blocks(df, train, id_col, text_col, shards, rule), "lm-blocks")
+    spark = df.sparkSession
+    cut, answered = Stored(spark, "lm-blocks"), Stored(spark, "lm-answers")
+    blocks = cut.add(cut_blocks(df, train, id_col, text_col, rule))
+    n_tokens = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    shards = max(table_partitions(spark), -(-n_tokens // rule.shard_tokens))
 
     def send_words(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                block = Block({**row, "ids": None}, True)
+                block = Block({**row, "ids": None}, True, shards)
                 rows = [(1, s, block.block, "sent", data, 0, 0) for s, data in block.send_words()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), CHUNK_TYPES)],
                                                  names=CHUNK_NAMES)
 
     sent = blocks.select("block", "train", "sizes", "words", "owner", "tokens").mapInArrow(send_words, CHUNK)
-    answers = materialize(sent.groupBy("shard").applyInPandas(word_shard, CHUNK), "lm-level-1")
-    whole = answers.where("kind = 'trie'").agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"),
-                                               F.coalesce(F.sum("kinds"), F.lit(0)).alias("v")).first()
+    words = materialize(sent.groupBy("shard").applyInPandas(word_shard, CHUNK), "lm-level-1")
+    tries = words.where("kind = 'trie'")
+    whole = tries.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("v")).first()
     n_total, n_kinds = int(whole.n), int(whole.v)
     begin = df.where(train).count()                           # documents that begin
     light = blocks.select("block", "ids", "train", "sizes", "owner", "tokens")
 
-    def replies():
-        return answers.where("kind = 'answer'").select("block", "level", "shard", "data")
-
+    replies = ["block", "level", "shard", "data"]
+    answers = answered.add(words.where("kind = 'answer'").select(*replies))
     for k in range(2, rule.order + 1):
-        asked = (light.groupBy("block").cogroup(replies().groupBy("block"))
-                 .applyInPandas(send_grams(k, n_total, n_kinds, begin, shards, rule), CHUNK))
-        level = asked.groupBy("shard").applyInPandas(gram_shard(k, shards, rule), CHUNK)
-        if k < rule.order:
-            level = materialize(level, f"lm-level-{k}")
-        answers = answers.unionByName(level)
+        asked = (light.groupBy("block").cogroup(answers.groupBy("block"))
+                 .applyInPandas(send_grams(k, n_total, n_kinds, begin, shards, rule), CHUNK)).groupBy("shard")
+        tries = tries.unionByName(asked.applyInPandas(gram_shard(k, shards, rule, "trie"), CHUNK))
+        drop_shuffles(spark)
+        answers = answered.add(asked.applyInPandas(gram_shard(k, shards, rule, "answer"), CHUNK).select(*replies))
+    drop_shuffles(spark)
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        block = Block(left.iloc[0], False)
+        block = Block(left.iloc[0], False, shards)
         p, _ = _walk(block, right, n_total, n_kinds, begin, shards, rule, rule.order + 1)
         known = block.word_count[block.tokens] > 0
         base = np.log10((block.word_count + 1) / (n_total + 1 * (n_kinds + 1)))[block.tokens]
@@ -395,9 +515,11 @@ def score_documents(df: DataFrame, train: Column, id_col: str = "doc_id", text_c
                              "score": np.add.reduceat(np.log10(p), starts)})
 
     kind = df.schema[id_col].dataType.simpleString()
-    scores = (light.groupBy("block").cogroup(replies().groupBy("block")).applyInPandas(
-        score, f"id {kind}, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
-    return scores.withColumnRenamed("id", id_col), answers.where("kind = 'trie'").select("level", "shard", "data")
+    scores = (light.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
+        tidy(score), f"id {kind}, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+    cut.forget()
+    answered.forget()
+    return scores.withColumnRenamed("id", id_col), tries.select("level", "shard", "data")
 
 
 CHUNK_NAMES = [c.split()[0] for c in CHUNK.split(", ")]

@@ -260,6 +260,30 @@ def test_hot_context_is_split():
     assert len(np.unique(ngram_lm.shard_of(ctx, count, word, 40, 10_000))) == 1
 
 
+def test_shards_are_numbered_by_tokens_not_by_partitions(spark):
+    prepare(spark)
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    local = sorted(rows(df, "doc_id", "text"))
+    trained = [zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in local]
+    rule = ngram_lm.LmRule(order=3, block_tokens=9_000, shard_tokens=3_000)
+    found, trie = scored(df, fold_remainder(F.col("doc_id"), 7) != 2, rule)
+    check_scores(found, [t for _, t in local], trained, 3, rule.strength)
+    tokens = sum(r[1] for r in found)
+    assert tokens // 3_000 > ngram_lm.table_partitions(spark)
+    for level in (2, 3):
+        sizes = [len(elias_fano.TrieLevel(ngram_lm.mapped(bytes(r.data))).codes) for r in trie.where(f"level = {level}").collect()]
+        assert len(sizes) > ngram_lm.table_partitions(spark) and max(sizes) < 3 * 3_000
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("letrado_lm_")]
+
+
+def test_ranked_equals_a_stable_argsort():
+    random = np.random.default_rng(5)
+    for top in (1, 1000, 2**62):                              # the last are too wide to sort with their places
+        keys = random.integers(0, top, 5000)
+        order, ascending = ngram_lm.ranked(keys.copy())
+        assert (order == np.argsort(keys, kind="stable")).all() and (ascending == np.sort(keys)).all()
+
+
 def test_lm_on_messy_rows(spark, clashing, messy_rows, no_rows):
     keyed = spark.createDataFrame([(i, r[1]) for i, r in enumerate(messy_rows)], "doc_id long, text string")
     rule = ngram_lm.LmRule(order=3, block_tokens=500)
