@@ -149,26 +149,36 @@ def reject_counts(bronze, s) -> DataFrame:
     return out
 
 
+def _json(cols: list[str]) -> Column:
+    return F.to_json(F.struct(*[F.col(c) for c in cols]))
+
+
+def _valueless_or_orphans(entity: str, ranked: DataFrame, value: str, ref: DataFrame, key: str) -> DataFrame:
+    """The rows of both reasons from one pass: ranked once, looked up once.  An orphan's key comes first in its row."""
+    no_value, cols = F.col(value).isNull(), ranked.columns
+    away = _known(ranked, ref, F.col(key), key).where(no_value | ~F.col("known"))
+    return away.select(F.lit(entity).alias("entity"), F.when(no_value, F.lit(NO_VALUE)).otherwise(F.lit(ORPHAN)).alias("reason"),
+                       F.when(no_value, _json(cols)).otherwise(_json([key, *[c for c in cols if c != key]])).alias("row"))
+
+
 def rejected_rows(bronze, s) -> DataFrame:
     """(entity, reason, row as JSON) of the rows that silver turned away."""
     def tagged(entity: str, reason: str, df: DataFrame) -> DataFrame:
-        return df.select(F.lit(entity).alias("entity"), F.lit(reason).alias("reason"),
-                         F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("row"))
+        return df.select(F.lit(entity).alias("entity"), F.lit(reason).alias("reason"), _json(df.columns).alias("row"))
 
     b, parts = bronze, []
     for entity in ("ufs", "municipios", "indicador_alfabetizacao", "alunos"):
         parts.append(tagged(entity, NO_KEY, b[entity].where(~_keyed(b[entity], entity))))
     ranked = silver.rank_measurements(silver._batch_measurements(b["indicador_alfabetizacao"]))
-    parts.append(tagged("indicador_alfabetizacao", NO_VALUE, ranked.where(F.col("indicador_alfabetizacao").isNull())))
-    parts.append(tagged("alunos", NO_VALUE, silver.ranked_alunos(b["alunos"]).where(F.col("proficiencia_saeb").isNull())))
+    for entity, df, value in (("indicador_alfabetizacao", ranked, "indicador_alfabetizacao"),
+                              ("alunos", silver.ranked_alunos(b["alunos"]), "proficiencia_saeb")):
+        parts.append(_valueless_or_orphans(entity, df, value, s["municipios"], "id_municipio"))
     for entity, ids in (("meta_brasil", []), ("meta_uf", ["sigla_uf"]), ("meta_municipio", ["id_municipio"])):
         cells = _cells(b[entity], ids)
         parts.append(tagged(entity, BAD_VALUE, cells.where(F.col("valor").isNotNull() & safe_double("valor").isNull())))
     parts.append(tagged("municipios", ORPHAN, orphans(silver.prepare_municipios(b["municipios"]), s["ufs"], "sigla_uf")))
-    for entity, df in (("indicador_alfabetizacao", silver.prepare_indicador(b["indicador_alfabetizacao"])),
-                       ("alunos", silver.prepare_alunos(b["alunos"])),
-                       ("meta_municipio", silver.prepare_meta_municipio(b["meta_municipio"]))):
-        parts.append(tagged(entity, ORPHAN, orphans(df, s["municipios"], "id_municipio")))
+    parts.append(tagged("meta_municipio", ORPHAN,
+                        orphans(silver.prepare_meta_municipio(b["meta_municipio"]), s["municipios"], "id_municipio")))
     parts.append(tagged("meta_uf", ORPHAN, orphans(silver.prepare_meta_uf(b["meta_uf"]), s["ufs"], "sigla_uf")))
     out = parts[0]
     for p in parts[1:]:
