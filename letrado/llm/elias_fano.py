@@ -80,6 +80,24 @@ class EliasFano:
         high = _select(self.high, self.ones, i) - i
         return high.astype(np.uint64) << np.uint64(self.low_bits) | self._lows(i)
 
+    def values(self) -> np.ndarray:
+        """The whole sequence."""
+        high = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little").view(bool))[:self.n]
+        at = np.arange(self.n)
+        high -= at
+        return high.astype(np.uint64) << np.uint64(self.low_bits) | self._lows(at)
+
+    def find_ascending(self, values: np.ndarray) -> np.ndarray:
+        """find() for non-descending values that are many beside the sequence: one pass over both."""
+        v, mine = values.astype(np.uint64), self.values()
+        at = np.searchsorted(mine, v)
+        at[at == self.n] = 0
+        if self.n:
+            at[mine[at] != v] = -1
+        else:
+            at -= 1
+        return at
+
     def find(self, values: np.ndarray, first: np.ndarray | None = None, past: np.ndarray | None = None) -> np.ndarray:
         """Position of each value, or -1; searched within [first, past) where given.
 
@@ -117,6 +135,9 @@ class EliasFano:
         return out
 
 
+MANY = 16                                                     # one question in so many values: read them all in order
+
+
 class TrieLevel:
     """Successors of contexts: contexts, monotone pointers to their ranges of successors, the
     successors themselves and a quantised value and a count for each."""
@@ -147,6 +168,11 @@ class TrieLevel:
         """Position of each n-gram, or -1: the word is sought among its context's successors only."""
         return self.find_in(self.contexts.find(contexts), words)
 
+    def find_contexts(self, ascending: np.ndarray) -> np.ndarray:
+        """Places of contexts given in order, or -1."""
+        many = MANY * len(ascending) > self.contexts.n
+        return self.contexts.find_ascending(ascending) if many else self.contexts.find(ascending)
+
     def find_in(self, place: np.ndarray, words: np.ndarray) -> np.ndarray:
         """find() from the places of the contexts (-1: none)."""
         out = np.full(len(place), -1, dtype=np.int64)
@@ -154,6 +180,9 @@ class TrieLevel:
         if len(seen):
             i = place[seen]
             chain = i.astype(np.uint64) * np.uint64(self.width) + words[seen].astype(np.uint64)
+            if MANY * len(seen) > self.successors.n and (chain[1:] >= chain[:-1]).all():
+                out[seen] = self.successors.find_ascending(chain)      # a successor's value tells its context
+                return out
             out[seen] = self.successors.find(chain, self.pointers.get(i).astype(np.int64),
                                              self.pointers.get(i + 1).astype(np.int64))
         return out

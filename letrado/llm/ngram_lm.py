@@ -5,13 +5,16 @@ level each block sends its distinct n-grams with their training counts to the
 shards (a hot context is split over many); a shard adds the counts up, writes
 its part of the trie level, maps it into memory and answers every block from it:
 a quantised smoothed probability, a count and, for the next level, an id per
-n-gram.  A block then scores its documents from the answers.
+n-gram.  A block then scores its documents from the answers.  Its tokens are
+sorted once, so that the n-grams of every length are runs of one order and no
+level sorts the tokens again.
 
 * Nothing whole passes the driver, a task or a group: a block and a shard bound
   the memory.  There is a block per ``block_tokens`` and at least a shard per
   ``shard_tokens`` tokens, so neither grows with the corpus.
 * What moves is one packed array per (block, shard), not a row per n-gram.
-* Tokens are written once per block as small integers; what a level answers is
+* Tokens are written once per block as small integers and once more sorted, when
+  the first form goes; what a level answers is
   written before the next one begins, so a lost executor repeats one step and
   the shuffles of a finished level can go.  Both are stored in buckets of blocks,
   so a block meets its answers without another shuffle.  A shard builds its trie to answer
@@ -39,9 +42,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letrado.llm.common import drop_shuffles, map_large_blocks, release_memory, table_partitions
+from letrado.llm.common import drop_shuffles, keep_freed_memory, release_memory, table_partitions
 from letrado.llm.elias_fano import EliasFano, TrieLevel
-from letrado.session import materialize, scratch_path
+from letrado.session import materialize, remove_folder, scratch_path
 
 END = b"\n"                                                   # no word holds a gap
 BEGIN_ID = 0                                                  # ids of words and n-grams start at 1
@@ -65,12 +68,11 @@ def pack(*arrays: np.ndarray) -> bytes:
     head, parts = [len(arrays)], []
     for a in arrays:
         a = np.asarray(a)
-        if a.dtype != np.uint64:
-            a = a.astype(np.uint64)
         top = int(a.max()) if len(a) else 0
         width = 1 if top < 2**8 else 2 if top < 2**16 else 4 if top < 2**32 else 8
         head += [width, len(a)]
-        parts.append(a.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes())
+        a = a.astype(f"<u{width}")
+        parts.append(a.tobytes() if width == 1 else a.view(np.uint8).reshape(-1, width).T.tobytes())
     body = np.array(head, dtype=np.int64).tobytes() + b"".join(parts)
     return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
 
@@ -82,7 +84,7 @@ def unpack(data: bytes) -> list[np.ndarray]:
     at, out = 8 * (2 * n + 1), []
     for width, size in zip(head[::2], head[1::2]):
         planes = np.frombuffer(body, np.uint8, size * width, at).reshape(width, size)
-        a = np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(size)
+        a = planes[0] if width == 1 else np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(size)
         out.append(a.astype(np.uint64 if width == 8 and len(a) and a.max() >= 2**63 else np.int64))
         at += width * size
     return out
@@ -202,87 +204,171 @@ def cut_blocks(df: DataFrame, train: Column, id_col: str, text_col: str, rule: L
 
 
 class Block:
-    """A block's tokens and, per token, what the levels answered so far."""
+    """A block's tokens by the place of each among the block's words."""
 
-    def __init__(self, row, with_words: bool, shards: int):
-        self.block, self.ids = int(row["block"]), row["ids"]
+    def __init__(self, row, shards: int):
+        self.block = int(row["block"])
         self.owner = unpack(row["owner"])[0] % shards
         self.sizes, = unpack(row["sizes"])
         self.train = np.repeat(unpack(row["train"])[0] > 0, self.sizes)
         rank, tokens = unpack(row["tokens"])
         self.tokens = rank.astype(np.int32)[tokens]
-        self.keys = np.cumsum(unpack(row["words"])[0].astype(np.uint64), dtype=np.uint64) if with_words else None
-        self.first = np.zeros(len(self.tokens), dtype=bool)
-        self.first[np.cumsum(self.sizes) - self.sizes] = True
 
-    def send_words(self):
+    def send_words(self, words: bytes):
         """Level 1: (shard, data) of the distinct words and their training counts."""
-        counts = np.bincount(self.tokens[self.train], minlength=len(self.keys))
+        keys = np.cumsum(unpack(words)[0].astype(np.uint64), dtype=np.uint64)
+        counts = np.bincount(self.tokens[self.train], minlength=len(keys))
         for s in np.unique(self.owner).tolist():
             mine = self.owner == s
-            yield s, pack(steps_of(self.keys[mine]), counts[mine])
+            yield s, pack(steps_of(keys[mine]), counts[mine])
 
-    def take_words(self, answers: dict[int, bytes], shards: int) -> None:
-        """Word ids and counts from the level-1 answers, which lie shard by shard in key order."""
-        self.word_id = np.zeros(len(self.owner), dtype=np.int64)
-        self.word_count = np.zeros(len(self.owner), dtype=np.int64)
+    def take_words(self, answers: dict[int, bytes], shards: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, ascending, and counts of the words from the level-1 answers, which lie shard by shard in key order;
+        the tokens become places among the ids."""
+        ids, counts = np.zeros(len(self.owner), dtype=np.int64), np.zeros(len(self.owner), dtype=np.int64)
         for s, data in answers.items():
             rank, count = unpack(data)
             mine = np.flatnonzero(self.owner == s)
-            self.word_id[mine] = 1 + rank * shards + s
-            self.word_count[mine] = count
-        self.word_order = ranked(self.word_id.copy())[0].astype(np.int32)
-        self.word_rank = np.empty(len(self.word_order), dtype=np.int32)
-        self.word_rank[self.word_order] = np.arange(len(self.word_order))
-
-    def level(self, begin_count: int, answered: tuple | None):
-        """The distinct n-grams of a level, by context and word: (ctx, ctx_count, word, train count), the tokens
-        that have one and the number of each such token's n-gram.  ``answered`` is the level before: each token's
-        n-gram there (-1: none) and the id and count of every n-gram; None for words."""
-        ctx_no = np.empty(len(self.tokens), dtype=np.int32)
-        if answered is None:
-            ctx_no[1:] = self.tokens[:-1] + 1
-            ctx_no[self.first] = 0
-            ids, seen = np.r_[BEGIN_ID, self.word_id], np.r_[begin_count, self.word_count]
-        else:
-            gram, ids, seen = answered
-            ctx_no[1:] = gram[:-1]
-            ctx_no[self.first] = -1
-        usable = (seen > 0)[ctx_no]
-        usable &= ctx_no >= 0
-        has = np.flatnonzero(usable).astype(np.int32)
-        del usable
-        ctx_order = ranked(ids.copy())[0].astype(np.int32)
-        ctx_rank = np.empty(len(ids), dtype=np.int32)
-        ctx_rank[ctx_order] = np.arange(len(ids), dtype=np.int32)
-        width = len(self.word_id)
-        key = ctx_rank[ctx_no[has]].astype(np.int64)
-        del ctx_no, ctx_rank
-        key *= width
-        key += self.word_rank[self.tokens[has]]
-        order, key = ranked(key)
-        new = first_of_runs(key)
-        number = np.empty(len(has), dtype=np.int32)
-        number[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
-        del order
-        key = key[new]
+            ids[mine] = 1 + rank * shards + s
+            counts[mine] = count
+        order, ids = ranked(ids)
+        place = np.empty(len(order), dtype=np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        self.tokens = place[self.tokens]
+        return ids, counts[order]
+
+    def sort_starts(self, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, shared): the places of the padded documents in the order of the up to ``order`` tokens from there
+        on, and how many of these each shares with the place before.  The n-grams of every length are runs of this
+        order, those of one context beside each other, so no level needs a sort of the tokens."""
+        firsts = np.cumsum(self.sizes + 1) - (self.sizes + 1)
+        padded = np.zeros(len(self.tokens) + len(self.sizes), dtype=np.int64)
+        words = np.ones(len(padded), dtype=bool)
+        words[firsts] = False
+        padded[words] = self.tokens + 1                       # 0: the beginning of a document
+        left = left_of(self.sizes, order)
+        width = int(padded.max()) + 2
+        kept, number = [padded.astype(np.int32)], padded
+        for k in range(2, order + 1):
+            key = number * width                              # a place past the document's end sorts first
+            inside = np.flatnonzero(left >= k)
+            key[inside] += padded[inside + (k - 1)] + 1
+            starts, key = ranked(key)
+            number = np.empty(len(padded), dtype=np.int64)
+            number[starts] = np.cumsum(first_of_runs(key)) - 1
+            kept.append(number.astype(np.int32))
+        if order == 1:
+            starts = ranked(padded.copy())[0]
+        shared = np.zeros(len(padded), dtype=np.int8)
+        for number in kept:
+            number = number[starts]
+            shared[1:] += number[1:] == number[:-1]
+        return starts, shared
+
+
+def left_of(sizes: np.ndarray, order: int) -> np.ndarray:
+    """Tokens from each place of the padded documents to the end of its document, at most ``order``."""
+    ends = np.cumsum(sizes + 1)
+    left = np.full(int(ends[-1]), order, dtype=np.int8)
+    for d in range(1, order):
+        left[ends[sizes + 1 >= d] - d] = d
+    return left
+
+
+def sort_block(shards: int, order: int):
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        """A block with the order of its n-grams, the ids and the counts of its words."""
+        row = left.iloc[0]
+        block = Block(row, shards)
+        ids, counts = block.take_words(dict(zip(right["shard"], right["data"])), shards)
+        starts, shared = block.sort_starts(order)
+        return pd.DataFrame([(block.block, row["ids"], row["train"], row["sizes"], pack(steps_of(ids), counts),
+                              pack(starts, shared))], columns=["block", "ids", "train", "sizes", "words", "starts"])
+
+    return tidy(run)
+
+
+class SortedBlock:
+    """The n-grams of a block, level by level; a level's n-grams are numbered in the order of their tokens."""
+
+    def __init__(self, row, begin: int, order: int):
+        self.block, self.sizes = int(row["block"]), unpack(row["sizes"])[0]
+        steps, counts = unpack(row["words"])
+        self.word_id, self.word_count = np.cumsum(steps), counts
+        self.starts, self.shared = (a.astype(t) for a, t in zip(unpack(row["starts"]), (np.int32, np.int8)))
+        self.train_docs = unpack(row["train"])[0] > 0
+        self.left = left_of(self.sizes, order)[self.starts]
+        first = np.cumsum(self.shared < 1, dtype=np.int32) - np.int32(1)
+        self.padded = np.empty(len(self.starts), dtype=np.int32)
+        self.padded[self.starts] = first                      # 0: the beginning of a document, then the words
+        self.number = first                                   # of the n-gram of the level before at each start
+        self.ids, self.seen = np.r_[BEGIN_ID, self.word_id], np.r_[begin, self.word_count]
+
+    def ask(self, k: int, shards: int, hot: int) -> None:
+        """The n-grams of level ``k`` (``new``: where each begins in the order, ``parent``: its context's number) and
+        those with a context that was seen: ``asked`` in the order of what is sent, by shard, context and word;
+        ``sent``: how many go to each shard."""
+        new = self.shared < k
+        new &= self.left >= k
+        self.new = np.flatnonzero(new).astype(np.int32)
+        self.parent = self.number[self.new]
+        self.number = np.cumsum(new, dtype=np.int32)
+        self.number -= 1
         del new
-        counts = np.bincount(number[self.train[has]], minlength=len(key)).astype(np.int32)
-        ctx = key // width
-        key -= ctx * width
-        ctx = ctx_order[ctx]
-        del ctx_order
-        return ids[ctx], seen[ctx], self.word_id[self.word_order[key]], counts, has, number
+        asked = np.flatnonzero((self.seen > 0)[self.parent]).astype(np.int32)
+        parent = self.parent[asked]
+        # what goes to one shard together: the n-grams of a context, or one n-gram of a hot context
+        runs, split = first_of_runs(parent), (self.seen >= hot)[parent]
+        runs |= split
+        runs = np.flatnonzero(runs).astype(np.int32)
+        lengths = np.diff(runs, append=np.int32(len(parent)))
+        parent, split = parent[runs], np.flatnonzero(split[runs])
+        word = np.zeros(len(runs), dtype=np.int64)            # tells of the shard where the context is hot only
+        word[split] = self.word_id[self.words(k, asked[runs[split]])]
+        ids = self.ids[parent]
+        shard = shard_of(ids, self.seen[parent], word, shards, hot)
+        by, _ = ranked(ids)
+        shard = shard[by]
+        by = by[by_shard(shard, shards)]
+        lengths = lengths[by]
+        ends = np.r_[np.int32(0), np.cumsum(lengths, dtype=np.int32)]
+        self.sent = np.diff(ends[np.cumsum(np.bincount(shard, minlength=shards))], prepend=0)
+        order = np.repeat(runs[by] - ends[:-1], lengths)
+        order += np.arange(len(order), dtype=np.int32)
+        self.asked = asked[order]
+
+    def words(self, k: int, numbers: np.ndarray) -> np.ndarray:
+        """The last words of n-grams of level ``k``."""
+        return self.padded[self.starts[self.new[numbers]] + np.int32(k - 1)] - 1
+
+    def counts(self, k: int) -> np.ndarray:
+        """Training counts of what ask() gave."""
+        used = np.repeat(self.train_docs, self.sizes + 1)[self.starts] & (self.left >= k)
+        return np.add.reduceat(used, self.new, dtype=np.int32)[self.asked] if len(self.asked) else np.zeros(0, np.int32)
+
+    def take(self, answers: dict[int, bytes], more: bool, shards: int) -> np.ndarray:
+        """The codes of what ask() gave; with ``more`` the ids and counts of the level too."""
+        parts = [(s, unpack(answers[s])) for s in np.flatnonzero(self.sent).tolist()]
+        code = np.concatenate([np.zeros(0, dtype=np.int64)] + [x[0] for _, x in parts])
+        if more:
+            self.ids, self.seen = np.zeros(len(self.new), dtype=np.int64), np.zeros(len(self.new), dtype=np.int64)
+            found = self.asked[code > 0]
+            if len(found):
+                self.ids[found] = np.concatenate([1 + np.cumsum(x[1]) * shards + s for s, x in parts])
+                self.seen[found] = np.concatenate([x[2] for _, x in parts])
+        return code
 
 
 def shard_of(ctx: np.ndarray, ctx_count: np.ndarray, word: np.ndarray, shards: int, hot: int) -> np.ndarray:
     """Shard of an n-gram: by its context, and for a context of over ``hot`` tokens by the word too."""
-    ways = (1 + ctx_count // hot).astype(np.uint64)
-    mixed = word.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    salt = (mixed >> np.uint64(32)) % ways
-    x = ctx.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + salt * np.uint64(0xA0761D6478BD642F)
+    split = np.flatnonzero(ctx_count >= hot)
+    x = ctx.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    salt = word[split].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+    x[split] += salt % (1 + ctx_count[split] // hot).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xE7037ED1A0B428DB)
-    return ((x >> np.uint64(33)) % np.uint64(shards)).astype(np.int64)
+    x >>= np.uint64(33)
+    x -= x // np.uint64(shards) * np.uint64(shards)           # several times faster than the remainder
+    return x.astype(np.int64)
 
 
 # --- shards -----------------------------------------------------------------
@@ -319,7 +405,7 @@ def word_shard(rows: pd.DataFrame) -> pd.DataFrame:
 def tidy(fn):
     """``fn``, the memory of whose work goes back to the system when it ends."""
     def run(*args):
-        map_large_blocks()
+        keep_freed_memory()
         try:
             return fn(*args)
         finally:
@@ -341,7 +427,11 @@ def gram_shard(level: int, shards: int, rule: LmRule, kind: str):
         sizes = [len(p[3]) for p in parts]
         ctx, lengths, ctx_counts, word, count = (np.concatenate(arrays) for arrays in zip(*parts))
         del parts
-        names, place = np.unique(ctx, return_inverse=True)    # of the contexts, which are fewer than the n-grams
+        order, names = ranked(ctx)                            # of the contexts, which are fewer than the n-grams
+        new = first_of_runs(names)
+        place = np.empty(len(names), dtype=np.int64)
+        place[order] = np.cumsum(new) - 1
+        names = names[new]
         ctx_count = np.empty(len(names), dtype=np.int64)
         ctx_count[place] = ctx_counts
         width = int(word.max()) + 1
@@ -364,7 +454,7 @@ def gram_shard(level: int, shards: int, rule: LmRule, kind: str):
         del used, total, codes, key
         trie = TrieLevel(mapped(blob))
         del blob
-        at = trie.find_in(trie.contexts.find(names)[place], word)
+        at = trie.find_in(trie.find_contexts(names)[place], word)
         del place, word
         seen, inside = at >= 0, np.maximum(at, 0)
         code = np.where(seen, trie.codes[inside], 0) if len(trie.codes) else np.zeros(len(at), dtype=np.int64)
@@ -400,67 +490,54 @@ class Stored:
 
 # --- the whole --------------------------------------------------------------
 
-def _walk(block: Block, answers: pd.DataFrame, n_total: int, n_kinds: int, begin: int, shards: int, rule: LmRule,
-          upto: int):
-    """Apply the answers of levels 1 .. upto - 1; gives (token probabilities, what level ``upto`` asks)."""
-    by_level: dict[int, dict[int, bytes]] = {}
+def by_level(answers: pd.DataFrame) -> dict[int, dict[int, bytes]]:
+    out: dict[int, dict[int, bytes]] = defaultdict(dict)
     for level, shard, data in zip(answers["level"], answers["shard"], answers["data"]):
-        by_level.setdefault(int(level), {})[int(shard)] = data
-    block.take_words(by_level[1], shards)
-    p1 = (block.word_count + 1) / (n_total + n_kinds + 1)
-    p = p1[block.tokens]
+        out[int(level)][int(shard)] = data
+    return out
+
+
+def send_grams(k: int, n_total: int, begin: int, shards: int, rule: LmRule):
     hot = max(1, n_total // (4 * shards))
-    gram = None
-    for k in range(2, min(upto, rule.order) + 1):
-        ctx, ctx_count, word, counts, has, number = block.level(begin, gram)
-        shard = shard_of(ctx, ctx_count, word, shards, hot)
-        order = by_shard(shard, shards)
-        if k == upto:
-            return p, (ctx[order], ctx_count[order], word[order], counts[order], shard[order])
-        gram = ctx = word = counts = None
-        asked = np.flatnonzero(np.bincount(shard, minlength=shards)).tolist() if len(shard) else []
-        if not asked:                                         # no n-gram whose context was seen in training
-            gram = np.full(len(block.tokens), -1, dtype=np.int32), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
-            continue
-        parts = [unpack(by_level[k][s]) for s in asked]
-        code = np.empty(len(order), dtype=np.int64)
-        code[order] = np.concatenate([x[0] for x in parts])
-        below = (rule.strength / (ctx_count + rule.strength))[number]
-        del ctx_count
-        below *= p[has]
-        below += DECODED[code][number]
-        p[has] = below
-        del below
-        if k < rule.order:
-            ids, seen = np.zeros(len(order), dtype=np.int64), np.zeros(len(order), dtype=np.int64)
-            found = order[code[order] > 0]
-            del code, order
-            ids[found] = np.concatenate([1 + np.cumsum(x[1]) * shards + s for s, x in zip(asked, parts)])
-            seen[found] = np.concatenate([x[2] for x in parts])
-            gram = np.full(len(block.tokens), -1, dtype=np.int32), ids, seen
-            gram[0][has] = number
-            del ids, seen, found, parts, has, number
-    return p, None
-
-
-def send_grams(k: int, n_total: int, n_kinds: int, begin: int, shards: int, rule: LmRule):
+
     def send(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """What a block asks the shards of level ``k``: its n-grams by context, one array per shard."""
-        block = Block(left.iloc[0], False, shards)
-        _, (ctx, ctx_count, word, counts, shard) = _walk(block, right, n_total, n_kinds, begin, shards, rule, k)
-        rows = []
-        cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]][:len(shard)])
-        for a, b in zip(cuts.tolist(), np.r_[cuts[1:], len(shard)].astype(np.int64).tolist()):
+        block, answers = SortedBlock(left.iloc[0], begin, rule.order), by_level(right)
+        for j in range(2, k):
+            block.ask(j, shards, hot)
+            block.take(answers[j], True, shards)
+        block.ask(k, shards, hot)
+        counts, word, parent = block.counts(k), block.word_id[block.words(k, block.asked)], block.parent[block.asked]
+        ctx, ctx_count = block.ids[parent], block.seen[parent]
+        number, sent, block = block.block, block.sent, None
+        del parent
+        rows, ends = [], np.cumsum(sent)
+        for s in np.flatnonzero(sent).tolist():
+            a, b = int(ends[s] - sent[s]), int(ends[s])
             starts = np.flatnonzero(np.r_[True, ctx[a + 1:b] != ctx[a:b - 1]])
             lengths = np.diff(np.r_[starts, b - a])
             data = pack(steps_of(ctx[a:b][starts]), lengths, ctx_count[a:b][starts], steps_within(word[a:b], starts),
                         counts[a:b])
-            rows.append((k, int(shard[a]), block.block, "sent", data, 0, 0))
+            rows.append((k, s, number, "sent", data, 0, 0))
         return pd.DataFrame(rows, columns=CHUNK_NAMES)
 
     return tidy(send)
 
 
+def token_probabilities(block: SortedBlock, answers: dict[int, dict[int, bytes]], p: np.ndarray, hot: int, shards: int,
+                        rule: LmRule) -> None:
+    """Interpolate ``p``, of every place of the padded documents, through the levels."""
+    for k in range(2, rule.order + 1):
+        block.ask(k, shards, hot)
+        below = (rule.strength / (block.seen + rule.strength))[block.parent]          # 1 where the context was not seen
+        above = np.zeros(len(block.new))
+        above[block.asked] = DECODED[block.take(answers[k], k < rule.order, shards)]
+        at = np.flatnonzero(block.left >= k)                  # an n-gram's last token is the one it tells of
+        number = block.number[at]
+        at = block.starts[at] + np.int32(k - 1)
+        p[at] = p[at] * below[number] + above[number]
+
+
 def score_documents(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
                     rule: LmRule = LmRule()) -> tuple[DataFrame, DataFrame]:
     """Train on the rows of ``df`` where ``train`` holds, score all of them.
@@ -472,7 +549,7 @@ def score_documents(df: DataFrame, train: Column, id_col: str = "doc_id", text_c
     each on their own; without a training row every word is unknown.
     """
     spark = df.sparkSession
-    cut, answered = Stored(spark, "lm-blocks"), Stored(spark, "lm-answers")
+    cut, ordered, answered = (Stored(spark, name) for name in ("lm-blocks", "lm-sorted-blocks", "lm-answers"))
     blocks = cut.add(cut_blocks(df, train, id_col, text_col, rule))
     n_tokens = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     shards = max(table_partitions(spark), -(-n_tokens // rule.shard_tokens))
@@ -480,8 +557,8 @@ def score_documents(df: DataFrame, train: Column, id_col: str = "doc_id", text_c
     def send_words(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                block = Block({**row, "ids": None}, True, shards)
-                rows = [(1, s, block.block, "sent", data, 0, 0) for s, data in block.send_words()]
+                block = Block(row, shards)
+                rows = [(1, s, block.block, "sent", data, 0, 0) for s, data in block.send_words(row["words"])]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), CHUNK_TYPES)],
                                                  names=CHUNK_NAMES)
 
@@ -491,33 +568,45 @@ def score_documents(df: DataFrame, train: Column, id_col: str = "doc_id", text_c
     whole = tries.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("v")).first()
     n_total, n_kinds = int(whole.n), int(whole.v)
     begin = df.where(train).count()                           # documents that begin
-    light = blocks.select("block", "ids", "train", "sizes", "owner", "tokens")
+    hot = max(1, n_total // (4 * shards))
 
+    id_kind = df.schema[id_col].dataType.simpleString()
     replies = ["block", "level", "shard", "data"]
-    answers = answered.add(words.where("kind = 'answer'").select(*replies))
+    told = words.where("kind = 'answer'").select(*replies)
+    light = ordered.add(
+        blocks.select("block", "ids", "train", "sizes", "owner", "tokens").groupBy("block").cogroup(told.groupBy("block"))
+        .applyInPandas(sort_block(shards, rule.order),
+                       f"block long, ids array<{id_kind}>, train binary, sizes binary, words binary, starts binary"))
+    cut.forget()
+    remove_folder(spark, cut.path)                            # all of it lies in the sorted blocks
+    drop_shuffles(spark)
+
+    answers = answered.add(told.where("false"))
     for k in range(2, rule.order + 1):
         asked = (light.groupBy("block").cogroup(answers.groupBy("block"))
-                 .applyInPandas(send_grams(k, n_total, n_kinds, begin, shards, rule), CHUNK)).groupBy("shard")
+                 .applyInPandas(send_grams(k, n_total, begin, shards, rule), CHUNK)).groupBy("shard")
         tries = tries.unionByName(asked.applyInPandas(gram_shard(k, shards, rule, "trie"), CHUNK))
         drop_shuffles(spark)
         answers = answered.add(asked.applyInPandas(gram_shard(k, shards, rule, "answer"), CHUNK).select(*replies))
     drop_shuffles(spark)
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        block = Block(left.iloc[0], False, shards)
-        p, _ = _walk(block, right, n_total, n_kinds, begin, shards, rule, rule.order + 1)
-        known = block.word_count[block.tokens] > 0
-        base = np.log10((block.word_count + 1) / (n_total + 1 * (n_kinds + 1)))[block.tokens]
+        block = SortedBlock(left.iloc[0], begin, rule.order)
+        count = np.r_[0, block.word_count][block.padded]
+        words = block.padded > 0
+        p = (count + 1) / (n_total + n_kinds + 1)
+        token_probabilities(block, by_level(right), p, hot, shards, rule)
         starts = np.cumsum(block.sizes) - block.sizes
-        return pd.DataFrame({"id": pd.Series(list(block.ids), dtype=object), "trained": block.train[starts],
-                             "n_tokens": block.sizes, "n_known": np.add.reduceat(known.astype(np.int64), starts),
+        count = count[words]
+        base = np.log10((count + 1) / (n_total + 1 * (n_kinds + 1)))
+        return pd.DataFrame({"id": pd.Series(list(left["ids"].iloc[0]), dtype=object), "trained": block.train_docs,
+                             "n_tokens": block.sizes, "n_known": np.add.reduceat((count > 0).astype(np.int64), starts),
                              "train_tokens": n_total, "base_score": np.add.reduceat(base, starts),
-                             "score": np.add.reduceat(np.log10(p), starts)})
+                             "score": np.add.reduceat(np.log10(p[words]), starts)})
 
-    kind = df.schema[id_col].dataType.simpleString()
     scores = (light.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        tidy(score), f"id {kind}, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
-    cut.forget()
+        tidy(score), f"id {id_kind}, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+    ordered.forget()
     answered.forget()
     return scores.withColumnRenamed("id", id_col), tries.select("level", "shard", "data")
 

@@ -7,6 +7,7 @@ import re
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL, rows
 from letrado.llm import elias_fano, html_extract, ngram_lm, vptree
 from letrado.llm.common import fold_remainder, prepare
+from letrado.session import checkpoint_root
 
 # --- 7 ----------------------------------------------------------------------
 
@@ -284,6 +286,43 @@ def test_ranked_equals_a_stable_argsort():
         assert (order == np.argsort(keys, kind="stable")).all() and (ascending == np.sort(keys)).all()
 
 
+def test_many_questions_in_order_equal_single_ones():
+    rng = np.random.default_rng(8)
+    for n, top in ((0, 10), (1, 1), (5000, 6000), (5000, 2**50)):
+        values = np.sort(rng.integers(0, top, n).astype(np.uint64))
+        level = elias_fano.EliasFano(elias_fano.EliasFano.to_bytes(values))
+        assert (level.values() == values).all()
+        asked = np.sort(np.r_[values[::3], rng.integers(0, 2 * top, 500).astype(np.uint64)])
+        assert (level.find_ascending(asked) == level.find(asked)).all()
+
+
+def test_one_order_of_the_tokens_holds_the_ngrams_of_all_levels():
+    rng = np.random.default_rng(9)
+    block = ngram_lm.Block.__new__(ngram_lm.Block)
+    block.sizes = np.r_[1, rng.integers(1, 30, 60), 1]
+    block.tokens = rng.integers(0, 4, block.sizes.sum()).astype(np.int32)
+    texts = [tuple(t) for t in np.split(block.tokens + 1, np.cumsum(block.sizes)[:-1])]
+    block.tokens[np.cumsum(block.sizes) - 1] = 4                            # the end, found there only
+    grams = [((0, *t[:-1], 5) + (None,) * 5)[i:i + 5] for t in texts for i in range(len(t) + 1)]
+    grams = [tuple(x for x in g if x is not None) for g in grams]
+    starts, shared = block.sort_starts(5)
+    ordered = [grams[i] for i in starts]
+    assert ordered == sorted(grams)
+    common = [next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))) for a, b in zip(ordered, ordered[1:])]
+    assert [min(int(c), len(b)) for c, b in zip(shared[1:], ordered[1:])] == common
+    assert ngram_lm.left_of(block.sizes, 5).tolist() == [len(g) for g in grams]
+
+
+def test_blocks_are_kept_in_one_form_only(spark):
+    prepare(spark)
+    folder = Path(checkpoint_root(spark).removeprefix("file:")) / "letrado"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    df = spark.createDataFrame([(i, f"a b c {i % 3} d") for i in range(40)], "doc_id long, text string")
+    assert scored(df, F.col("doc_id") % 3 != 0, ngram_lm.LmRule(order=3, block_tokens=50))[0]
+    names = {p.name.rsplit("-", 1)[0] if p.name.startswith("lm-") else "" for p in set(folder.iterdir()) - before}
+    assert not any(n == "lm-blocks" or n.startswith("lm-blocks-") for n in names) and any("lm-answers" in n for n in names)
+
+
 def test_lm_on_messy_rows(spark, clashing, messy_rows, no_rows):
     keyed = spark.createDataFrame([(i, r[1]) for i, r in enumerate(messy_rows)], "doc_id long, text string")
     rule = ngram_lm.LmRule(order=3, block_tokens=500)
