@@ -10,6 +10,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -323,6 +324,52 @@ def test_blocks_are_kept_in_one_form_only(spark):
     assert not any(n == "lm-blocks" or n.startswith("lm-blocks-") for n in names) and any("lm-answers" in n for n in names)
 
 
+def test_blocks_are_answered_once_for_all_levels(spark):
+    prepare(spark)
+    folder = Path(checkpoint_root(spark).removeprefix("file:")) / "letrado"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    df = spark.createDataFrame([(i, f"a b c {i % 7} d e {i % 3}") for i in range(60)], "doc_id long, text string")
+    rule = ngram_lm.LmRule(block_tokens=100, shard_tokens=100)
+    found, _ = scored(df, F.col("doc_id") % 3 != 0, rule)
+    check_scores(found, [f"a b c {i % 7} d e {i % 3}" for i in range(60)], [i % 3 != 0 for i in range(60)], 5, rule.strength)
+    answers = [spark.read.parquet(str(p)) for p in set(folder.iterdir()) - before if p.name.startswith("lm-answers")]
+    assert [a.count() for a in answers] == [a.select("block", "shard").distinct().count() for a in answers] != [0]
+
+
+def test_what_follows_frequent_words_is_split(spark):
+    prepare(spark)
+    random = np.random.default_rng(11)
+    texts = [" ".join(f"one of the {a} {b}" for a, b in random.integers(0, 3000, (40, 2))) for _ in range(100)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rule = ngram_lm.LmRule(block_tokens=2_000, shard_tokens=1_000)
+    found, trie = scored(df, F.col("doc_id") % 4 != 0, rule)
+    check_scores(found, texts, [i % 4 != 0 for i in range(100)], 5, rule.strength)
+    for level in (4, 5):
+        sizes = [len(elias_fano.TrieLevel(ngram_lm.mapped(bytes(r.data))).codes) for r in trie.where(f"level = {level}").collect()]
+        assert max(sizes) < 3 * 1_000
+
+
+def test_a_blocks_messages_take_few_bytes_a_token():
+    import tracemalloc
+    random = np.random.default_rng(12)
+    block, tokens = ngram_lm.Block.__new__(ngram_lm.Block), 400_000
+    block.sizes = np.full(tokens // 100, 100)
+    block.tokens = np.minimum(random.zipf(1.3, tokens), 30_000).astype(np.int32)
+    block.tokens = np.unique(np.r_[0, block.tokens], return_inverse=True)[1][1:].astype(np.int32)
+    block.tokens[99::100] = 0
+    row = {"block": 1, "train": ngram_lm.pack(np.arange(len(block.sizes)) % 7 > 0), "sizes": ngram_lm.pack(block.sizes),
+           "words": ngram_lm.pack(np.ones(int(block.tokens.max()) + 1, dtype=np.int64), np.ones(int(block.tokens.max()) + 1, dtype=np.int64)),
+           "starts": ngram_lm.pack(*block.sort_starts(5))}
+    none = ngram_lm.beginnings({}, 5)
+    tracemalloc.start()
+    try:
+        sent = ngram_lm.send_grams(none, 0, 4, 4, tokens, ngram_lm.LmRule())(pd.DataFrame([row]))
+        assert tracemalloc.get_traced_memory()[1] < 110 * tokens
+    finally:
+        tracemalloc.stop()
+    assert len(sent) == sent["shard"].nunique() <= 4
+
+
 def test_lm_on_messy_rows(spark, clashing, messy_rows, no_rows):
     keyed = spark.createDataFrame([(i, r[1]) for i, r in enumerate(messy_rows)], "doc_id long, text string")
     rule = ngram_lm.LmRule(order=3, block_tokens=500)
